@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.plans import dashboard as D
 from contrail.plans import reports as K
 from contrail.plans.mart import FlightMart
 
@@ -44,4 +45,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k24_route_risk": _mart(K.k24_route_risk),
         "k25_late_flights": _mart(K.k25_late_flights),
     }
+    for name in ("k26_volume_kpi", "k27_delay_kpi", "k28_top_delay_airlines", "k29_emissions_panel",
+                 "k29_fleet_totals", "k30_fuel_before_after", "k31_global_counts", "k32_mean_delays",
+                 "k33_catalogue_sizes", "k34_emission_totals", "k35_top_models_co2",
+                 "k35_top_airlines_co2", "k36_route_risk_distribution", "k37_simulator_catalogue"):
+        q[name] = _mart(getattr(D, name))
     return q

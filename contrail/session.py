@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 # defaults for a laptop / CI run and are overridden by spark-submit on a cluster.
 _BASE_CONF = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -374,7 +374,69 @@ FROM f WHERE airline_code = '7' AND month = 6 AND dep_delay_minutes >= 100 AND N
     return q
 
 
+AIRLINES_SEL = ", ".join(f"'Supplier#{i:09d}'" for i in range(1, 11))
+FACTOR_SQL = ("CASE upper(trim(engine_type)) WHEN 'JET' THEN 1.0 WHEN 'TURBOFAN' THEN 1.0 "
+              "WHEN 'TURBOJET' THEN 1.0 WHEN 'TURBOPROP' THEN 0.45 WHEN 'TURBOSHAFT' THEN 0.55 "
+              "WHEN 'PISTON' THEN 0.30 WHEN 'UNKNOWN' THEN 1.0 ELSE 1.0 END")
+
+
+def dashboard() -> dict[str, str]:
+    q: dict[str, str] = {}
+    dash = f"month BETWEEN 3 AND 8 AND airline_name IN ({AIRLINES_SEL})"
+    q["k26_volume_kpi"] = f"""{mart('airline')}
+SELECT COUNT(*) AS total_flights, {CNT('cancelled')} AS cancelled FROM f WHERE {dash}"""
+    q["k27_delay_kpi"] = f"""{mart('airline')}
+SELECT {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay_min FROM f WHERE {dash} AND NOT cancelled"""
+    q["k28_top_delay_airlines"] = f"""{mart('airline')}
+SELECT airline_name, {R('AVG(dep_delay_minutes)', 4)} AS avg_delay_min FROM f
+WHERE month BETWEEN 3 AND 8 AND NOT cancelled GROUP BY airline_name
+ORDER BY avg_delay_min DESC, airline_name LIMIT 10"""
+    valid = "NOT cancelled AND fuel_burn > 0"
+    co2x = ESUM('fuel_burn * 3.16::DOUBLE')
+    q["k29_emissions_panel"] = f"""{mart('model')}
+SELECT model_id, maker, engines, COUNT(*) AS total_flights, {R(co2x, 2)} AS co2_lbs,
+  {R('AVG(fuel_burn)', 4)} AS avg_fuel_lbs, {R('AVG(distance)', 4)} AS avg_distance
+FROM f WHERE {valid} GROUP BY model_id, maker, engines"""
+    q["k29_fleet_totals"] = f"""{mart('model')}
+SELECT {R(co2x, 2)} AS fleet_co2_lbs, COUNT(*) AS flights_analysed,
+  COUNT(DISTINCT maker) AS active_makers FROM f WHERE {valid}"""
+    q["k34_emission_totals"] = f"""{mart('model')}
+SELECT {R(co2x, 2)} AS total_co2_lbs, COUNT(*) AS valid_fuel_flights,
+  COUNT(DISTINCT maker) AS active_makers FROM f WHERE {valid}"""
+    est = (f"CASE WHEN cancelled THEN 0.0::DOUBLE WHEN mtow > 0 AND crs_elapsed > 0 THEN "
+           f"({FACTOR_SQL}) * mtow * (crs_elapsed / 60.0 * 0.030 + 0.012) END")
+    q["k30_fuel_before_after"] = f"""{mart('model')},
+b AS (SELECT model_id, COUNT(*) AS flights_before, {R('AVG(fuel_burn)', 4)} AS avg_fuel_before
+      FROM f WHERE {valid} GROUP BY model_id HAVING COUNT(*) >= 25),
+e AS (SELECT model_id, cancelled, {est} AS fuel_est FROM f),
+a AS (SELECT model_id, COUNT(*) AS flights_after, {R('AVG(fuel_est)', 4)} AS avg_fuel_after
+      FROM e WHERE NOT cancelled AND fuel_est > 0 GROUP BY model_id HAVING COUNT(*) >= 25)
+SELECT b.model_id, flights_before, avg_fuel_before, flights_after, avg_fuel_after
+FROM b JOIN a ON b.model_id = a.model_id"""
+    q["k31_global_counts"] = f"""{mart()}
+SELECT COUNT(*) AS total_flights, {CNT('cancelled')} AS cancelled, {CNT('diverted')} AS diverted,
+  {CNT('dep_del15 = 1')} AS dep_delayed_15 FROM f"""
+    q["k32_mean_delays"] = f"""{mart()}
+SELECT {R('AVG(CAST(dep_delay_minutes AS DOUBLE))', 4)} AS avg_dep_delay_min,
+  {R('AVG(CAST(arr_delay_minutes AS DOUBLE))', 4)} AS avg_arr_delay_min FROM f WHERE NOT cancelled"""
+    q["k33_catalogue_sizes"] = f"""{mart('airline', 'dest')}
+SELECT (SELECT COUNT(*) FROM supplier) AS airlines, (SELECT COUNT(*) FROM part) AS models,
+  COUNT(DISTINCT origin_airport_id) AS origin_airports, COUNT(DISTINCT dest_airport_id) AS dest_airports
+FROM f"""
+    q["k35_top_models_co2"] = f"""{mart('model')}
+SELECT model_id, {R(co2x, 2)} AS co2_lbs FROM f WHERE {valid} GROUP BY model_id
+ORDER BY co2_lbs DESC, model_id LIMIT 5"""
+    q["k35_top_airlines_co2"] = f"""{mart('airline')}
+SELECT airline_name, {R(ESUM('co2'), 2)} AS co2_column, {R(co2x, 2)} AS co2_fuel_x316 FROM f
+WHERE {valid} GROUP BY airline_name ORDER BY co2_fuel_x316 DESC, airline_name LIMIT 3"""
+    q["k37_simulator_catalogue"] = f"""WITH mo AS ({_MODELS})
+SELECT DISTINCT model_id, maker, engine_type, engines, mtow FROM mo
+WHERE mtow > 0 AND engine_type IS NOT NULL AND upper(engine_type) NOT IN ('TURBOSHAFT', 'PISTON', 'UNKNOWN')"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
+    q.update(dashboard())
     return q
