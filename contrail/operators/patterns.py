@@ -128,14 +128,13 @@ def pivot_fixed(df: DataFrame, rows, pivot_col: str, values: Sequence, measure:
     fn = {"sum": F.sum, "avg": F.avg, "count": F.count, "max": F.max, "min": F.min}[agg]
     p = df.groupBy(*_cols(rows)).pivot(pivot_col, list(values)).agg(fn(measure))
     names = list(names) if names else [str(v) for v in values]
+    cells = []
     for v, nm in zip(values, names):
         c = F.col(f"`{v}`")
         if fill is not None:
             c = F.coalesce(c, F.lit(fill))
-        p = p.withColumn(nm, c) if str(v) != nm else p.withColumn(nm, c)
-        if str(v) != nm:
-            p = p.drop(str(v))
-    return p
+        cells.append(c.alias(nm))
+    return p.select(*[F.col(r) if isinstance(r, str) else r for r in _cols(rows)], *cells)
 
 
 def unpivot_columns(df: DataFrame, ids, columns: Sequence[str], var: str, value: str) -> DataFrame:

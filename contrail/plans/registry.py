@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import dashboard as D
+from contrail.plans import families as L
+from contrail.plans import views as U
 from contrail.plans import reports as K
 from contrail.plans.mart import FlightMart
 
@@ -50,4 +52,55 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                  "k33_catalogue_sizes", "k34_emission_totals", "k35_top_models_co2",
                  "k35_top_airlines_co2", "k36_route_risk_distribution", "k37_simulator_catalogue"):
         q[name] = _mart(getattr(D, name))
+    q.update({
+        "l01_delay_stats": _mart(L.l01_delay_stats),
+        "l01_delay_stats_by_year": _mart(L.l01_delay_stats, by=["year"]),
+        "l01_delay_stats_by_month": _mart(L.l01_delay_stats, by=["month"]),
+        "l01_delayed_counts": _mart(L.l01_delayed_counts),
+        "l02_delay_by_airline_top10": _mart(L.l02_delay_by, dim="airline_name", top=10),
+        "l02_delay_by_continent": _mart(L.l02_delay_by, dim="dest_continent"),
+        "l02_delay_by_weekday": _mart(L.l02_delay_by, dim="day_of_week"),
+        "l02_delay_by_distance_group": _mart(L.l02_delay_by, dim="distance_group"),
+        "l03_taxi_by_origin": _mart(L.l03_taxi_by, dim="origin_airport"),
+        "l03_taxi_by_month": _mart(L.l03_taxi_by, dim="month"),
+        "l03_top_taxi_flights": _mart(L.l03_top_taxi_flights),
+        "l04_fleet_by_airline": _mart(L.l04_fleet_by_airline),
+        "l04_models_per_maker": _mart(L.l04_models_per_maker),
+        "l05_flights_by_dest_state": _mart(L.l05_flights_by_geo, dim="dest_state"),
+        "l05_flights_by_origin_airport": _mart(L.l05_flights_by_geo, dim="origin_airport"),
+        "l06_distance_by_year": _mart(L.l06_distance_by, dim="year"),
+        "l06_distance_by_airline": _mart(L.l06_distance_by, dim="airline_name"),
+        "l06_longest_routes": _mart(L.l06_longest_routes),
+        "l07_co2_by_airline": _mart(L.l07_co2_by, dim="airline_name"),
+        "l07_co2_by_continent": _mart(L.l07_co2_by, dim="dest_continent"),
+        "l07_cancel_rate_by_month": _mart(L.l07_cancel_rate_by, dim="month"),
+        "l08_monthly_windows": _mart(L.l08_monthly_windows),
+        "l08_top3_per_year": _mart(L.l08_top_per_group),
+        "l08_dense_top3_per_year": _mart(L.l08_top_per_group, kind="dense_rank"),
+        "l08_running_sum_of_sum": _mart(L.l08_running_sum_of_sum),
+        "l09_pivot_count_by_continent": _mart(L.l09_pivot_count_by_continent),
+        "l09_pivot_avg_delay_by_quarter": _mart(L.l09_pivot_avg_delay_by_quarter),
+        "l09_unpivot_quarters": _mart(L.l09_unpivot_quarters),
+        "l12_above_global_average": _mart(L.l12_above_global_average),
+        "l12_worst_month_per_airline": _mart(L.l12_worst_month_per_airline),
+        "l12_airline_vs_network": _mart(L.l12_airline_vs_network),
+        "l13_by_maker_top5": _mart(L.l13_by_maker),
+        "l14_top_destinations": _mart(L.l14_top_destinations),
+        "l15_delay_buckets": _mart(L.l15_delay_buckets),
+        "l15_months_above_yearly_mean": _mart(L.l15_months_above_yearly_mean),
+        "l15_weekend_by_airline": _mart(L.l15_weekend_by_airline),
+        "l15_haul_buckets": _mart(L.l15_haul_buckets),
+        "l15_share_by_scalar": _mart(L.l15_share_by_scalar),
+    })
+    for name in U.VIEWS:
+        q[f"u1_{name}"] = _mart(U.VIEWS[name])
+    q.update({
+        "u2_flights_to_continent": _mart(U.p_flights_to_continent, continent="EUROPE"),
+        "u2_yearly_delay": _mart(U.p_yearly_delay, year=1999),
+        "u2_airline_summary": _mart(U.p_airline_summary, airline_code="7"),
+        "u2_delayed_over": _mart(U.p_delayed_over, minutes=500),
+        "u2_distance_group_metrics": _mart(U.p_distance_group_metrics, group=3),
+        "u2_monthly_taxi": _mart(U.p_monthly_taxi, month=7),
+        "u5_sql_late_flights": U.sql_late_flights,
+    })
     return q

@@ -435,8 +435,147 @@ WHERE mtow > 0 AND engine_type IS NOT NULL AND upper(engine_type) NOT IN ('TURBO
     return q
 
 
+def _avg(c: str, n: int = 4) -> str:
+    return R(f"AVG(CAST({c} AS DOUBLE))", n)
+
+
+def families() -> dict[str, str]:
+    q: dict[str, str] = {}
+    stats = (f"{_avg('dep_delay_minutes')} AS avg_dep_delay, CAST(SUM(dep_delay_minutes) AS BIGINT) AS total_dep_delay, "
+             "CAST(MAX(dep_delay_minutes) AS BIGINT) AS max_dep_delay, CAST(MIN(dep_delay_minutes) AS BIGINT) AS min_dep_delay")
+    q["l01_delay_stats"] = f"{mart()} SELECT {stats} FROM f WHERE NOT cancelled"
+    q["l01_delay_stats_by_year"] = f"{mart()} SELECT year, {stats} FROM f WHERE NOT cancelled GROUP BY year"
+    q["l01_delay_stats_by_month"] = f"{mart()} SELECT month, {stats} FROM f WHERE NOT cancelled GROUP BY month"
+    q["l01_delayed_counts"] = f"""{mart()}
+SELECT COUNT(*) AS flights, {CNT('dep_delay_minutes > 60')} AS over_threshold, {CNT('dep_del15 = 1')} AS del15_flights,
+  {R(f"CAST({CNT('dep_del15 = 1')} AS DOUBLE) * 100.0 / COUNT(*)", 2)} AS del15_pct
+FROM f WHERE NOT cancelled"""
+    dl = f"{_avg('dep_delay_minutes')} AS avg_dep_delay, {_avg('arr_delay_minutes')} AS avg_arr_delay, COUNT(*) AS flights"
+    q["l02_delay_by_airline_top10"] = f"""{mart('airline')} SELECT airline_name, {dl} FROM f WHERE NOT cancelled
+GROUP BY airline_name ORDER BY avg_dep_delay DESC NULLS LAST, airline_name LIMIT 10"""
+    q["l02_delay_by_continent"] = f"{mart('dest')} SELECT dest_continent, {dl} FROM f WHERE NOT cancelled GROUP BY dest_continent"
+    q["l02_delay_by_weekday"] = f"{mart()} SELECT day_of_week, {dl} FROM f WHERE NOT cancelled GROUP BY day_of_week"
+    q["l02_delay_by_distance_group"] = f"{mart()} SELECT distance_group, {dl} FROM f WHERE NOT cancelled GROUP BY distance_group"
+    tx = (f"{_avg('taxi_out')} AS avg_taxi_out, {_avg('taxi_in')} AS avg_taxi_in, CAST(MAX(taxi_out) AS BIGINT) AS max_taxi_out, "
+          f"{CNT('taxi_out > 30')} AS long_taxi_flights")
+    q["l03_taxi_by_origin"] = f"{mart('airline')} SELECT origin_airport, {tx} FROM f WHERE NOT cancelled GROUP BY origin_airport"
+    q["l03_taxi_by_month"] = f"{mart()} SELECT month, {tx} FROM f WHERE NOT cancelled GROUP BY month"
+    q["l03_top_taxi_flights"] = f"""{mart()} SELECT flight_id, taxi_out + taxi_in AS total_taxi FROM f WHERE NOT cancelled
+ORDER BY total_taxi DESC, flight_id LIMIT 10"""
+    q["l04_fleet_by_airline"] = f"""{mart('airline', 'model')} SELECT airline_name, COUNT(*) AS flights,
+  COUNT(DISTINCT tail_id) AS aircraft, COUNT(DISTINCT maker) AS makers FROM f GROUP BY airline_name"""
+    q["l04_models_per_maker"] = f"{mart('model')} SELECT maker, COUNT(DISTINCT model_id) AS models_flown, COUNT(*) AS flights FROM f GROUP BY maker"
+    geo = f"COUNT(*) AS flights, {CNT('cancelled')} AS cancelled, COUNT(DISTINCT airline_id) AS airlines"
+    q["l05_flights_by_dest_state"] = f"{mart('dest')} SELECT dest_state, {geo} FROM f GROUP BY dest_state"
+    q["l05_flights_by_origin_airport"] = f"{mart('airline')} SELECT origin_airport, {geo} FROM f GROUP BY origin_airport"
+    dist = f"{R(ESUM('distance'), 2)} AS total_distance, {_avg('distance', 2)} AS avg_distance, COUNT(*) AS flights"
+    q["l06_distance_by_year"] = f"{mart()} SELECT year, {dist} FROM f GROUP BY year"
+    q["l06_distance_by_airline"] = f"{mart('airline')} SELECT airline_name, {dist} FROM f GROUP BY airline_name"
+    q["l06_longest_routes"] = f"""{mart('airline', 'dest')} SELECT origin_airport, dest_airport, {_avg('distance', 2)} AS avg_distance,
+  COUNT(*) AS flights FROM f GROUP BY origin_airport, dest_airport
+ORDER BY avg_distance DESC NULLS LAST, origin_airport, dest_airport LIMIT 10"""
+    co2 = (f"{R(ESUM('co2'), 2)} AS total_co2, {_avg('co2', 4)} AS avg_co2, {R('MAX(co2)', 4)} AS max_co2, "
+           f"{R(ESUM('co2') + ' / NULLIF(' + ESUM('distance') + ', 0) * 1000.0', 4)} AS co2_per_1000_mi")
+    q["l07_co2_by_airline"] = f"{mart('airline')} SELECT airline_name, {co2} FROM f WHERE NOT cancelled AND co2 IS NOT NULL GROUP BY airline_name"
+    q["l07_co2_by_continent"] = f"{mart('dest')} SELECT dest_continent, {co2} FROM f WHERE NOT cancelled AND co2 IS NOT NULL GROUP BY dest_continent"
+    q["l07_cancel_rate_by_month"] = f"""{mart()} SELECT month, COUNT(*) AS flights, {CNT('cancelled')} AS cancelled,
+  {R(f"CAST({CNT('cancelled')} AS DOUBLE) * 100.0 / COUNT(*)", 2)} AS cancel_pct FROM f GROUP BY month"""
+    monthly = f"{mart('airline')}, c AS (SELECT airline_name, year, month, COUNT(*) AS flights FROM f GROUP BY airline_name, year, month)"
+    q["l08_monthly_windows"] = f"""{monthly},
+w AS (SELECT *, LAG(flights) OVER (PARTITION BY airline_name, year ORDER BY month) AS prev_month FROM c)
+SELECT airline_name, year, month, flights,
+  CAST(RANK() OVER (PARTITION BY year, month ORDER BY flights DESC) AS BIGINT) AS rank_in_month,
+  CAST(DENSE_RANK() OVER (PARTITION BY year, month ORDER BY flights DESC) AS BIGINT) AS dense_rank_in_month,
+  CAST(NTILE(4) OVER (PARTITION BY year, month ORDER BY flights DESC, airline_name) AS BIGINT) AS quartile_in_month,
+  CAST(SUM(flights) OVER (PARTITION BY airline_name, year ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS ytd_flights,
+  prev_month, flights - prev_month AS diff_vs_prev,
+  {R('AVG(flights) OVER (PARTITION BY airline_name, year ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)', 4)} AS moving_avg_3,
+  {R('CAST(flights AS DOUBLE) * 100.0 / SUM(flights) OVER (PARTITION BY airline_name, year)', 2)} AS share_of_year_pct,
+  {R('CAST(flights AS DOUBLE) * 100.0 / MAX(flights) OVER (PARTITION BY year, month)', 2)} AS pct_of_max
+FROM w"""
+    yr = f"{mart('airline')}, c AS (SELECT year, airline_name, COUNT(*) AS flights FROM f GROUP BY year, airline_name)"
+    q["l08_top3_per_year"] = f"""{yr}, w AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY year ORDER BY flights DESC, airline_name) AS BIGINT) AS position FROM c)
+SELECT * FROM w WHERE position <= 3"""
+    q["l08_dense_top3_per_year"] = f"""{yr}, w AS (SELECT *, CAST(DENSE_RANK() OVER (PARTITION BY year ORDER BY flights DESC, airline_name) AS BIGINT) AS position FROM c)
+SELECT * FROM w WHERE position <= 3"""
+    q["l08_running_sum_of_sum"] = f"""{mart()}, c AS (SELECT year, month, CAST(SUM(dep_delay_minutes) AS BIGINT) AS delay_minutes FROM f
+WHERE NOT cancelled GROUP BY year, month)
+SELECT *, CAST(SUM(delay_minutes) OVER (PARTITION BY year ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_delay_minutes FROM c"""
+    conts = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    cols = ", ".join(f"CAST(COUNT(CASE WHEN dest_continent = '{c}' THEN flight_id END) AS BIGINT) AS {c.lower().replace(' ', '_')}" for c in conts)
+    q["l09_pivot_count_by_continent"] = f"{mart('airline', 'dest')} SELECT airline_name, {cols} FROM f GROUP BY airline_name"
+    qcols = ", ".join(f"{R(f'AVG(CASE WHEN quarter = {i} THEN CAST(dep_delay_minutes AS DOUBLE) END)', 4)} AS q{i}" for i in (1, 2, 3, 4))
+    q["l09_pivot_avg_delay_by_quarter"] = f"{mart('airline')} SELECT airline_name, {qcols} FROM f WHERE NOT cancelled GROUP BY airline_name"
+    q["l09_unpivot_quarters"] = f"""{mart('airline')},
+c AS (SELECT airline_name, quarter, COUNT(*) AS n FROM f GROUP BY airline_name, quarter),
+a AS (SELECT DISTINCT airline_name FROM f),
+qs AS (SELECT * FROM (VALUES (1, 'q1'), (2, 'q2'), (3, 'q3'), (4, 'q4')) t(qn, quarter))
+SELECT a.airline_name, qs.quarter, CAST(COALESCE(c.n, 0) AS BIGINT) AS flights
+FROM a CROSS JOIN qs LEFT JOIN c ON c.airline_name = a.airline_name AND c.quarter = qs.qn"""
+    q["l12_above_global_average"] = f"""{mart('airline')},
+p AS (SELECT airline_name, AVG(dep_delay_minutes) AS a FROM f WHERE NOT cancelled GROUP BY airline_name),
+g AS (SELECT AVG(dep_delay_minutes) AS g FROM f WHERE NOT cancelled)
+SELECT airline_name, {R('a', 4)} AS avg_dep_delay, {R('g', 4)} AS global_avg FROM p CROSS JOIN g WHERE a > g"""
+    q["l12_worst_month_per_airline"] = f"""{mart('airline')},
+c AS (SELECT airline_name, year, month, {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay FROM f WHERE NOT cancelled
+      GROUP BY airline_name, year, month),
+w AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY airline_name ORDER BY avg_dep_delay DESC, year, month) AS BIGINT) AS position FROM c)
+SELECT * FROM w WHERE position <= 1"""
+    q["l12_airline_vs_network"] = f"""{mart('airline')},
+a AS (SELECT network_name, airline_name, AVG(dep_delay_minutes) AS a FROM f WHERE NOT cancelled GROUP BY network_name, airline_name),
+n AS (SELECT network_name, AVG(dep_delay_minutes) AS n FROM f WHERE NOT cancelled GROUP BY network_name)
+SELECT a.network_name, airline_name, {R('a', 4)} AS airline_avg, {R('n', 4)} AS network_avg, {R('a - n', 4)} AS diff
+FROM a JOIN n ON a.network_name = n.network_name"""
+    q["l13_by_maker_top5"] = f"""{mart('model')} SELECT maker, COUNT(*) AS flights, COUNT(DISTINCT model_id) AS aircraft,
+  {_avg('co2')} AS avg_co2 FROM f GROUP BY maker ORDER BY flights DESC, maker LIMIT 5"""
+    q["l14_top_destinations"] = f"""{mart('dest')} SELECT dest_state, dest_airport, COUNT(*) AS flights,
+  {_avg('arr_delay_minutes')} AS avg_arr_delay FROM f GROUP BY dest_state, dest_airport
+ORDER BY flights DESC, dest_state, dest_airport LIMIT 10"""
+    q["l15_delay_buckets"] = f"""{mart()} SELECT CASE WHEN dep_delay_minutes <= 0 THEN 'on time' WHEN dep_delay_minutes < 15 THEN 'minor'
+  WHEN dep_delay_minutes < 60 THEN 'moderate' WHEN dep_delay_minutes < 240 THEN 'major' ELSE 'severe' END AS bucket,
+  COUNT(*) AS flights FROM f WHERE NOT cancelled GROUP BY 1"""
+    q["l15_months_above_yearly_mean"] = f"""{mart()},
+c AS (SELECT year, month, COUNT(*) AS flights FROM f GROUP BY year, month),
+w AS (SELECT *, AVG(flights) OVER (PARTITION BY year) AS y FROM c)
+SELECT year, month, flights, {R('y', 4)} AS yearly_mean FROM w WHERE flights > y"""
+    q["l15_weekend_by_airline"] = f"{mart('airline')} SELECT airline_name, COUNT(*) AS weekend_flights FROM f WHERE day_of_week IN (6, 7) GROUP BY airline_name"
+    q["l15_haul_buckets"] = f"""{mart()} SELECT CASE WHEN distance >= 50000.0 THEN 'long haul' ELSE 'short haul' END AS haul,
+  COUNT(*) AS flights, {_avg('dep_delay_minutes')} AS avg_dep_delay FROM f GROUP BY 1"""
+    q["l15_share_by_scalar"] = f"""{mart('dest')},
+p AS (SELECT dest_continent, COUNT(*) AS flights FROM f GROUP BY dest_continent), t AS (SELECT COUNT(*) AS t FROM f)
+SELECT dest_continent, flights, {R('CAST(flights AS DOUBLE) * 100.0 / t', 2)} AS share_pct FROM p CROSS JOIN t"""
+    return q
+
+
+def views() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["u1_v_flight_delay"] = f"{mart('airline')} SELECT flight_id, flight_date, airline_name, dep_delay, arr_delay, dep_del15, arr_del15, cancelled FROM f"
+    summ = f"""{mart('airline')} SELECT airline_name, airline_code, COUNT(*) AS flights, {CNT('cancelled')} AS cancelled,
+  {R('AVG(CASE WHEN NOT cancelled THEN dep_delay_minutes END)', 4)} AS avg_dep_delay FROM f GROUP BY airline_name, airline_code"""
+    q["u1_v_airline_summary"] = summ
+    q["u1_v_destination_geo"] = f"{mart('dest')} SELECT flight_id, dest_airport, dest_state, dest_continent FROM f"
+    q["u1_v_route_metrics"] = f"""{mart('airline', 'dest')} SELECT origin_airport, dest_airport, COUNT(*) AS flights,
+  {R('AVG(distance)', 2)} AS avg_distance, {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay FROM f GROUP BY origin_airport, dest_airport"""
+    q["u1_v_taxi_per_flight"] = f"{mart()} SELECT flight_id, taxi_out, taxi_in, taxi_out + taxi_in AS taxi_total FROM f"
+    q["u1_v_co2_per_continent"] = f"""{mart('dest')} SELECT dest_continent, {R(ESUM('co2'), 2)} AS total_co2, COUNT(*) AS flights
+FROM f WHERE NOT cancelled AND co2 IS NOT NULL GROUP BY dest_continent"""
+    q["u2_flights_to_continent"] = f"{mart('dest')} SELECT COUNT(*) AS flights FROM f WHERE dest_continent = 'EUROPE'"
+    q["u2_yearly_delay"] = f"{mart()} SELECT month, {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay FROM f WHERE year = 1999 AND NOT cancelled GROUP BY month"
+    q["u2_airline_summary"] = f"SELECT * FROM ({summ}) WHERE airline_code = '7'"
+    q["u2_delayed_over"] = f"{mart('airline')} SELECT airline_name, COUNT(*) AS delayed_flights FROM f WHERE NOT cancelled AND dep_delay_minutes > 500 GROUP BY airline_name"
+    q["u2_distance_group_metrics"] = f"""{mart()} SELECT COUNT(*) AS flights, {R('AVG(distance)', 2)} AS avg_distance,
+  {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay FROM f WHERE distance_group = 3"""
+    q["u2_monthly_taxi"] = f"""{mart('airline')} SELECT origin_airport, {R('AVG(taxi_out)', 4)} AS avg_taxi_out, {R('AVG(taxi_in)', 4)} AS avg_taxi_in
+FROM f WHERE month = 7 GROUP BY origin_airport"""
+    q["u5_sql_late_flights"] = f"""{mart('airline')} SELECT flight_id, airline_name, month, dep_delay_minutes FROM f
+WHERE airline_code = '7' AND month = 6 AND dep_delay_minutes >= 100 AND NOT cancelled"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
     q.update(dashboard())
+    q.update(families())
+    q.update(views())
     return q
