@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from contrail.plans import dashboard as D
+from contrail.plans import etl as X
 from contrail.plans import families as L
 from contrail.plans import views as U
 from contrail.plans import reports as K
@@ -103,4 +104,27 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "u2_monthly_taxi": _mart(U.p_monthly_taxi, month=7),
         "u5_sql_late_flights": U.sql_late_flights,
     })
+    q.update({
+        "b10_keep_first": _mart(X.b10_keep_first),
+        "b10_dedupe_report": _mart(X.b10_dedupe_report),
+        "b15_canonical_keys": _mart(X.b15_canonical_keys),
+        "b_clean_orders": _mart(X.b_clean_orders),
+        "b25_quantile_trim": _mart(X.b25_quantile_trim),
+        "d13_route_lookup_coverage": _mart(X.d13_route_lookup_coverage),
+        "d17_key_sets": _mart(X.d17_key_sets),
+        "h2_airport_roles": _mart(X.h2_airport_roles),
+        "m4_first_destination": _mart(X.m4_first_destination),
+        "m7_coherence": _mart(X.m7_coherence),
+        "m8_fuel_profile_by_maker": _mart(X.m8_fuel_profile_by_maker),
+        "m8_cv_of_model_means": _mart(X.m8_cv_of_model_means),
+        "m9_pearson": _mart(X.m9_pearson),
+        "m9_pearson_by_engine": _mart(X.m9_pearson, by=["engine_type"]),
+        "m9_spearman": _mart(X.m9_spearman),
+        "m9_spearman_by_engine": _mart(X.m9_spearman, by=["engine_type"]),
+        "m10_signal_gate": _mart(X.m10_signal_gate),
+        "m12_fd_audit": _mart(X.m12_fd_audit),
+        "m13_numeric_profile": _mart(X.m13_numeric_profile),
+        "m14_profile_columns": _mart(X.m14_profile_columns),
+        "a11_staged_correction": _mart(X.a11_staged_correction),
+    })
     return q

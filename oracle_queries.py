@@ -572,10 +572,129 @@ WHERE airline_code = '7' AND month = 6 AND dep_delay_minutes >= 100 AND NOT canc
     return q
 
 
+def etl() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["b10_keep_first"] = """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_shipdate) AS rn
+  FROM lineitem) WHERE rn = 1"""
+    q["b10_dedupe_report"] = """
+SELECT CAST(SUM(n) AS BIGINT) AS rows_in, COUNT(*) AS rows_kept, CAST(SUM(n) - COUNT(*) AS BIGINT) AS rows_removed
+FROM (SELECT COUNT(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)"""
+    q["b15_canonical_keys"] = """
+SELECT l_orderkey, l_partkey, l_suppkey, concat_ws('||',
+  COALESCE(strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d'), '<NA>'),
+  COALESCE(CAST(CAST(ROUND(CAST(l_linenumber AS DOUBLE), 0) AS BIGINT) AS VARCHAR), '<NA>'),
+  COALESCE(CAST(CAST(ROUND(CAST(l_extendedprice AS DECIMAL(38,10)), 2) AS DECIMAL(38,2)) AS VARCHAR), '<NA>'),
+  COALESCE(NULLIF(upper(trim(l_returnflag)), 'NAN'), '<NA>'),
+  COALESCE(CAST(CAST(ROUND(l_quantity, 0) AS BIGINT) AS VARCHAR), '<NA>')) AS canon_key
+FROM lineitem"""
+    q["b_clean_orders"] = """
+SELECT o_orderkey, CAST(TRY_STRPTIME(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') AS DATE) AS order_date,
+  NULLIF(CAST(CAST(floor(CAST(o_custkey AS DOUBLE)) AS BIGINT) AS VARCHAR), '-1') AS cust_code,
+  NULLIF(upper(trim(substr(o_orderpriority, 3, 20))), 'NAN') AS priority,
+  CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'urgent' WHEN '2' THEN 'high' WHEN '3' THEN 'medium'
+       ELSE substr(o_orderpriority, 1, 1) END AS priority_label,
+  o_totalprice AS total_price, o_orderstatus = 'F' AS finished
+FROM orders"""
+    q["b25_quantile_trim"] = f"""
+WITH b AS (SELECT quantile_cont(l_extendedprice, 0.001) AS lo, quantile_cont(l_extendedprice, 0.999) AS hi FROM lineitem)
+SELECT {R('lo', 4)} AS lower_bound, {R('hi', 4)} AS upper_bound, COUNT(*) AS rows_kept
+FROM lineitem CROSS JOIN b WHERE l_extendedprice BETWEEN lo AND hi GROUP BY lo, hi"""
+    q["d13_route_lookup_coverage"] = f"""{mart('airline', 'dest')},
+d AS (SELECT DISTINCT origin_airport, dest_airport, distance_group FROM f
+      WHERE origin_airport IS NOT NULL AND dest_airport IS NOT NULL AND distance_group IS NOT NULL),
+l AS (SELECT f.flight_id, d.origin_airport AS hit FROM f LEFT JOIN d
+      ON f.origin_airport IS NOT DISTINCT FROM d.origin_airport AND f.dest_airport IS NOT DISTINCT FROM d.dest_airport
+      AND f.distance_group IS NOT DISTINCT FROM d.distance_group)
+SELECT COUNT(*) AS "rows", COUNT(hit) AS matched,
+  {R('AVG(CASE WHEN hit IS NOT NULL THEN 1.0 ELSE 0.0 END) * 100.0', 4)} AS coverage_pct, 'route' AS lookup,
+  CAST(0 AS BIGINT) AS colliding_surrogates, COUNT(*) - COUNT(hit) AS null_route_id FROM l"""
+    def kset(lt, lk, rt, rk, name):
+        return f"""SELECT
+  (SELECT COUNT(*) FROM (SELECT DISTINCT {lk} AS k FROM {lt}) a WHERE NOT EXISTS (SELECT 1 FROM {rt} WHERE {rk} = a.k)) AS only_left,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT {rk} AS k FROM {rt}) b WHERE NOT EXISTS (SELECT 1 FROM {lt} WHERE {lk} = b.k)) AS only_right,
+  (SELECT COUNT(*) FROM (SELECT DISTINCT {lk} AS k FROM {lt}) a WHERE EXISTS (SELECT 1 FROM {rt} WHERE {rk} = a.k)) AS common,
+  (SELECT {R(f'AVG(CASE WHEN {lk} IN (SELECT {rk} FROM {rt}) THEN 1.0 ELSE 0.0 END) * 100.0', 4)} FROM {lt}) AS row_coverage_pct,
+  '{name}' AS pair"""
+    q["d17_key_sets"] = (kset("lineitem", "l_partkey", "part", "p_partkey", "lineitem.l_partkey~part")
+                         + "\nUNION ALL\n" + kset("orders", "o_custkey", "customer", "c_custkey", "orders.o_custkey~customer"))
+    q["h2_airport_roles"] = f"""{mart('airline', 'dest')},
+u AS (SELECT CAST(origin_airport_id AS BIGINT) AS airport_id, origin_airport AS airport, origin_state AS state, 0 AS prio FROM f
+      UNION ALL SELECT CAST(dest_airport_id AS BIGINT), dest_airport, dest_state, 1 FROM f)
+SELECT airport_id, airport, state FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY airport_id ORDER BY prio, airport, state) AS rn FROM u
+  WHERE airport_id IS NOT NULL) WHERE rn = 1"""
+    q["m4_first_destination"] = f"""{mart('dest')}
+SELECT airline_id, dest_airport FROM (
+  SELECT airline_id, dest_airport, ROW_NUMBER() OVER (PARTITION BY airline_id ORDER BY flight_date, flight_id) AS rn
+  FROM f WHERE dest_airport IS NOT NULL) WHERE rn = 1"""
+    q["m7_coherence"] = f"""{mart()}
+SELECT COUNT(*) AS "rows", {CNT('actual_elapsed > crs_elapsed * 1.5')} AS incoherent,
+  {R(f"CAST({CNT('actual_elapsed > crs_elapsed * 1.5')} AS DOUBLE) * 100.0 / COUNT(*)", 4)} AS incoherent_pct
+FROM f WHERE NOT cancelled AND actual_elapsed IS NOT NULL AND crs_elapsed IS NOT NULL"""
+    q["m8_fuel_profile_by_maker"] = f"""{mart('model')}
+SELECT maker, COUNT(*) AS n, {R('AVG(fuel_burn)', 4)} AS mean, MIN(fuel_burn) AS min, MAX(fuel_burn) AS max
+FROM f WHERE NOT cancelled AND fuel_burn > 0 GROUP BY maker HAVING COUNT(*) >= 50"""
+    est = (f"CASE WHEN cancelled THEN 0.0::DOUBLE WHEN mtow > 0 AND crs_elapsed > 0 THEN "
+           f"({FACTOR_SQL}) * mtow * (crs_elapsed / 60.0 * 0.030 + 0.012) END")
+    q["m8_cv_of_model_means"] = f"""{mart('model')},
+a AS (SELECT model_id, AVG(fuel_burn) AS m FROM f WHERE NOT cancelled AND fuel_burn > 0
+      GROUP BY model_id HAVING COUNT(*) >= 25),
+e AS (SELECT model_id, {est} AS fe FROM f WHERE NOT cancelled),
+b AS (SELECT model_id, AVG(fe) AS m FROM e WHERE fe IS NOT NULL GROUP BY model_id HAVING COUNT(*) >= 25)
+SELECT (SELECT COUNT(*) FROM a) AS groups_stored, (SELECT {R('stddev_samp(m) / AVG(m)', 6)} FROM a) AS cv_stored,
+  (SELECT COUNT(*) FROM b) AS groups_physical, (SELECT {R('stddev_samp(m) / AVG(m)', 6)} FROM b) AS cv_physical"""
+    d = f"{mart('model')}, d AS (SELECT * FROM f WHERE NOT cancelled AND distance IS NOT NULL AND fuel_burn IS NOT NULL)"
+    q["m9_pearson"] = f"{d} SELECT COUNT(*) AS n, {R('corr(distance, fuel_burn)', 6)} AS pearson_corr FROM d"
+    q["m9_pearson_by_engine"] = f"""{d} SELECT engine_type, COUNT(*) AS n, {R('corr(distance, fuel_burn)', 6)} AS pearson_corr
+FROM d GROUP BY engine_type"""
+    def rk(part):
+        p = f"PARTITION BY {part}, " if part else "PARTITION BY "
+        o = f"PARTITION BY {part} " if part else ""
+        return (f"r AS (SELECT *, RANK() OVER ({o}ORDER BY distance) - 1 + (COUNT(*) OVER ({p}distance) + 1) / 2.0 AS rx, "
+                f"RANK() OVER ({o}ORDER BY fuel_burn) - 1 + (COUNT(*) OVER ({p}fuel_burn) + 1) / 2.0 AS ry FROM d)")
+    q["m9_spearman"] = f"{d}, {rk('')} SELECT COUNT(*) AS n, {R('corr(rx, ry)', 6)} AS spearman_corr FROM r"
+    q["m9_spearman_by_engine"] = f"""{d}, {rk('engine_type')} SELECT engine_type, COUNT(*) AS n,
+  {R('corr(rx, ry)', 6)} AS spearman_corr FROM r GROUP BY engine_type"""
+    v = f"{mart('model')}, v AS (SELECT * FROM f WHERE NOT cancelled AND fuel_burn > 0)"
+    q["m10_signal_gate"] = f"""{v},
+c AS (SELECT COUNT(*) AS n, {R('corr(distance, fuel_burn)', 6)} AS pearson_corr FROM v WHERE distance IS NOT NULL),
+g AS (SELECT model_id, AVG(fuel_burn) AS m FROM v GROUP BY model_id HAVING COUNT(*) >= 25),
+k AS (SELECT COUNT(*) AS groups, {R('stddev_samp(m) / AVG(m)', 6)} AS cv FROM g)
+SELECT n, pearson_corr, groups, cv, abs(pearson_corr) > 0.30 OR cv > 0.25 AS has_signal FROM c CROSS JOIN k"""
+    q["m12_fd_audit"] = f"""{mart('model')}
+SELECT (SELECT COUNT(*) FROM (SELECT model_id FROM f GROUP BY model_id HAVING COUNT(DISTINCT mtow) > 1)) AS model_mtow_violations,
+  (SELECT COUNT(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(DISTINCT l_partkey) > 1)) AS line_key_part_violations,
+  (SELECT {CNT('distance <= 0')} FROM f) AS non_positive_distance"""
+    q["m13_numeric_profile"] = f"""
+WITH u AS (UNPIVOT (SELECT l_quantity + 0.0 AS l_quantity, l_extendedprice + 0.0 AS l_extendedprice,
+                           l_discount + 0.0 AS l_discount, l_tax + 0.0 AS l_tax FROM lineitem)
+           ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME "column" VALUE value)
+SELECT "column", COUNT(value) AS count, {R('AVG(value)', 4)} AS mean, {R('stddev_samp(value)', 4)} AS std,
+  MIN(value) AS min, {R('quantile_cont(value, 0.5)', 4)} AS median, MAX(value) AS max, COUNT(DISTINCT value) AS distinct
+FROM u GROUP BY "column" """
+    q["m14_profile_columns"] = f"""
+WITH o AS (SELECT o_orderstatus, o_orderpriority, strftime(o_orderdate, '%Y-%m-%d') AS order_day,
+                  CAST(o_totalprice AS VARCHAR) AS o_totalprice FROM orders),
+u AS (UNPIVOT o ON o_orderstatus, o_orderpriority, order_day, o_totalprice INTO NAME "column" VALUE value),
+p AS (SELECT "column", COUNT(value) AS non_null, COUNT(DISTINCT value) AS n_distinct,
+             {R("AVG(CASE WHEN TRY_STRPTIME(value, '%Y-%m-%d') IS NOT NULL THEN 1.0 ELSE 0.0 END)", 4)} AS date_parse_rate
+      FROM u GROUP BY "column")
+SELECT *, CASE WHEN "column" = 'o_totalprice' THEN 'numeric' WHEN date_parse_rate > 0.8 THEN 'date'
+  WHEN n_distinct <= 7 THEN 'category_small' WHEN n_distinct <= 15 THEN 'category_medium' ELSE 'text' END AS kind
+FROM p"""
+    q["a11_staged_correction"] = f"""{mart('model')}, s AS (SELECT flight_id, {est.replace('WHEN cancelled', 'WHEN f.cancelled')} AS fn FROM f)
+SELECT f.flight_id, {R('COALESCE(s.fn, f.fuel_burn)', 4)} AS fuel_burn, {R('COALESCE(s.fn * 3.16::DOUBLE, f.co2)', 4)} AS co2
+FROM f LEFT JOIN s ON f.flight_id = s.flight_id"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
     q.update(dashboard())
     q.update(families())
     q.update(views())
+    q.update(etl())
     return q
