@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from contrail.plans import corpus_jobs as O
 from contrail.plans import dashboard as D
 from contrail.plans import etl as X
 from contrail.plans import families as L
@@ -127,4 +128,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m14_profile_columns": _mart(X.m14_profile_columns),
         "a11_staged_correction": _mart(X.a11_staged_correction),
     })
+    for name in ("o1_expand_templates", "o2_dedupe_corpus", "o2_dedupe_documents", "o3_cap_per_family",
+                 "o4_stratified_split", "o5_family_distribution", "o6_integrity_gate",
+                 "o8_schema_problems", "o8_reference_summary", "o9_extract_code",
+                 "o10_statement_kinds", "o13_strip_comments"):
+        q[name] = _mart(getattr(O, name))
     return q

@@ -690,6 +690,64 @@ FROM f LEFT JOIN s ON f.flight_id = s.flight_id"""
     return q
 
 
+def _sq(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def corpus() -> dict[str, str]:
+    from contrail.operators.corpus import integrity_rules
+    from contrail.plans.corpus_jobs import TEMPLATES
+    q: dict[str, str] = {}
+    vals = ",\n  ".join("(" + ", ".join(_sq(v) for v in t) + ")" for t in TEMPLATES)
+    expand = f"""t(template_id, family, param_kind, question, sqltext) AS (VALUES
+  {vals}),
+p AS (SELECT DISTINCT * FROM (
+  SELECT 'airline' AS param_kind, s_name AS value FROM supplier
+  UNION ALL SELECT 'continent', r_name FROM region
+  UNION ALL SELECT 'year', CAST(year(o_orderdate) AS VARCHAR) FROM orders
+  UNION ALL SELECT 'month', CAST(month(o_orderdate) AS VARCHAR) FROM orders)),
+e AS (SELECT family, template_id, replace(question, '{{v}}', value) AS instruction, '' AS input,
+             replace(sqltext, '{{v}}', value) AS output FROM p JOIN t ON p.param_kind = t.param_kind),
+dd AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY instruction, output ORDER BY family, template_id) AS rn
+       FROM e) WHERE rn = 1),
+cap AS (SELECT family, template_id, instruction, input, output FROM (
+       SELECT *, ROW_NUMBER() OVER (PARTITION BY family ORDER BY md5('42|' || instruction), instruction) AS rc
+       FROM dd) WHERE rc <= 200),
+sp AS (SELECT family, instruction, output,
+       CASE WHEN ROW_NUMBER() OVER (PARTITION BY family ORDER BY md5('43|' || instruction), instruction)
+                 <= greatest(1, floor(COUNT(*) OVER (PARTITION BY family) * 0.1)) THEN 'val' ELSE 'train' END AS split
+       FROM cap)"""
+    q["o1_expand_templates"] = f"WITH {expand} SELECT * FROM e"
+    q["o2_dedupe_corpus"] = f"WITH {expand} SELECT family, template_id, instruction, input, output FROM dd"
+    q["o3_cap_per_family"] = f"WITH {expand} SELECT * FROM cap"
+    q["o4_stratified_split"] = f"WITH {expand} SELECT * FROM sp"
+    q["o5_family_distribution"] = f"""WITH {expand} SELECT family, COUNT(*) AS "rows",
+  {CNT("split = 'train'")} AS train, {CNT("split = 'val'")} AS val FROM sp GROUP BY family"""
+    rules = []
+    names = []
+    for name, pat, clear in integrity_rules():
+        cond = f"regexp_matches(n, {_sq(pat)})"
+        if clear:
+            cond += f" AND NOT contains(n, {_sq(clear)})"
+        rules.append(f"{CNT(cond)} AS {name}")
+        names.append(name)
+    q["o6_integrity_gate"] = f"""WITH {expand}, nn AS (SELECT regexp_replace(output, '\\s+', ' ', 'g') AS n FROM cap),
+g AS (SELECT COUNT(*) AS "rows", {', '.join(rules)} FROM nn)
+SELECT *, {' + '.join(names)} AS violations FROM g"""
+    q["o2_dedupe_documents"] = """
+SELECT doc_id, source FROM (SELECT doc_id, source, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn
+FROM documents) WHERE rn = 1"""
+    q["o13_strip_comments"] = r"""
+WITH s AS (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '/\*.*?\*/', '', 'gs'), '--[^\n]*', '', 'g') AS s
+           FROM conversations),
+l AS (SELECT conv_id, turn, list_transform(list_filter(string_split(s, chr(10)),
+        lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> ''), lambda x: regexp_replace(x, '\s+$', '', 'g')) AS lines FROM s),
+i AS (SELECT *, list_min(list_transform(lines, lambda x: length(x) - length(regexp_replace(x, '^\s+', '', 'g')))) AS ind FROM l)
+SELECT conv_id, turn, regexp_replace(array_to_string(list_transform(lines, lambda x: substr(x, COALESCE(ind, 0) + 1)), chr(10)),
+  '^\s+|\s+$', '', 'g') AS clean_text FROM i"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
@@ -697,4 +755,5 @@ def all_queries() -> dict[str, str]:
     q.update(families())
     q.update(views())
     q.update(etl())
+    q.update(corpus())
     return q
