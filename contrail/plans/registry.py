@@ -10,6 +10,7 @@ from contrail.plans import corpus_jobs as O
 from contrail.plans import dashboard as D
 from contrail.plans import etl as X
 from contrail.plans import families as L
+from contrail.plans import ml_jobs as N
 from contrail.plans import views as U
 from contrail.plans import reports as K
 from contrail.plans.mart import FlightMart
@@ -133,4 +134,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                  "o8_schema_problems", "o8_reference_summary", "o9_extract_code",
                  "o10_statement_kinds", "o13_strip_comments"):
         q[name] = _mart(getattr(O, name))
+    for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison",
+                 "n10_feature_importance", "n12_score_catalogue"):
+        q[name] = _mart(getattr(N, name))
     return q

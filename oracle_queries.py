@@ -748,6 +748,38 @@ SELECT conv_id, turn, regexp_replace(array_to_string(list_transform(lines, lambd
     return q
 
 
+def ml() -> dict[str, str]:
+    q: dict[str, str] = {}
+    target = f"({FACTOR_SQL}) * mtow * (minutes / 60.0 * 0.030 + 0.012)"
+    ts = f"""{mart('model')},
+b AS (SELECT flight_id, CAST(model_id AS VARCHAR) AS model, maker, engine_type, distance AS miles,
+             crs_elapsed AS minutes, mtow, CAST(engines AS DOUBLE) AS engines FROM f WHERE NOT cancelled),
+t AS (SELECT *, CASE WHEN mtow > 0 AND minutes > 0 THEN {target} END AS target FROM b),
+d AS (SELECT *, CASE WHEN substr(md5(flight_id), 1, 2) < 'cd' THEN 'train' ELSE 'test' END AS split
+      FROM t WHERE target IS NOT NULL AND target / NULLIF(minutes, 0) BETWEEN 0.3 AND 2000)"""
+    q["n1_training_summary"] = f"""{ts}
+SELECT split, COUNT(*) AS "rows", {R('AVG(target)', 4)} AS mean_target, COUNT(DISTINCT model) AS models
+FROM d GROUP BY split"""
+    def metrics(pred: str, name: str) -> str:
+        return f"""SELECT COUNT(*) AS n, {R('AVG(abs(target - prediction))', 4)} AS mae,
+  {R('sqrt(AVG((target - prediction) * (target - prediction)))', 4)} AS rmse,
+  {R('1 - SUM((target - prediction) * (target - prediction)) / (COUNT(*) * var_pop(target))', 6)} AS r2,
+  {R('AVG(abs((target - prediction) / NULLIF(target, 0))) * 100.0', 4)} AS mape, '{name}' AS baseline
+FROM {pred}"""
+    q["n9_baseline_metrics"] = f"""{ts},
+tr AS (SELECT * FROM d WHERE split = 'train'), te AS (SELECT * FROM d WHERE split = 'test'),
+gm AS (SELECT model, AVG(target) AS gm FROM tr GROUP BY model), gl AS (SELECT AVG(target) AS gl FROM tr),
+p1 AS (SELECT te.target, COALESCE(gm.gm, gl.gl) AS prediction FROM te LEFT JOIN gm ON te.model = gm.model CROSS JOIN gl),
+co AS (SELECT regr_slope(target, miles) AS a, regr_intercept(target, miles) AS b FROM tr),
+p2 AS (SELECT te.target, a * te.miles + b AS prediction FROM te CROSS JOIN co)
+{metrics('p1', 'model_mean')}
+UNION ALL
+{metrics('p2', 'distance_line')}"""
+    q["n13_calibration"] = f"""{ts}
+SELECT maker, COUNT(*) AS flights, {R('AVG(target)', 4)} AS mean_fuel FROM d GROUP BY maker"""
+    return q
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
@@ -756,4 +788,5 @@ def all_queries() -> dict[str, str]:
     q.update(views())
     q.update(etl())
     q.update(corpus())
+    q.update(ml())
     return q
