@@ -14,6 +14,7 @@ from contrail.plans import ml_jobs as N
 from contrail.plans import views as U
 from contrail.plans import reports as K
 from contrail.plans.mart import FlightMart
+from contrail.streaming import streams as P
 
 
 def _mart(fn, **kw):
@@ -137,4 +138,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison",
                  "n10_feature_importance", "n12_score_catalogue"):
         q[name] = _mart(getattr(N, name))
+    q["p1_stream_dedupe"] = P.p1_dedupe_within_watermark
+    q["p2_stream_daily_totals"] = P.p2_daily_totals
+    q["p3_stream_latest_upsert"] = P.p3_latest_event_upsert
     return q

@@ -780,6 +780,20 @@ SELECT maker, COUNT(*) AS flights, {R('AVG(target)', 4)} AS mean_fuel FROM d GRO
     return q
 
 
+def streaming() -> dict[str, str]:
+    return {
+        "p1_stream_dedupe": """
+SELECT DISTINCT user_id, event_type, date_trunc('minute', ts) AS minute FROM events""",
+        "p2_stream_daily_totals": """
+SELECT CAST(date_trunc('day', ts) AS DATE) AS day, event_type, COUNT(*) AS events,
+  CAST(SUM(CAST(value AS DECIMAL(28,2))) AS DOUBLE) AS value_sum FROM events GROUP BY ALL""",
+        "p3_stream_latest_upsert": """
+SELECT user_id, event_id, ts, event_type, value FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""",
+    }
+
+
 def all_queries() -> dict[str, str]:
     q = {}
     q.update(reports())
@@ -789,4 +803,5 @@ def all_queries() -> dict[str, str]:
     q.update(etl())
     q.update(corpus())
     q.update(ml())
+    q.update(streaming())
     return q
