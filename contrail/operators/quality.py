@@ -54,7 +54,10 @@ def corr_audit(df: DataFrame, x: str, y: str, by: Sequence[str] = (), method: st
     else:
         xx, yy = x, y
     g = d.groupBy(*by) if by else d
-    return g.agg(F.count("*").alias("n"), half_up(F.corr(xx, yy), scale).alias(f"{method}_corr"))
+    # corr() raises DIVIDE_BY_ZERO under ANSI on a constant column; the
+    # covariance form with try_divide gives null there instead
+    r = F.try_divide(F.covar_pop(xx, yy), F.stddev_pop(xx) * F.stddev_pop(yy))
+    return g.agg(F.count("*").alias("n"), half_up(r, scale).alias(f"{method}_corr"))
 
 
 def group_profile(df: DataFrame, key: str, x: str, min_n: int = 50, scale: int = 4) -> DataFrame:
