@@ -39,3 +39,9 @@ def pct(num, den, n: int | None = 2) -> Column:
 def count_if(cond: Column) -> Column:
     """SUM(CASE WHEN cond THEN 1 ELSE 0 END) as bigint (0 on empty groups)."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
+
+
+def formatted(x, n: int = 2, suffix: str = "") -> Column:
+    """Presentation text ('1,234.57 min').  The number is rounded
+    half-up first, so the text agrees with the numeric column."""
+    return F.concat(F.format_number(half_up(x, n), n), F.lit(suffix))

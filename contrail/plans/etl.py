@@ -16,9 +16,10 @@ from contrail.functions.numeric import half_up
 from contrail.functions.physics import co2_from_fuel, fuel_estimate
 from contrail.operators import quality as Q
 from contrail.operators.dedupe import dedupe_report, keep_first
-from contrail.operators.keys import coverage, key_set_compare, lookup, surrogate_collisions
-from contrail.operators.model import (backfill_first_valid, build_dimension, fk_null_audit,
-                                      stack_roles)
+from contrail.operators.keys import (coverage, key_set_compare, lookup, not_in, numeric_key,
+                                    surrogate_collisions)
+from contrail.operators.model import (apply_patch, backfill_first_valid, build_dimension,
+                                      fk_null_audit, stack_roles)
 from contrail.plans.mart import FlightMart
 from contrail.sources.versioned import staged_upsert
 
@@ -176,3 +177,47 @@ def a11_staged_correction(m: FlightMart) -> DataFrame:
     out = staged_upsert(base, stage, "flight_id", ["fuel_burn", "co2"])
     return out.select("flight_id", half_up("fuel_burn", 4).alias("fuel_burn"),
                       half_up("co2", 4).alias("co2"))
+
+
+def c5_not_in(m: FlightMart, min_balance: float = 9900.0) -> DataFrame:
+    """Suppliers whose nation is NOT IN the nations of high-balance customers."""
+    rich = m.table("customer").filter(F.col("c_acctbal") > min_balance)
+    return not_in(m.table("supplier"), "s_nationkey", rich, "c_nationkey").select("s_suppkey", "s_name")
+
+
+def c7_name_patterns(m: FlightMart) -> DataFrame:
+    """LIKE prefix / suffix / contains / OR of LIKEs over model names."""
+    p = m.table("part")
+    n = F.col("p_name")
+    return p.groupBy("p_type").agg(
+        F.count_if(n.startswith("small")).alias("prefix_small"),
+        F.count_if(n.endswith("widget")).alias("suffix_widget"),
+        F.count_if(n.contains("red")).alias("contains_red"),
+        F.count_if(n.like("a%") | n.like("b%")).alias("a_or_b"))
+
+
+def d4_left_join_default(m: FlightMart, min_engines: int = 25) -> DataFrame:
+    """Flights per maker of a restricted catalogue (left join, missing ->
+    'Unlisted')."""
+    listed = m.models().filter(F.col("engines") > min_engines).select(
+        F.col("model_id").alias("tail_id"), "maker")
+    f = m.flights().join(listed, "tail_id", "left")
+    return f.groupBy(F.coalesce("maker", F.lit("Unlisted")).alias("maker")).agg(F.count("*").alias("flights"))
+
+
+# fixed values: literal catalogue corrections (model id -> maker, MTOW)
+PATCH = [(i, "PATCHED", 1000.0 + i) for i in range(16)]
+
+
+def b17_patched_catalogue(m: FlightMart) -> DataFrame:
+    patch = m.spark.createDataFrame(PATCH, "model_id bigint, maker string, mtow double")
+    return apply_patch(m.models(), patch, "model_id", ["maker", "mtow"]).select("model_id", "maker", "mtow")
+
+
+def d18_numeric_key_join(m: FlightMart) -> DataFrame:
+    """Order customer keys rendered as '123.0' text joined to customer keys
+    rendered as '123' (numeric normalisation on both sides)."""
+    o = m.table("orders").select("o_orderkey", F.format_string("%.1f", F.col("o_custkey").cast("double")).alias("ck"))
+    c = m.table("customer").select(F.col("c_custkey").cast("string").alias("ck2"), "c_mktsegment")
+    j = o.join(c, numeric_key("ck") == numeric_key("ck2"))
+    return j.groupBy("c_mktsegment").agg(F.count("*").alias("orders"))

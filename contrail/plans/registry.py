@@ -129,6 +129,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m13_numeric_profile": _mart(X.m13_numeric_profile),
         "m14_profile_columns": _mart(X.m14_profile_columns),
         "a11_staged_correction": _mart(X.a11_staged_correction),
+        "c5_not_in": _mart(X.c5_not_in),
+        "c7_name_patterns": _mart(X.c7_name_patterns),
+        "d4_left_join_default": _mart(X.d4_left_join_default),
+        "b17_patched_catalogue": _mart(X.b17_patched_catalogue),
+        "d18_numeric_key_join": _mart(X.d18_numeric_key_join),
     })
     for name in ("o1_expand_templates", "o2_dedupe_corpus", "o2_dedupe_documents", "o3_cap_per_family",
                  "o4_stratified_split", "o5_family_distribution", "o6_integrity_gate",

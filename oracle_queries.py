@@ -687,6 +687,24 @@ FROM p"""
     q["a11_staged_correction"] = f"""{mart('model')}, s AS (SELECT flight_id, {est.replace('WHEN cancelled', 'WHEN f.cancelled')} AS fn FROM f)
 SELECT f.flight_id, {R('COALESCE(s.fn, f.fuel_burn)', 4)} AS fuel_burn, {R('COALESCE(s.fn * 3.16::DOUBLE, f.co2)', 4)} AS co2
 FROM f LEFT JOIN s ON f.flight_id = s.flight_id"""
+    q["c5_not_in"] = """
+SELECT s_suppkey, s_name FROM supplier
+WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900.0)"""
+    q["c7_name_patterns"] = """
+SELECT p_type, COUNT(*) FILTER (WHERE p_name LIKE 'small%') AS prefix_small,
+  COUNT(*) FILTER (WHERE p_name LIKE '%widget') AS suffix_widget,
+  COUNT(*) FILTER (WHERE p_name LIKE '%red%') AS contains_red,
+  COUNT(*) FILTER (WHERE p_name LIKE 'a%' OR p_name LIKE 'b%') AS a_or_b
+FROM part GROUP BY p_type"""
+    q["d4_left_join_default"] = f"""{mart()},
+ls AS (SELECT p_partkey, p_brand FROM part WHERE p_size > 25)
+SELECT COALESCE(ls.p_brand, 'Unlisted') AS maker, COUNT(*) AS flights FROM f LEFT JOIN ls ON f.tail_id = ls.p_partkey
+GROUP BY 1"""
+    q["b17_patched_catalogue"] = """
+SELECT p_partkey AS model_id, CASE WHEN p_partkey BETWEEN 0 AND 15 THEN 'PATCHED' ELSE p_brand END AS maker,
+  CASE WHEN p_partkey BETWEEN 0 AND 15 THEN 1000.0 + p_partkey ELSE p_retailprice END AS mtow FROM part"""
+    q["d18_numeric_key_join"] = """
+SELECT c_mktsegment, COUNT(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment"""
     return q
 
 
