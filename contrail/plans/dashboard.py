@@ -20,10 +20,19 @@ DEFAULT_AIRLINES = tuple(f"Supplier#{i:09d}" for i in range(1, 11))
 EXCLUDED_ENGINES = ("TURBOSHAFT", "PISTON", "UNKNOWN")
 
 
+def _dash_where(months):
+    return F.col("month").between(int(months[0]), int(months[1]))
+
+
 def _dash(m: FlightMart, months, airlines) -> DataFrame:
-    f = m.flights("airline").filter(F.col("month").between(int(months[0]), int(months[1])))
+    """Fact rows of the selected months and airlines.  The airline selection
+    is a semi join against the airlines matching the name list: that side
+    has at most len(airlines) rows (the parameter bounds it), so it is
+    broadcast and the fact is never shuffled for it."""
+    f = m.flights().filter(_dash_where(months))
     if airlines:
-        f = f.filter(F.col("airline_name").isin(list(airlines)))
+        sel = m.airlines().filter(F.col("airline_name").isin(list(airlines))).select("airline_id")
+        f = f.join(F.broadcast(sel), "airline_id", "left_semi")
     return f
 
 
@@ -40,27 +49,36 @@ def k27_delay_kpi(m: FlightMart, months=DEFAULT_MONTHS, airlines=DEFAULT_AIRLINE
 def k28_top_delay_airlines(m: FlightMart, months=DEFAULT_MONTHS,
                            airlines: Sequence[str] | None = None, n: int = 10) -> DataFrame:
     f = _dash(m, months, airlines).filter(~F.col("cancelled"))
-    c = f.groupBy("airline_name").agg(half_up(F.avg("dep_delay_minutes"), 4).alias("avg_delay_min"))
+    c = (f.groupBy("airline_id").agg(half_up(F.avg("dep_delay_minutes"), 4).alias("avg_delay_min"))
+         .join(m.airlines(), "airline_id").select("airline_name", "avg_delay_min"))
     return c.orderBy(F.desc("avg_delay_min"), "airline_name").limit(n)
 
 
-def _valid_fuel(m: FlightMart, *chains) -> DataFrame:
-    return m.flights(*chains).filter(~F.col("cancelled") & (F.col("fuel_burn") > 0))
+def _valid():
+    return ~F.col("cancelled") & (F.col("fuel_burn") > 0)
+
+
+def _per_model_totals(m: FlightMart) -> DataFrame:
+    """Per aircraft: flights and exact CO2 (decimal sums add up exactly when
+    re-aggregated), then the catalogue attributes."""
+    return m.per_model([], [F.count("*").alias("__n"),
+                            F.sum((F.col("fuel_burn") * CO2_FACTOR).cast("decimal(28,2)")).alias("__co2")],
+                       _valid())
 
 
 def k29_emissions_panel(m: FlightMart) -> DataFrame:
-    f = _valid_fuel(m, "model")
-    return f.groupBy("model_id", "maker", "engines").agg(
+    c = m.per_model([], [
         F.count("*").alias("total_flights"),
         half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("co2_lbs"),
         half_up(F.avg("fuel_burn"), 4).alias("avg_fuel_lbs"),
-        half_up(F.avg("distance"), 4).alias("avg_distance"))
+        half_up(F.avg("distance"), 4).alias("avg_distance")], _valid())
+    return c.select("model_id", "maker", "engines", "total_flights", "co2_lbs", "avg_fuel_lbs", "avg_distance")
 
 
 def k29_fleet_totals(m: FlightMart) -> DataFrame:
-    f = _valid_fuel(m, "model")
-    return f.agg(half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("fleet_co2_lbs"),
-                 F.count("*").alias("flights_analysed"),
+    t = _per_model_totals(m)
+    return t.agg(half_up(F.sum("__co2").cast("double"), 2).alias("fleet_co2_lbs"),
+                 F.sum("__n").cast("long").alias("flights_analysed"),
                  F.count_distinct("maker").alias("active_makers"))
 
 
@@ -103,25 +121,24 @@ def k33_catalogue_sizes(m: FlightMart) -> DataFrame:
 
 
 def k34_emission_totals(m: FlightMart) -> DataFrame:
-    f = _valid_fuel(m, "model")
-    return f.agg(half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("total_co2_lbs"),
-                 F.count("*").alias("valid_fuel_flights"),
+    t = _per_model_totals(m)
+    return t.agg(half_up(F.sum("__co2").cast("double"), 2).alias("total_co2_lbs"),
+                 F.sum("__n").cast("long").alias("valid_fuel_flights"),
                  F.count_distinct("maker").alias("active_makers"))
 
 
 def k35_top_models_co2(m: FlightMart, n: int = 5) -> DataFrame:
-    f = _valid_fuel(m, "model")
-    c = f.groupBy("model_id").agg(half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("co2_lbs"))
-    return c.orderBy(F.desc("co2_lbs"), "model_id").limit(n)
+    t = _per_model_totals(m).select("model_id", half_up(F.col("__co2").cast("double"), 2).alias("co2_lbs"))
+    return t.orderBy(F.desc("co2_lbs"), "model_id").limit(n)
 
 
 def k35_top_airlines_co2(m: FlightMart, n: int = 3) -> DataFrame:
     """Both CO2 definitions side by side: the stored co2 column and
     fuel x 3.16."""
-    f = _valid_fuel(m, "airline")
-    c = f.groupBy("airline_name").agg(
-        half_up(exact_sum("co2"), 2).alias("co2_column"),
-        half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("co2_fuel_x316"))
+    c = m.per_airline([], [half_up(exact_sum("co2"), 2).alias("co2_column"),
+                           half_up(exact_sum(F.col("fuel_burn") * CO2_FACTOR), 2).alias("co2_fuel_x316")],
+                      where=~F.col("cancelled") & (F.col("fuel_burn") > 0)
+                      ).select("airline_name", "co2_column", "co2_fuel_x316")
     return c.orderBy(F.desc("co2_fuel_x316"), "airline_name").limit(n)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from contrail.functions.numeric import count_if, exact_sum, half_up, pct, ratio
 from contrail.operators.patterns import (change_vs_previous, moving_avg, pivot_fixed, rank_in,
                                          running_total, share_of, top_n, with_totals)
-from contrail.plans.mart import FlightMart
+from contrail.plans.mart import AIRLINE_ATTRS, AIRLINE_IDENTITY, FlightMart
 
 # which join chain provides each dimension
 DIM_CHAIN = {
@@ -36,10 +36,16 @@ def _chains(*cols) -> tuple[str, ...]:
 def measure_by(m: FlightMart, aggs: dict[str, Column], dims: Sequence[str] = (),
                where: Column | None = None, top: int | None = None, order: str | None = None,
                ascending: bool = False, extra_chains: Sequence[str] = ()) -> DataFrame:
-    f = m.flights(*sorted(set(_chains(*dims)) | set(extra_chains)))
-    if where is not None:
-        f = f.filter(where)
-    out = f.groupBy(*dims).agg(*[c.alias(n) for n, c in aggs.items()])
+    chains = set(_chains(*dims)) | set(extra_chains)
+    if chains == {"airline"} and any(d in AIRLINE_IDENTITY for d in dims) and \
+            all(d in AIRLINE_ATTRS or d not in DIM_CHAIN for d in dims):
+        # one group per airline (+ fact keys): aggregate before the airline join
+        out = m.per_airline(dims, [c.alias(n) for n, c in aggs.items()], where).select(*dims, *aggs)
+    else:
+        f = m.flights(*sorted(chains))
+        if where is not None:
+            f = f.filter(where)
+        out = f.groupBy(*dims).agg(*[c.alias(n) for n, c in aggs.items()])
     if top:
         o = F.col(order or next(iter(aggs)))
         o = o.asc_nulls_last() if ascending else o.desc_nulls_last()
@@ -137,8 +143,8 @@ def l07_cancel_rate_by(m: FlightMart, dim: str = "month") -> DataFrame:
 
 # -- L8 windows over a monthly aggregate ------------------------------------------------
 def _monthly(m: FlightMart) -> DataFrame:
-    return m.flights("airline").groupBy("airline_name", "year", "month").agg(
-        F.count("*").alias("flights"))
+    return m.per_airline(["year", "month"], [F.count("*").alias("flights")]).select(
+        "airline_name", "year", "month", "flights")
 
 
 def l08_monthly_windows(m: FlightMart) -> DataFrame:
@@ -160,7 +166,7 @@ def l08_monthly_windows(m: FlightMart) -> DataFrame:
 
 def l08_top_per_group(m: FlightMart, n: int = 3, kind: str = "row_number") -> DataFrame:
     """Top-N airlines per year by flights (row_number / dense_rank)."""
-    c = m.flights("airline").groupBy("year", "airline_name").agg(F.count("*").alias("flights"))
+    c = m.per_airline(["year"], [F.count("*").alias("flights")]).select("year", "airline_name", "flights")
     return top_n(c, n, "flights", "year", tie="airline_name", name="position", kind=kind)
 
 
@@ -200,17 +206,17 @@ def l09_unpivot_quarters(m: FlightMart) -> DataFrame:
 def l12_above_global_average(m: FlightMart) -> DataFrame:
     """Airlines whose mean delay exceeds the global mean (two aggregates,
     the global one broadcast as a single row)."""
-    f = m.flights("airline").filter(_operated())
-    per = f.groupBy("airline_name").agg(F.avg("dep_delay_minutes").alias("__a"))
-    glob = f.agg(F.avg("dep_delay_minutes").alias("__g"))
+    per = m.per_airline([], [F.avg("dep_delay_minutes").alias("__a")], _operated()).select(
+        "airline_name", "__a")
+    glob = m.flights().filter(_operated()).agg(F.avg("dep_delay_minutes").alias("__g"))
     return (with_totals(per, glob).filter(F.col("__a") > F.col("__g"))
             .select("airline_name", half_up("__a", 4).alias("avg_dep_delay"),
                     half_up("__g", 4).alias("global_avg")))
 
 
 def l12_worst_month_per_airline(m: FlightMart) -> DataFrame:
-    c = (m.flights("airline").filter(_operated()).groupBy("airline_name", "year", "month")
-         .agg(half_up(F.avg("dep_delay_minutes"), 4).alias("avg_dep_delay")))
+    c = m.per_airline(["year", "month"], [half_up(F.avg("dep_delay_minutes"), 4).alias("avg_dep_delay")],
+                      _operated()).select("airline_name", "year", "month", "avg_dep_delay")
     return top_n(c, 1, "avg_dep_delay", "airline_name", tie=["year", "month"], name="position")
 
 

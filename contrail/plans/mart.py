@@ -144,6 +144,12 @@ def models(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_size").alias("engines"), F.col("p_retailprice").alias("mtow"))
 
 
+AIRLINE_ATTRS = ("airline_name", "airline_code", "network_id", "network_name", "alliance_name",
+                 "origin_airport_id", "origin_airport", "origin_state", "origin_continent")
+# attributes that identify a single airline (grouping by them needs no re-aggregation)
+AIRLINE_IDENTITY = ("airline_name", "airline_code")
+
+
 class FlightMart:
     """Builds the flight fact with exactly the join chains a report needs."""
 
@@ -167,9 +173,33 @@ class FlightMart:
     def airlines(self) -> DataFrame:
         return airlines(self.spark, self.sf_dir)
 
+    def per_airline(self, keys, aggs, where=None, chains=()) -> DataFrame:
+        """Eager aggregation: group the fact by ``airline_id`` plus fact-side
+        ``keys``, then attach the airline attributes.  Only per-(airline, key)
+        partial aggregates are shuffled and joined, never the detail rows, so
+        neither a large airline dimension nor a hot airline holding a third
+        of the flights makes a task receive the raw fact.  Exact for any
+        aggregate because every airline attribute depends on airline_id."""
+        f = self.flights(*chains)
+        if where is not None:
+            f = f.filter(where)
+        keys = [k for k in keys if k not in AIRLINE_ATTRS]
+        a = f.groupBy("airline_id", *keys).agg(*aggs)
+        return a.join(self.airlines(), "airline_id")
+
     def models(self) -> DataFrame:
         return models(self.spark, self.sf_dir)
 
+    def per_model(self, keys, aggs, where=None) -> DataFrame:
+        """Eager aggregation on the aircraft chain: group the fact by
+        ``tail_id`` (+ fact keys), then inner-join the model catalogue, so the
+        catalogue join sees one row per aircraft instead of every flight."""
+        f = self.flights()
+        if where is not None:
+            f = f.filter(where)
+        a = f.groupBy("tail_id", *keys).agg(*aggs)
+        return a.join(self.models(), F.col("tail_id") == F.col("model_id")).drop("tail_id")
+
     def airports(self) -> DataFrame:
         """AEROPUERTO with its state / continent chain."""
         return _geo(self.spark, self.sf_dir, "a").select(

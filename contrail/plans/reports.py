@@ -71,11 +71,16 @@ def k02_missing_fuel_counts(m: FlightMart) -> DataFrame:
 
 
 def _per_airline(m: FlightMart, *extra_aggs, where=None) -> DataFrame:
-    f = m.flights("airline")
+    """Aggregate per airline *before* joining the airline dimension (eager
+    aggregation): the fact is reduced map-side to one partial row per
+    airline and task, so only those partials are shuffled and the dimension
+    join sees one row per airline, whatever the size of either side.  Exact
+    because every airline attribute depends on ``airline_id`` alone."""
+    f = m.flights()
     if where is not None:
         f = f.filter(where)
-    return f.groupBy("airline_id", "airline_name", "airline_code").agg(
-        F.count("*").alias("total_flights"), *extra_aggs)
+    a = f.groupBy("airline_id").agg(F.count("*").alias("total_flights"), *extra_aggs)
+    return a.join(m.airlines().select("airline_id", "airline_name", "airline_code"), "airline_id")
 
 
 def k03_airline_size_class(m: FlightMart) -> DataFrame:
@@ -186,11 +191,10 @@ def k09_continent_coverage(m: FlightMart) -> DataFrame:
 
 
 def k10_model_environment(m: FlightMart) -> DataFrame:
-    f = m.flights("model").filter(F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
-    c = (f.groupBy("model_id", "maker", "model_name", "engine_type")
-         .agg(F.count("*").alias("total_flights"), F.avg("distance").alias("__dist"),
-              F.avg("fuel_burn").alias("__fuel"), F.avg("co2").alias("__co2"),
-              exact_sum("fuel_burn").alias("__fuel_tot"), exact_sum("co2").alias("__co2_tot")))
+    c = m.per_model([], [F.count("*").alias("total_flights"), F.avg("distance").alias("__dist"),
+                         F.avg("fuel_burn").alias("__fuel"), F.avg("co2").alias("__co2"),
+                         exact_sum("fuel_burn").alias("__fuel_tot"), exact_sum("co2").alias("__co2_tot")],
+                    F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
     c = c.withColumn("__co2r", half_up("__co2", 6))
     c = c.withColumn("__sys", F.avg("__co2r").over(Window.partitionBy()))
     c = rank_in(c, "__co2r", name="impact_rank")
@@ -296,11 +300,11 @@ def k14_month_end_close(m: FlightMart) -> DataFrame:
 
 
 def k15_quarter_over_quarter(m: FlightMart) -> DataFrame:
-    f = m.flights("airline").filter(F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
-    c = (f.groupBy("year", "quarter", "airline_name", "airline_code")
-         .agg(F.count("*").alias("total_flights"), exact_sum("fuel_burn").alias("fuel_lbs"),
-              exact_sum("co2").alias("co2_lbs"), half_up(F.avg("distance"), 2).alias("avg_distance"),
-              count_if(F.col("cancelled")).alias("cancelled")))
+    c = m.per_airline(["year", "quarter"], [
+        F.count("*").alias("total_flights"), exact_sum("fuel_burn").alias("fuel_lbs"),
+        exact_sum("co2").alias("co2_lbs"), half_up(F.avg("distance"), 2).alias("avg_distance"),
+        count_if(F.col("cancelled")).alias("cancelled")],
+        where=F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
     c = share_of(c, "total_flights", ["year", "airline_name"], "share_of_year_pct")
     c = share_of(c, "total_flights", ["year", "quarter"], "share_of_quarter_pct")
     c = change_vs_previous(c, "total_flights", ["year", "airline_name"], "quarter", "prev_flights")
@@ -325,24 +329,23 @@ def k15_quarter_over_quarter(m: FlightMart) -> DataFrame:
 
 # ---------------------------------------------------------------- mission 4
 def k16_top_origin_airports(m: FlightMart, n: int = 3) -> DataFrame:
-    f = m.flights("airline")
-    c = f.groupBy("origin_state", "origin_airport_id", "origin_airport").agg(
-        F.count("*").alias("total_flights"))
+    # counts are additive: per-airline partial counts, then per origin airport
+    c = (m.per_airline([], [F.count("*").alias("__n")])
+         .groupBy("origin_state", "origin_airport_id", "origin_airport")
+         .agg(F.sum("__n").cast("long").alias("total_flights")))
     return top_n(c, n, "total_flights", "origin_state", tie="origin_airport_id",
                  name="position_in_state")
 
 
 def k17_rank_in_network(m: FlightMart) -> DataFrame:
-    f = m.flights("airline")
-    c = f.groupBy("network_name", "airline_name", "airline_code", "year", "quarter").agg(
-        F.count("*").alias("total_flights"))
+    c = m.per_airline(["year", "quarter"], [F.count("*").alias("total_flights")]).select(
+        "network_name", "airline_name", "airline_code", "year", "quarter", "total_flights")
     return rank_in(c, "total_flights", ["network_name", "year", "quarter"], name="position_in_network")
 
 
 def k18_change_vs_previous_quarter(m: FlightMart) -> DataFrame:
-    f = m.flights("airline")
-    c = f.groupBy("airline_name", "airline_code", "year", "quarter").agg(
-        F.count("*").alias("flights_this_quarter"))
+    c = m.per_airline(["year", "quarter"], [F.count("*").alias("flights_this_quarter")]).select(
+        "airline_name", "airline_code", "year", "quarter", "flights_this_quarter")
     c = change_vs_previous(c, "flights_this_quarter", "airline_name", ["year", "quarter"],
                            "flights_prev_quarter", "abs_change", "pct_change")
     n, p = F.col("flights_this_quarter"), F.col("flights_prev_quarter")
@@ -351,16 +354,15 @@ def k18_change_vs_previous_quarter(m: FlightMart) -> DataFrame:
 
 
 def k19_daily_running_total(m: FlightMart, start="1998-09-01", end="1998-09-30") -> DataFrame:
-    f = m.flights("airline").filter(F.col("flight_date").between(_day(start), _day(end)))
-    c = f.groupBy("airline_name", "airline_code", "flight_date").agg(
-        F.count("*").alias("flights_of_day"))
+    c = m.per_airline(["flight_date"], [F.count("*").alias("flights_of_day")],
+                      where=F.col("flight_date").between(_day(start), _day(end))).select(
+        "airline_name", "airline_code", "flight_date", "flights_of_day")
     return running_total(c, "flights_of_day", "airline_name", "flight_date", "month_to_date")
 
 
 def k20_share_system_alliance(m: FlightMart) -> DataFrame:
-    f = m.flights("airline")
-    c = f.groupBy("alliance_name", "airline_name", "airline_code").agg(
-        F.count("*").alias("total_flights"))
+    c = m.per_airline([], [F.count("*").alias("total_flights")]).select(
+        "alliance_name", "airline_name", "airline_code", "total_flights")
     c = (c.withColumn("system_total", F.sum("total_flights").over(Window.partitionBy()))
          .withColumn("alliance_total", F.sum("total_flights").over(Window.partitionBy("alliance_name"))))
     c = share_of(c, "total_flights", name="global_share_pct")
@@ -371,10 +373,11 @@ def k20_share_system_alliance(m: FlightMart) -> DataFrame:
 
 # ---------------------------------------------------------------- mission 5
 def k21_quarterly_co2_matrix(m: FlightMart) -> DataFrame:
-    f = m.flights("airline").filter(~F.col("cancelled") & F.col("co2").isNotNull())
     qs = [half_up(exact_sum(F.when(F.col("quarter") == i, F.col("co2")).otherwise(F.lit(0.0))), 0)
           .alias(f"q{i}_co2_lbs") for i in (1, 2, 3, 4)]
-    return f.groupBy("airline_name").agg(*qs, half_up(exact_sum("co2"), 0).alias("total_co2_lbs"))
+    c = m.per_airline([], [*qs, half_up(exact_sum("co2"), 0).alias("total_co2_lbs")],
+                      where=~F.col("cancelled") & F.col("co2").isNotNull())
+    return c.select("airline_name", *[f"q{i}_co2_lbs" for i in (1, 2, 3, 4)], "total_co2_lbs")
 
 
 def k22_ytd_delay(m: FlightMart, ref_date="2000-06-15", top: int | None = None) -> DataFrame:
@@ -383,11 +386,12 @@ def k22_ytd_delay(m: FlightMart, ref_date="2000-06-15", top: int | None = None)
     is a date-range predicate, so it reaches the parquet scan; it keeps whole
     (airline, year) prefixes, so the running sums are unchanged by it."""
     ref = _day(ref_date)
-    f = m.flights("airline").filter(~F.col("cancelled"))
+    cond = ~F.col("cancelled")
     if ref_date is not None:
-        f = f.filter((F.col("year") == ref.year) & (F.col("month") <= ref.month))
-    c = f.groupBy("airline_name", "year", "month").agg(
-        F.sum(F.col("dep_delay_minutes") + F.col("arr_delay_minutes")).cast("long").alias("delay_minutes"))
+        cond = cond & (F.col("year") == ref.year) & (F.col("month") <= ref.month)
+    c = m.per_airline(["year", "month"], [
+        F.sum(F.col("dep_delay_minutes") + F.col("arr_delay_minutes")).cast("long").alias("delay_minutes")],
+        where=cond).select("airline_name", "year", "month", "delay_minutes")
     c = running_total(c, "delay_minutes", ["airline_name", "year"], "month", "ytd_delay_minutes")
     if top:
         best = (c.groupBy("airline_name").agg(F.max("ytd_delay_minutes").alias("__m"))

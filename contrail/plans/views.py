@@ -21,10 +21,10 @@ def v_flight_delay(m: FlightMart) -> DataFrame:
 
 
 def v_airline_summary(m: FlightMart) -> DataFrame:
-    f = m.flights("airline")
-    return f.groupBy("airline_name", "airline_code").agg(
+    return m.per_airline([], [
         F.count("*").alias("flights"), count_if(F.col("cancelled")).alias("cancelled"),
-        half_up(F.avg(F.when(~F.col("cancelled"), F.col("dep_delay_minutes"))), 4).alias("avg_dep_delay"))
+        half_up(F.avg(F.when(~F.col("cancelled"), F.col("dep_delay_minutes"))), 4).alias("avg_dep_delay")]
+    ).select("airline_name", "airline_code", "flights", "cancelled", "avg_dep_delay")
 
 
 def v_destination_geo(m: FlightMart) -> DataFrame:
@@ -79,8 +79,9 @@ def p_airline_summary(m: FlightMart, airline_code: str) -> DataFrame:
 
 
 def p_delayed_over(m: FlightMart, minutes: int) -> DataFrame:
-    f = m.flights("airline").filter(~F.col("cancelled") & (F.col("dep_delay_minutes") > F.lit(minutes)))
-    return f.groupBy("airline_name").agg(F.count("*").alias("delayed_flights"))
+    return m.per_airline([], [F.count("*").alias("delayed_flights")],
+                         ~F.col("cancelled") & (F.col("dep_delay_minutes") > F.lit(minutes))
+                         ).select("airline_name", "delayed_flights")
 
 
 def p_distance_group_metrics(m: FlightMart, group: int) -> DataFrame:
