@@ -1,9 +1,9 @@
 """Data-quality audits and profiles.
 
-All audits are aggregations; none collects rows to the driver.  Rank-based
-statistics (Spearman) rank within groups when a group column is given; the
-global ranking uses a range-partitioned count of distinct values with
-per-partition offsets, so no single task ever sorts the whole column.
+All audits are aggregations; none collects rows to the driver.  Ranks and
+exact percentiles come from :func:`value_positions` (distinct values, a
+bucketed running count and per-bucket offsets), so no single task ever sorts
+or buffers a whole column or group.
 """
 
 from __future__ import annotations
@@ -16,32 +16,69 @@ from pyspark.sql import functions as F
 from contrail.functions.numeric import half_up
 
 
+def value_positions(df: DataFrame, col: str, by: Sequence[str] = (), buckets: int = 64) -> DataFrame:
+    """Distinct values of ``col`` (per ``by`` group) with their row count
+    ``__n`` and ``__before`` = number of rows with a smaller value.
+
+    Only distinct (group, value) pairs are shuffled (a value repeated on a
+    third of the rows is one row after the map-side count).  The running
+    count is computed inside value buckets whose boundaries are approximate
+    quantiles fixed as literals in the plan, then shifted by the exact row
+    totals of the lower buckets; no task ever orders a whole group, and a
+    recomputed partition lands in the same bucket (no sampling at run time)."""
+    by = list(by)
+    d = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count("*").alias("__n"))
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(b for b in df.approxQuantile(col, probs, 0.001) if b is not None)) if buckets > 1 else []
+    v = F.col(col).cast("double")
+    bucket = F.lit(0)
+    for bound in bounds:  # bucket = number of boundaries <= value (plain codegen'd comparisons)
+        bucket = bucket + F.when(v >= F.lit(float(bound)), 1).otherwise(0)
+    d = d.withColumn("__b", bucket)
+    w = Window.partitionBy(*by, "__b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
+    d = d.withColumn("__local", F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    tot = d.groupBy(*by, "__b").agg(F.sum("__n").alias("__bn"))
+    tot = tot.withColumn("__off", F.coalesce(F.sum("__bn").over(
+        Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return (d.join(tot.select(*by, "__b", "__off"), [*by, "__b"])
+            .withColumn("__before", F.col("__off") + F.col("__local")).drop("__b", "__local", "__off"))
+
+
 def average_rank(df: DataFrame, col: str, by: Sequence[str] = (), name: str | None = None,
-                 partitions: int = 64) -> DataFrame:
+                 buckets: int = 64) -> DataFrame:
     """Average rank of ``col`` (ties share the mean of their positions), over
     all rows or within ``by`` groups; null values get a null rank."""
     name = name or f"{col}_rank"
     by = list(by)
-    d = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count("*").alias("__n"))
-    if by:
-        w = Window.partitionBy(*by).orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-        d = d.withColumn("__before", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    else:
-        # range partitions hold contiguous value ranges: rank inside each one,
-        # then add the row count of all lower partitions.
-        d = d.repartitionByRange(partitions, col).withColumn("__pid", F.spark_partition_id())
-        d = d.checkpoint()  # pin the partition assignment (range bounds are sampled)
-        w = Window.partitionBy("__pid").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-        d = d.withColumn("__local", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-        tot = d.groupBy("__pid").agg(F.sum("__n").alias("__pn"))
-        tot = tot.withColumn("__off", F.coalesce(F.sum("__pn").over(
-            Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        d = d.join(F.broadcast(tot.select("__pid", "__off")), "__pid") \
-             .withColumn("__before", F.col("__off") + F.col("__local"))
+    d = value_positions(df, col, by, buckets)
     d = d.withColumn(name, F.col("__before") + (F.col("__n") + 1) / 2.0)
     return df.join(d.select(*by, col, name), [*by, col], "left")
 
 
+def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
+                      names: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
+    """Exact linear-interpolation percentiles (PERCENTILE_CONT) computed from
+    value positions: for each p the values at 0-based ranks floor and ceil
+    of p * (n - 1) are picked out and interpolated.  Unlike an exact
+    ``percentile`` aggregate it never holds a group's values in one task."""
+    by = list(by)
+    names = list(names or [f"p{int(round(p * 1000)):03d}" for p in probs])
+    pos = value_positions(df, col, by, buckets)
+    n = pos.groupBy(*by).agg(F.sum("__n").alias("__total"))
+    pos = pos.join(n, by) if by else pos.crossJoin(F.broadcast(n))
+    picks = []
+    for p, nm in zip(probs, names):
+        r = (F.col("__total") - 1) * float(p)
+        lo, hi = F.floor(r), F.ceil(r)
+        covers = lambda k: (F.col("__before") <= k) & (k < F.col("__before") + F.col("__n"))
+        picks += [F.max(F.when(covers(lo), F.col(col).cast("double"))).alias(f"{nm}__lo"),
+                  F.max(F.when(covers(hi), F.col(col).cast("double"))).alias(f"{nm}__hi"),
+                  F.first(r - lo).alias(f"{nm}__f")]
+    g = pos.groupBy(*by).agg(*picks) if by else pos.agg(*picks)
+    return g.select(*by, *[(F.col(f"{nm}__lo") + (F.col(f"{nm}__hi") - F.col(f"{nm}__lo")) * F.col(f"{nm}__f"))
+                           .alias(nm) for nm in names])
+
+
 def corr_audit(df: DataFrame, x: str, y: str, by: Sequence[str] = (), method: str = "pearson",
                scale: int = 6) -> DataFrame:
     """Pearson or Spearman correlation, global or per group.
@@ -98,11 +135,16 @@ def numeric_profile(df: DataFrame, cols: Sequence[str], scale: int = 4) -> DataF
     # "+ 0.0" folds IEEE negative zero into 0.0 so min / max / distinct are stable
     long = df.select(*[(F.col(c).cast("double") + F.lit(0.0)).alias(c) for c in cols]).unpivot(
         [], list(cols), "column", "value")
-    return long.groupBy("column").agg(
+    stats = long.groupBy("column").agg(
         F.count("value").alias("count"), half_up(F.avg("value"), scale).alias("mean"),
         half_up(F.stddev_samp("value"), scale).alias("std"), F.min("value").alias("min"),
-        half_up(F.percentile("value", 0.5), scale).alias("median"), F.max("value").alias("max"),
-        F.count_distinct("value").alias("distinct"))
+        F.max("value").alias("max"))
+    med = exact_percentiles(long, "value", [0.5], ["column"], ["__med"])
+    distinct = long.filter(F.col("value").isNotNull()).groupBy("column", "value").count() \
+        .groupBy("column").agg(F.count("*").alias("distinct"))
+    return (stats.join(med, "column", "left").join(distinct, "column", "left")
+            .select("column", "count", "mean", "std", "min", half_up("__med", scale).alias("median"), "max",
+                    F.coalesce("distinct", F.lit(0)).alias("distinct")))
 
 
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None, sample_fmt: str = "yyyy-MM-dd",

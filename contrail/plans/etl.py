@@ -64,8 +64,7 @@ def b_clean_orders(m: FlightMart) -> DataFrame:
 
 def b25_quantile_trim(m: FlightMart, lo: float = 0.001, hi: float = 0.999) -> DataFrame:
     li = m.table("lineitem")
-    b = li.agg(F.percentile("l_extendedprice", lo).alias("__lo"),
-               F.percentile("l_extendedprice", hi).alias("__hi"))
+    b = Q.exact_percentiles(li, "l_extendedprice", [lo, hi], names=["__lo", "__hi"])
     k = li.crossJoin(F.broadcast(b)).filter(F.col("l_extendedprice").between(F.col("__lo"), F.col("__hi")))
     return k.groupBy(half_up("__lo", 4).alias("lower_bound"), half_up("__hi", 4).alias("upper_bound")) \
             .agg(F.count("*").alias("rows_kept"))

@@ -107,3 +107,18 @@ def test_profiles_and_audits(df):
     assert (coh.incoherent, coh.incoherent_pct) == (1, 50.0)
     cv = Q.cv_of_group_means(df([("a", 1.0), ("b", 3.0)], "k string, x double"), "k", "x", 1).first()
     assert abs(cv.cv - (2 ** 0.5 / 2.0)) < 1e-6
+
+
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+    rows = [("hot", 7.0)] * 300 + [("hot", float(i % 37)) for i in range(600)] + \
+           [("small", v) for v in (1.0, 2.0, 2.0, 10.0)] + [("one", 5.0)]
+    d = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.p10, r.p50, r.p99) for r in
+           Q.exact_percentiles(d, "v", [0.1, 0.5, 0.99], ["g"], ["p10", "p50", "p99"], buckets=8).collect()}
+    for g in ("hot", "small", "one"):
+        vals = np.array([v for k, v in rows if k == g])
+        want = tuple(float(np.quantile(vals, p)) for p in (0.1, 0.5, 0.99))
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want)), (g, got[g], want)
+    glob = Q.exact_percentiles(d, "v", [0.5], names=["m"], buckets=4).first().m
+    assert abs(glob - float(np.quantile(np.array([v for _, v in rows]), 0.5))) < 1e-9
