@@ -114,9 +114,9 @@ def k33_catalogue_sizes(m: FlightMart) -> DataFrame:
     cross joined (E19)."""
     a = m.table("supplier").agg(F.count("*").alias("airlines"))
     mo = m.table("part").agg(F.count("*").alias("models"))
-    ap = m.flights("airline", "dest").agg(
-        F.count_distinct("origin_airport_id").alias("origin_airports"),
-        F.count_distinct("dest_airport_id").alias("dest_airports"))
+    orig, dest = m.used_airports()
+    ap = orig.agg(F.count_distinct("origin_airport_id").alias("origin_airports")).crossJoin(
+        dest.agg(F.count_distinct("dest_airport_id").alias("dest_airports")))
     return with_totals(with_totals(a, mo), ap)
 
 

@@ -95,11 +95,11 @@ def d17_key_sets(m: FlightMart) -> DataFrame:
 
 
 def h2_airport_roles(m: FlightMart) -> DataFrame:
-    f = m.flights("airline", "dest")
-    return stack_roles(f, {"origin": {"origin_airport_id": "airport_id", "origin_airport": "airport",
-                                      "origin_state": "state"},
-                           "dest": {"dest_airport_id": "airport_id", "dest_airport": "airport",
-                                    "dest_state": "state"}}, "airport_id")
+    orig, dest = m.used_airports()
+    return stack_roles({"origin": (orig, {"origin_airport_id": "airport_id", "origin_airport": "airport",
+                                          "origin_state": "state"}),
+                        "dest": (dest, {"dest_airport_id": "airport_id", "dest_airport": "airport",
+                                        "dest_state": "state"})}, "airport_id")
 
 
 def m4_first_destination(m: FlightMart) -> DataFrame:

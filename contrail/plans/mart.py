@@ -200,6 +200,17 @@ class FlightMart:
         a = f.groupBy("tail_id", *keys).agg(*aggs)
         return a.join(self.models(), F.col("tail_id") == F.col("model_id")).drop("tail_id")
 
+    def used_airports(self) -> tuple[DataFrame, DataFrame]:
+        """Origin and destination airport rows actually used by flights,
+        found from the distinct foreign keys of the fact (airline, customer)
+        so the fact itself is never pushed through the dimension joins."""
+        f = self.flights()
+        orig = f.select("airline_id").distinct().join(self.airlines(), "airline_id") \
+            .select("origin_airport_id", "origin_airport", "origin_state").distinct()
+        dest = f.select("cust_id").distinct().join(destinations(self.spark, self.sf_dir), "cust_id") \
+            .select("dest_airport_id", "dest_airport", "dest_state").distinct()
+        return orig, dest
+
     def airports(self) -> DataFrame:
         """AEROPUERTO with its state / continent chain."""
         return _geo(self.spark, self.sf_dir, "a").select(

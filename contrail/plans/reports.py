@@ -175,9 +175,9 @@ def k08_airline_quarter_matrix(m: FlightMart) -> DataFrame:
 def k09_continent_coverage(m: FlightMart) -> DataFrame:
     ap = m.airports()
     total = ap.groupBy("continent").agg(F.count_distinct("airport_id").alias("total_airports"))
-    f = m.flights("airline", "dest")
-    used = (f.select(F.col("origin_airport_id").alias("airport_id"))
-            .union(f.select(F.col("dest_airport_id").alias("airport_id"))).distinct())
+    orig, dest = m.used_airports()
+    used = (orig.select(F.col("origin_airport_id").alias("airport_id"))
+            .union(dest.select(F.col("dest_airport_id").alias("airport_id"))).distinct())
     active = (ap.join(used, "airport_id", "left_semi").groupBy("continent")
               .agg(F.count_distinct("airport_id").alias("active_airports")))
     j = total.join(active, "continent")

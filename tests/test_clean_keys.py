@@ -114,8 +114,8 @@ def test_dimension_and_fk_checks(df):
 def test_stack_roles_priority_and_backfill(df):
     d = df([(1, "JFK", "NY", 2, "LAX", "CA"), (2, "LAX", "California", 1, "JFK", "New York")],
            "o_id int, o_code string, o_state string, d_id int, d_code string, d_state string")
-    s = stack_roles(d, {"origin": {"o_id": "id", "o_code": "code", "o_state": "state"},
-                        "dest": {"d_id": "id", "d_code": "code", "d_state": "state"}}, "id")
+    s = stack_roles({"origin": (d, {"o_id": "id", "o_code": "code", "o_state": "state"}),
+                     "dest": (d, {"d_id": "id", "d_code": "code", "d_state": "state"})}, "id")
     assert {(r.id, r.state) for r in s.collect()} == {(1, "NY"), (2, "California")}
     f = df([("a", None, 1), ("a", "n1", 2), ("a", "n2", 3), ("b", "n9", 5)], "k string, v string, o int")
     assert {(r.k, r.v) for r in backfill_first_valid(f, "k", "v", "o").collect()} == {("a", "n1"), ("b", "n9")}
