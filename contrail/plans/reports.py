@@ -412,7 +412,12 @@ def k23_mtd_fuel(m: FlightMart, ref_date="2000-06-15") -> DataFrame:
 
 
 def _route_metrics(m: FlightMart, min_flights: int) -> DataFrame:
-    f = m.flights("airline", "dest")
+    return route_metrics(m.flights("airline", "dest"), min_flights)
+
+
+def route_metrics(f: DataFrame, min_flights: int = ROUTE_MIN_FLIGHTS) -> DataFrame:
+    """Per (origin, destination) route: flights, cancellations, mean delay
+    and cancel rate, for routes with more than ``min_flights`` flights."""
     return (f.groupBy("origin_airport", "dest_airport")
             .agg(F.count("*").alias("total_flights"),
                  count_if(F.col("cancelled")).alias("cancelled"),

@@ -77,3 +77,12 @@ def test_month_end_leap_day(df):
     d = df([(dt.date(2020, 2, 29),), (dt.date(2020, 2, 28),), (dt.date(2019, 2, 28),)], "d date")
     got = [r[0] for r in d.select(F.col("d") == F.last_day("d")).collect()]
     assert got == [True, False, True]
+
+
+def test_route_threshold_50_vs_51_and_risk_bands(df):
+    from contrail.plans.reports import _risk, route_metrics
+    rows = [("AAA", "BBB", False, 10)] * 50 + [("AAA", "CCC", i == 0, 20) for i in range(51)]
+    f = df(rows, "origin_airport string, dest_airport string, cancelled boolean, dep_delay_minutes int")
+    r = route_metrics(f, 50).withColumn("risk", _risk(F.col("__rate"), F.col("__delay"))).collect()
+    assert [(x.dest_airport, x.total_flights, x.cancelled) for x in r] == [("CCC", 51, 1)]  # HAVING > 50
+    assert r[0].risk == "Moderate risk"  # 1.96 % cancelled > 1.0, mean delay 20 > 15
