@@ -55,6 +55,19 @@ def average_rank(df: DataFrame, col: str, by: Sequence[str] = (), name: str | No
     return df.join(d.select(*by, col, name), [*by, col], "left")
 
 
+def global_rank(df: DataFrame, col: str, name: str = "rank", descending: bool = True,
+                buckets: int = 64) -> DataFrame:
+    """RANK() OVER (ORDER BY col) without a single-task window: the rank is
+    1 + the number of rows with a strictly better value, read from the
+    bucketed value positions.  Rows with a null value get a null rank."""
+    pos = value_positions(df, col, [], buckets)
+    tot = pos.agg(F.sum("__n").alias("__total"))
+    pos = pos.crossJoin(F.broadcast(tot))
+    better = (F.col("__total") - F.col("__before") - F.col("__n")) if descending else F.col("__before")
+    r = pos.select(col, (better + 1).cast("long").alias(name))
+    return df.join(r, col, "left")
+
+
 def exact_percentiles(df: DataFrame, col: str, probs: Sequence[float], by: Sequence[str] = (),
                       names: Sequence[str] | None = None, buckets: int = 64) -> DataFrame:
     """Exact linear-interpolation percentiles (PERCENTILE_CONT) computed from

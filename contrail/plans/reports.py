@@ -195,9 +195,13 @@ def k10_model_environment(m: FlightMart) -> DataFrame:
                          F.avg("fuel_burn").alias("__fuel"), F.avg("co2").alias("__co2"),
                          exact_sum("fuel_burn").alias("__fuel_tot"), exact_sum("co2").alias("__co2_tot")],
                     F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
+    # one row per model, and the model count grows with the catalogue: the
+    # system average is a one-row aggregate and the rank comes from value
+    # positions, so no step funnels all models through one task
+    from contrail.operators.quality import global_rank
     c = c.withColumn("__co2r", half_up("__co2", 6))
-    c = c.withColumn("__sys", F.avg("__co2r").over(Window.partitionBy()))
-    c = rank_in(c, "__co2r", name="impact_rank")
+    c = with_totals(c, c.agg(F.avg("__co2r").alias("__sys")))
+    c = global_rank(c, "__co2r", "impact_rank")
     hi, mid, lo = ENV_BANDS
     co2, sysavg = F.col("__co2r"), F.col("__sys")
     return c.select("model_id", "maker", "model_name", "engine_type", "total_flights",

@@ -122,3 +122,15 @@ def test_exact_percentiles_match_numpy(spark):
         assert all(abs(a - b) < 1e-9 for a, b in zip(got[g], want)), (g, got[g], want)
     glob = Q.exact_percentiles(d, "v", [0.5], names=["m"], buckets=4).first().m
     assert abs(glob - float(np.quantile(np.array([v for _, v in rows]), 0.5))) < 1e-9
+
+
+def test_global_rank_matches_window_rank(df):
+    from pyspark.sql import Window
+    rows = [(i, None if v is None else float(v)) for i, v in enumerate([5, 3, 5, 1, 9, 9, 9, 2, None])]
+    d = df(rows, "id int, v double")
+    got = {r.id: r.rank for r in Q.global_rank(d, "v", buckets=3).collect()}
+    want = {r.id: r.rk for r in d.filter("v IS NOT NULL").withColumn(
+        "rk", F.rank().over(Window.orderBy(F.desc("v")))).collect()}
+    assert {k: v for k, v in got.items() if k != 8} == want and got[8] is None
+    asc = {r.id: r.rank for r in Q.global_rank(d, "v", descending=False, buckets=2).collect()}
+    assert asc[3] == 1 and asc[4] == 6 and asc[0] == 4
