@@ -173,6 +173,14 @@ class FlightMart:
     def airlines(self) -> DataFrame:
         return airlines(self.spark, self.sf_dir)
 
+    def persisted(self, *chains: str) -> DataFrame:
+        """The flight fact (with the given chains) kept across reports
+        of one session (MEMORY_AND_DISK, so it spills instead of failing and
+        is recomputed from lineage if an executor is lost).  Call
+        ``unpersist()`` on it when the session's reports are done."""
+        from pyspark import StorageLevel
+        return self.flights(*chains).persist(StorageLevel.MEMORY_AND_DISK)
+
     def per_airline(self, keys, aggs, where=None, chains=()) -> DataFrame:
         """Eager aggregation: group the fact by ``airline_id`` plus fact-side
         ``keys``, then attach the airline attributes.  Only per-(airline, key)

@@ -86,3 +86,17 @@ def test_ml_split_and_metrics(df):
     m = ML.regression_metrics(df([(1.0, 2.0), (3.0, 3.0), (5.0, 4.0)], "y double, p double"), "y", "p").first()
     assert m.mae == round(2 / 3, 4) and m.rmse == round(math.sqrt(2 / 3), 4)
     assert m.r2 == round(1 - 2 / 8, 6)
+
+
+@pytest.mark.parametrize("name", ["p2_stream_daily_totals", "k19_daily_running_total", "p1_stream_dedupe"])
+def test_session_time_zone_does_not_matter(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        sdf = E.queries()[name](spark, SF_SMALL)
+        cols = sdf.columns
+        got = _rows(sdf.collect(), cols)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = duck.sql(oracle_queries.all_queries()[name])
+    assert got == _rows([dict(zip(rel.columns, r)) for r in rel.fetchall()], cols)

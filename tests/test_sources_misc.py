@@ -56,3 +56,23 @@ def test_delimited_reader_and_missing_columns(spark, tmp_path):
     w = with_missing_columns(d, want)
     assert w.columns == ["FlightDate", "MTOW"] and w.first().MTOW is None
     assert dict(w.dtypes)["MTOW"] == "double"
+
+
+def test_bucketed_fact_join_needs_no_shuffle(spark, tmp_path):
+    from contrail.sources.versioned import write_bucketed
+    from contrail.sources.tables import table
+    db = f"bk_{abs(hash(str(tmp_path))) % 10**8}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{tmp_path}/{db}'")
+    li = table(spark, "/root/testdata/sf0.001", "lineitem").select("l_orderkey", "l_quantity")
+    o = table(spark, "/root/testdata/sf0.001", "orders").select("o_orderkey", "o_custkey")
+    write_bucketed(li, f"{db}.li", "l_orderkey", 4)
+    write_bucketed(o, f"{db}.o", "o_orderkey", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        j = spark.table(f"{db}.li").join(spark.table(f"{db}.o"), F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == li.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
