@@ -160,12 +160,31 @@ class FlightMart:
         return table(self.spark, self.sf_dir, name)
 
     def flights(self, *chains: str) -> DataFrame:
-        """chains: any of 'airline' (incl. origin geography), 'dest', 'model'."""
+        """chains: any of 'airline' (incl. origin geography), 'dest', 'model'.
+
+        The growing dimension (supplier / customer) is joined on its projected
+        key columns alone and the fixed-size nation / region geography is
+        attached afterwards as a broadcast.  Pre-joining the two would make the
+        planner (no CBO) estimate the dimension as the product of both sizes
+        and fall back to a sort-merge join even when the dimension is small."""
         f = flights(self.spark, self.sf_dir)
         if "airline" in chains:
-            f = f.join(airlines(self.spark, self.sf_dir), "airline_id")
+            s = table(self.spark, self.sf_dir, "supplier").select(
+                F.col("s_suppkey").alias("airline_id"), F.col("s_name").alias("airline_name"),
+                F.col("s_suppkey").cast("string").alias("airline_code"),
+                F.col("s_nationkey").alias("__s_nation"))
+            g = _geo(self.spark, self.sf_dir, "origin")
+            f = (f.join(s, "airline_id").join(g, F.col("__s_nation") == F.col("origin_airport_id"))
+                 .withColumn("network_id", F.col("origin_airport_id"))
+                 .withColumn("network_name", F.col("origin_airport"))
+                 .withColumn("alliance_name", F.col("origin_state"))
+                 .drop("__s_nation", "origin_state_id"))
         if "dest" in chains:
-            f = f.join(destinations(self.spark, self.sf_dir), "cust_id")
+            c = table(self.spark, self.sf_dir, "customer").select(
+                F.col("c_custkey").alias("cust_id"), F.col("c_nationkey").alias("__c_nation"))
+            g = _geo(self.spark, self.sf_dir, "dest")
+            f = (f.join(c, "cust_id").join(g, F.col("__c_nation") == F.col("dest_airport_id"))
+                 .drop("__c_nation", "dest_state_id"))
         if "model" in chains:
             f = f.join(models(self.spark, self.sf_dir), F.col("tail_id") == F.col("model_id"))
         return f
