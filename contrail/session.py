@@ -17,9 +17,25 @@ _BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a long session of many small queries: keep the driver's status store small
+    "spark.ui.retainedJobs": "100",
+    "spark.ui.retainedStages": "100",
+    "spark.ui.retainedTasks": "10000",
+    "spark.sql.ui.retainedExecutions": "50",
 }
 
 
+def _local_heap() -> str:
+    """Local mode runs driver and executors in one JVM: give it most of the
+    machine (Spark's 1g default makes long sessions GC-bound)."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        gb = max(2, min(16, int(total * 0.6 / 2**30)))
+    except (ValueError, OSError, AttributeError):
+        gb = 4
+    return f"{gb}g"
+
+
 def get_spark(app: str = "contrail", cpus: int | str | None = None,
               shuffle_partitions: int | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
@@ -37,6 +53,7 @@ def get_spark(app: str = "contrail", cpus: int | str | None = None,
     builder = SparkSession.builder.appName(app).master(f"local[{cpus}]")
     conf = dict(_BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    conf.setdefault("spark.driver.memory", os.environ.get("CONTRAIL_DRIVER_MEMORY", _local_heap()))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
