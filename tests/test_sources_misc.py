@@ -76,3 +76,20 @@ def test_bucketed_fact_join_needs_no_shuffle(spark, tmp_path):
         assert j.count() == li.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_report_sink_persisted_mart_and_catalogue(spark, tmp_path):
+    from contrail.plans.mart import FlightMart
+    from contrail.sources.versioned import catalogue, write_json_report
+    m = FlightMart(spark, "/root/testdata/sf0.001")
+    f = m.persisted("airline")
+    assert f.storageLevel.useDisk and f.storageLevel.useMemory
+    assert f.count() == m.flights("airline").count()
+    f.unpersist()
+    rep = spark.createDataFrame([("gbt", 0.98), ("random_forest", 0.97)], "model string, r2 double")
+    write_json_report(rep, str(tmp_path / "report"))
+    back = spark.read.json(str(tmp_path / "report"))
+    assert sorted((r.model, r.r2) for r in back.collect()) == [("gbt", 0.98), ("random_forest", 0.97)]
+    rep.createOrReplaceTempView("model_report_view")
+    names = {r.name for r in catalogue(spark).collect()}
+    assert "model_report_view" in names
