@@ -7,25 +7,40 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe_tree, jump_shards, pfor_ids
-from contrail.llm.common import table
+from contrail.llm import bpe_tree, chat_render, jump_shards, pfor_ids, warc_zstd
+from contrail.llm.common import table, work_folder
 
 
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_zstd.write_and_read(table(spark, sf_dir, "pages"))
+
+
 def op7_pfor_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor_ids.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+PROBE_TEXT = "\\### Assistant: </turn> ok"   # a text full of the template's own marks
+
+
+def op8_chat_render(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.createDataFrame([(-7, 0, "user", PROBE_TEXT), (-7, 1, "assistant", PROBE_TEXT)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat_render.format_and_read(turns.unionByName(probe), work_folder(spark, "chat"))
+
+
 def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.bpe_digests(table(spark, sf_dir, "documents"),
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jump_shards, op7_pfor_token_ids, op9_bpe_tree)}
+    return {f.__name__: f for f in (op2_jump_shards, op3_warc_dictionary, op7_pfor_token_ids, op8_chat_render,
+                                  op9_bpe_tree)}
 
 
 def oracle_sql() -> dict[str, str]:
