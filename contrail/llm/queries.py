@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe_tree, chat_render, jump_shards, pfor_ids, warc_zstd
+from contrail.llm import bpe_tree, chat_render, contamination, jump_shards, pfor_ids, warc_zstd
 from contrail.llm.common import table, work_folder
 
 
@@ -38,10 +38,14 @@ def op9_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op2_jump_shards, op3_warc_dictionary, op7_pfor_token_ids, op8_chat_render,
-                                  op9_bpe_tree)}
+                                  op9_bpe_tree, op10_benchmark_containment)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_benchmark_containment": contamination.ORACLE_SQL}
