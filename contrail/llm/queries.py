@@ -7,10 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe_tree, chat_render, contamination, jump_shards, pfor_ids, warc_zstd
+from contrail.llm import bpe_tree, chat_render, contamination, jump_shards, near_dups, pfor_ids, warc_zstd
 from contrail.llm.common import table, work_folder
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op2_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jump_shards.shard_documents(table(spark, sf_dir, "documents"))
 
@@ -43,7 +47,7 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_jump_shards, op3_warc_dictionary, op7_pfor_token_ids, op8_chat_render,
+    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op7_pfor_token_ids, op8_chat_render,
                                   op9_bpe_tree, op10_benchmark_containment)}
 
 
