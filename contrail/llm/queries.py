@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from contrail.llm import bpe_tree, chat_render, contamination, jump_shards, near_dups, pfor_ids, warc_zstd
+from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, warc_zstd
 from contrail.llm.common import table, work_folder
 
 
@@ -23,6 +23,10 @@ def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.write_and_read(table(spark, sf_dir, "pages"))
 
 
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pfor_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor_ids.write_and_read(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -47,8 +51,8 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op7_pfor_token_ids, op8_chat_render,
-                                  op9_bpe_tree, op10_benchmark_containment)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op6_hnsw, op7_pfor_token_ids,
+                                  op8_chat_render, op9_bpe_tree, op10_benchmark_containment)}
 
 
 def oracle_sql() -> dict[str, str]:
