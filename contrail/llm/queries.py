@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, warc_zstd
+from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, toxic_spans, warc_zstd
 from contrail.llm.common import table, work_folder
 
 
@@ -23,6 +24,17 @@ def op3_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_zstd.write_and_read(table(spark, sf_dir, "pages"))
 
 
+TOXIC_AT = 0.3
+
+
+def op4_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxic_spans.train_model(docs, table(spark, sf_dir, "labels"))
+    return toxic_spans.score_documents(docs, model).select(
+        "doc_id", toxic_spans.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "spans")
+
+
 def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -51,8 +63,8 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op6_hnsw, op7_pfor_token_ids,
-                                  op8_chat_render, op9_bpe_tree, op10_benchmark_containment)}
+    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op4_toxic_spans, op6_hnsw,
+                                  op7_pfor_token_ids, op8_chat_render, op9_bpe_tree, op10_benchmark_containment)}
 
 
 def oracle_sql() -> dict[str, str]:
