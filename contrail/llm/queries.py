@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, toxic_spans, warc_zstd
+from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, toxic_spans, warc_zstd, weak_quality
 from contrail.llm.common import table, work_folder
 
 
@@ -35,6 +35,10 @@ def op4_toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"), "spans")
 
 
+def op5_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weak_quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -63,7 +67,8 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op4_toxic_spans, op6_hnsw,
+    return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op4_toxic_spans,
+                                  op5_weak_quality, op6_hnsw,
                                   op7_pfor_token_ids, op8_chat_render, op9_bpe_tree, op10_benchmark_containment)}
 
 
