@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from contrail.session import checkpoint_dir
 
@@ -37,15 +38,16 @@ def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def rows_kept(docs: DataFrame, keep: Callable[[list[str]], list[bool]], text_col: str = "text") -> DataFrame:
+    """The rows whose texts ``keep`` accepts, all columns as they are; nothing is
+    shuffled.  A null text is judged as the empty one."""
+    place = docs.columns.index(text_col)
 
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                mask = keep([t or "" for t in part.column(place).to_pylist()])
+                yield part.filter(pa.array(mask, pa.bool_()))
 
-def text_or_empty(c: str | Column) -> Column:
-    return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
-
-
-def broadcast_if_small(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    """Broadcast hint only when the counted rows are within ``limit``; beyond
-    it Spark shuffles both sides."""
-    return F.broadcast(df) if rows <= limit else df
+    return docs.mapInArrow(rows, docs.schema)

@@ -45,6 +45,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from contrail.llm.common import rows_kept
+
 TOXIC, CLEAN = 1500, 4500
 TRAIN_BYTES = 32 * 1024
 SENTENCES = 5_000          # of each kind, for the field
@@ -369,3 +371,9 @@ def score_documents(docs: DataFrame, model: str) -> DataFrame:
 
     return (docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
             .mapInArrow(rows, SCHEMA))
+
+
+def clean_documents(docs: DataFrame, model: str, toxic_at: float) -> DataFrame:
+    """The rows that score below ``toxic_at``, with all their columns."""
+    shipped = docs.sparkSession.sparkContext.broadcast(model)
+    return rows_kept(docs, lambda texts: [scorer(shipped.value).score(t)[0] < toxic_at for t in texts])

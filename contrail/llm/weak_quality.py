@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import settled, work_folder
+from contrail.llm.common import rows_kept, settled, work_folder
 
 DIMS = 1024
 SAMPLE = 2000
@@ -182,16 +182,20 @@ READ = "doc_id long, votes string, at array<int>, value array<float>"
 _READERS: list[Reader] = []
 
 
+def reader() -> Reader:
+    if not _READERS:
+        _READERS.append(Reader())
+    return _READERS[0]
+
+
 def readings(docs: DataFrame) -> DataFrame:
     """Votes and hashed features of each row."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if not _READERS:
-            _READERS.append(Reader())
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
-                got = [_READERS[0].read(t or "") for t in part.column(1).to_pylist()]
+                got = [reader().read(t or "") for t in part.column(1).to_pylist()]
                 yield pa.record_batch([
                     part.column(0), pa.array([v for v, _ in got], pa.string()),
                     pa.array([list(f) for _, f in got], pa.list_(pa.int32())),
@@ -221,32 +225,60 @@ def train_scorer(read: DataFrame, posterior: dict[str, float], sample: int = SAM
     return {"weights": json.loads(rows.coalesce(1).mapInArrow(fit, "w string").first()[0])}
 
 
+def fit_model(read: DataFrame, sample: int = SAMPLE) -> dict:
+    """Everything learned from the readings: posteriors of the vote patterns,
+    weights, and the score of a text without features."""
+    counts = {r.votes: r.n for r in read.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share, _, posterior = expectation_maximisation(counts)
+    weights = np.array(train_scorer(read, posterior, sample)["weights"])
+    weights[DIMS] += math.log(share / (1 - share)) if share < 1 else 0.0     # fitted at equal shares
+    return {"posterior": posterior, "weights": weights,
+            "plain": max(share, float(1 / (1 + np.exp(-weights[DIMS]))))}
+
+
 def score_quality(docs: DataFrame, folder: str | None = None, sample: int = SAMPLE, keep_at: float = KEEP_AT
                   ) -> DataFrame:
     """(doc_id, votes, posterior, score, predicted) of each row; score and
     posterior are probabilities of a good text."""
     folder = folder or work_folder(docs.sparkSession, "quality")
     read = settled(readings(docs), folder, "read")
-    counts = {r.votes: r.n for r in read.groupBy("votes").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share, _, posterior = expectation_maximisation(counts)
-    model = train_scorer(read, posterior, sample)
-    weights = np.array(model["weights"])
-    weights[DIMS] += math.log(share / (1 - share)) if share < 1 else 0.0     # fitted at equal shares
-    plain = max(share, float(1 / (1 + np.exp(-weights[DIMS]))))
+    model = fit_model(read, sample)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, posterior = model["weights"], model["posterior"]
         for b in batches:
             at, value = b.column(2), b.column(3)
             sizes = np.diff(at.offsets.to_numpy())
-            z = np.zeros(b.num_rows + 1)
-            z[:-1] = weights[DIMS]
+            z = np.full(b.num_rows, weights[DIMS])
             np.add.at(z, np.repeat(np.arange(b.num_rows), sizes),
                       weights[at.flatten().to_numpy()] * value.flatten().to_numpy())
-            score = 1 / (1 + np.exp(-np.clip(z[:-1], -30, 30)))
-            score[sizes == 0] = plain
+            score = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+            score[sizes == 0] = model["plain"]
             votes = b.column(1).to_pylist()
             yield pa.record_batch([b.column(0), b.column(1), pa.array([posterior.get(v) for v in votes], pa.float64()),
                                    pa.array(score, pa.float64()), pa.array((score >= keep_at).astype(np.int32))],
                                   ["doc_id", "votes", "posterior", "score", "predicted"])
 
     return read.mapInArrow(rows, "doc_id long, votes string, posterior double, score double, predicted int")
+
+
+def good_documents(docs: DataFrame, folder: str | None = None, sample: int = SAMPLE, keep_at: float = KEEP_AT
+                   ) -> DataFrame:
+    """The rows that score ``keep_at`` or more, with all their columns.
+
+    The texts are read a second time with the fitted model instead of shuffling
+    them to their scores.
+    """
+    folder = folder or work_folder(docs.sparkSession, "quality")
+    model = fit_model(settled(readings(docs), folder, "read"), sample)
+
+    def keep(texts: list[str]) -> list[bool]:
+        w, out = model["weights"], []
+        for text in texts:
+            f = reader().read(text)[1]
+            # features as they are written: single precision
+            z = w[DIMS] + sum(w[j] * float(np.float32(v)) for j, v in f.items())
+            out.append((1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) if f else model["plain"]) >= keep_at)
+        return out
+
+    return rows_kept(docs, keep)

@@ -3,18 +3,18 @@ benchmark leaks, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps; all but the
 last return the columns of ``documents``.  ``run`` writes what a stage keeps to
-the shared folder and reads it as the next one's input.  Decisions are joined
-to the rows by document id, null ids included: a document goes when its id is
-rejected, so rows that repeat an id share their fate with the row that scores
-worst.  A stage that has nothing to go by (an empty table, no labels) keeps all
-rows; further columns pass through unchanged.
+the shared folder and reads it as the next one's input.  Quality and toxicity
+judge each row by its text alone, in place.  The other decisions are made for
+ids: rows with a null id never count as near duplicates, and a leak found in
+one row of an id (null included) takes all of its rows.  A stage that has
+nothing to go by (an empty table, no labels of one kind) keeps all rows;
+further columns pass through unchanged.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from contrail.llm import bpe_tree, contamination, near_dups, toxic_spans, weak_quality
 from contrail.llm.common import settled, table, work_folder
@@ -23,22 +23,15 @@ TOXIC_AT = 0.5
 WORDS, PERCENT = 5, 80
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose id is not among ``rejected`` (doc_id)."""
-    gone = rejected.select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]), "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly trained scorer calls good."""
-    scored = weak_quality.score_quality(docs, work_folder(spark, "pipeline-quality"))
-    return _without(docs, scored.where("predicted = 0"))
+    return weak_quality.good_documents(docs, work_folder(spark, "pipeline-quality"))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxic score stays below TOXIC_AT; learned from the labelled ones here."""
     model = toxic_spans.train_model(docs, table(spark, sf_dir, "labels"))
-    return _without(docs, toxic_spans.score_documents(docs, model).where(F.col("score") >= TOXIC_AT))
+    return toxic_spans.clean_documents(docs, model, TOXIC_AT)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
