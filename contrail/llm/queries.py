@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, pfor_ids, toxic_spans, warc_zstd, weak_quality
+from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, oracles, pfor_ids, toxic_spans, warc_zstd, weak_quality
 from contrail.llm.common import table, work_folder
 
 
@@ -73,4 +73,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_benchmark_containment": contamination.ORACLE_SQL}
+    return oracles.oracle_sql()
