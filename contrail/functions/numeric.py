@@ -20,7 +20,7 @@ def half_up(x, n: int = 2) -> Column:
     return F.round(_c(x).cast("decimal(38,10)"), n).cast("double")
 
 
-def exact_sum(x, scale: int = 2) -> Column:
+def exact_sum(x, scale: int = 10) -> Column:
     """Order-independent sum of a measure with at most ``scale`` decimals."""
     return F.sum(_c(x).cast(f"decimal(28,{scale})")).cast("double")
 

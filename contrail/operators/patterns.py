@@ -61,6 +61,45 @@ def rank_in(df: DataFrame, by, within=(), kind: str = "rank", ascending: bool =
     return df.withColumn(name, fn.over(w).cast("long"))
 
 
+def rank_by_value(df: DataFrame, by: str, within=(), ascending: bool = False, name: str = "rank") -> DataFrame:
+    """RANK() of each row, read from the distinct values of ``by``.
+
+    A value's rank is one more than the number of rows with a better one, so
+    only distinct values are ordered.  Meant for counts: n different counts
+    add up to n^2 / 2 counted rows at least, so there are few of them however
+    many rows are ranked.  Measures with many values take
+    :func:`contrail.operators.quality.global_rank`."""
+    keys = [*_cols(within), by]
+    w = window(within, by, ascending).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = df.groupBy(*keys).agg(F.count("*").alias("__n")).select(
+        *[F.col(k).alias(f"__{k}") for k in keys],
+        (F.coalesce(F.sum("__n").over(w), F.lit(0)) + 1).cast("long").alias(name))
+    same = [df[k].eqNullSafe(F.col(f"__{k}")) for k in keys]
+    on = same[0]
+    for c in same[1:]:
+        on = on & c
+    return df.join(ranks, on).drop(*[f"__{k}" for k in keys])
+
+
+def share_of_total(df: DataFrame, measure: str, within=(), name: str = "share_pct", scale: int | None = 2,
+                   total: str | None = None) -> DataFrame:
+    """measure * 100 / its total, with the totals as an aggregate of their own.
+
+    ``within`` names fixed or calendar groups (alliances, quarters): their
+    totals are a handful of rows and are broadcast."""
+    keys = _cols(within)
+    sums = df.groupBy(*keys).agg(F.sum(measure).alias("__total"))
+    d = df.join(F.broadcast(sums), keys) if keys else with_totals(df, sums)
+    v = F.col(measure).cast("double") * 100.0 / F.col("__total")
+    d = d.withColumn(name, v if scale is None else half_up(v, scale))
+    return d.withColumnRenamed("__total", total) if total else d.drop("__total")
+
+
+def with_average(df: DataFrame, measure: str, name: str = "__avg") -> DataFrame:
+    """The average over all rows beside each row, as a one-row aggregate."""
+    return with_totals(df, df.agg(F.avg(measure).alias(name)))
+
+
 def top_n(df: DataFrame, n: int, by, within=(), ascending: bool = False, tie=(),
           name: str = "position", kind: str = "row_number") -> DataFrame:
     """Top-N per group; Catalyst turns the rank filter into WindowGroupLimit,

@@ -104,7 +104,7 @@ def o3_cap_per_family(m: FlightMart) -> DataFrame:
 
 
 def o4_stratified_split(m: FlightMart) -> DataFrame:
-    return O.stratified_split(o3_cap_per_family(m), VAL_FRACTION, SEED).select(
+    return O.stratified_split(o2_dedupe_corpus(m), VAL_FRACTION, SEED).select(
         "family", "instruction", "output", "split")
 
 
@@ -113,16 +113,16 @@ def o5_family_distribution(m: FlightMart) -> DataFrame:
 
 
 def o6_integrity_gate(m: FlightMart) -> DataFrame:
-    return O.rule_violations(o3_cap_per_family(m), "output")
+    return O.rule_violations(o2_dedupe_corpus(m), "output")
 
 
 def o8_schema_problems(m: FlightMart) -> DataFrame:
-    c = o3_cap_per_family(m).withColumn("id", F.concat_ws("|", "template_id", "instruction"))
+    c = o2_dedupe_corpus(m).withColumn("id", F.concat_ws("|", "template_id", "instruction"))
     return O.schema_violations(c, O.schema_table(m.spark), "id", "output")
 
 
 def o8_reference_summary(m: FlightMart) -> DataFrame:
-    c = o3_cap_per_family(m)
+    c = o2_dedupe_corpus(m)
     p = o8_schema_problems(m)
     return c.agg(F.count("*").alias("statements")).crossJoin(p.agg(F.count("*").alias("problems")))
 

@@ -14,9 +14,10 @@ from contrail.operators.patterns import with_totals
 from contrail.plans.mart import FlightMart
 from contrail.plans.reports import _risk, _route_metrics, ROUTE_MIN_FLIGHTS
 
-# Default dashboard selection (month range and airline multi-select).
-DEFAULT_MONTHS = (3, 8)
-DEFAULT_AIRLINES = tuple(f"Supplier#{i:09d}" for i in range(1, 11))
+ALL_MONTHS = (1, 12)
+# An example selection (month range and airline multi-select) for the filtered variants.
+SELECTED_MONTHS = (3, 8)
+SELECTED_AIRLINES = tuple(f"Supplier#{i:09d}" for i in range(1, 11))
 EXCLUDED_ENGINES = ("TURBOSHAFT", "PISTON", "UNKNOWN")
 
 
@@ -36,17 +37,17 @@ def _dash(m: FlightMart, months, airlines) -> DataFrame:
     return f
 
 
-def k26_volume_kpi(m: FlightMart, months=DEFAULT_MONTHS, airlines=DEFAULT_AIRLINES) -> DataFrame:
+def k26_volume_kpi(m: FlightMart, months=ALL_MONTHS, airlines: Sequence[str] | None = None) -> DataFrame:
     return _dash(m, months, airlines).agg(F.count("*").alias("total_flights"),
                                           count_if(F.col("cancelled")).alias("cancelled"))
 
 
-def k27_delay_kpi(m: FlightMart, months=DEFAULT_MONTHS, airlines=DEFAULT_AIRLINES) -> DataFrame:
+def k27_delay_kpi(m: FlightMart, months=ALL_MONTHS, airlines: Sequence[str] | None = None) -> DataFrame:
     f = _dash(m, months, airlines).filter(~F.col("cancelled"))
     return f.agg(half_up(F.avg("dep_delay_minutes"), 4).alias("avg_dep_delay_min"))
 
 
-def k28_top_delay_airlines(m: FlightMart, months=DEFAULT_MONTHS,
+def k28_top_delay_airlines(m: FlightMart, months=ALL_MONTHS,
                            airlines: Sequence[str] | None = None, n: int = 10) -> DataFrame:
     f = _dash(m, months, airlines).filter(~F.col("cancelled"))
     c = (f.groupBy("airline_id").agg(half_up(F.avg("dep_delay_minutes"), 4).alias("avg_delay_min"))
@@ -82,7 +83,19 @@ def k29_fleet_totals(m: FlightMart) -> DataFrame:
                  F.count_distinct("maker").alias("active_makers"))
 
 
-def k30_fuel_before_after(m: FlightMart, min_n: int = 25) -> DataFrame:
+def k26_volume_kpi_selected(m: FlightMart) -> DataFrame:
+    return k26_volume_kpi(m, SELECTED_MONTHS, SELECTED_AIRLINES)
+
+
+def k27_delay_kpi_selected(m: FlightMart) -> DataFrame:
+    return k27_delay_kpi(m, SELECTED_MONTHS, SELECTED_AIRLINES)
+
+
+def k28_top_delay_airlines_selected(m: FlightMart) -> DataFrame:
+    return k28_top_delay_airlines(m, SELECTED_MONTHS, SELECTED_AIRLINES)
+
+
+def k30_fuel_before_after(m: FlightMart, min_n: int = 50) -> DataFrame:
     """Mean fuel per model in the stored data (before) and under the physical
     estimator (after), for models with at least ``min_n`` valid flights."""
     f = m.flights("model")

@@ -116,13 +116,13 @@ def m8_fuel_profile_by_maker(m: FlightMart) -> DataFrame:
     return Q.group_profile(f, "maker", "fuel_burn", 50)
 
 
-def m8_cv_of_model_means(m: FlightMart) -> DataFrame:
+def m8_cv_of_model_means(m: FlightMart, min_n: int = 50) -> DataFrame:
     f = m.flights("model").filter(~F.col("cancelled") & (F.col("fuel_burn") > 0))
     est = m.flights("model").withColumn(
         "fuel_est", fuel_estimate("mtow", "crs_elapsed", "engine_type", "cancelled"))
-    a = Q.cv_of_group_means(f, "model_id", "fuel_burn", 25).withColumnsRenamed(
+    a = Q.cv_of_group_means(f, "model_id", "fuel_burn", min_n).withColumnsRenamed(
         {"groups": "groups_stored", "cv": "cv_stored"})
-    b = Q.cv_of_group_means(est.filter(~F.col("cancelled")), "model_id", "fuel_est", 25) \
+    b = Q.cv_of_group_means(est.filter(~F.col("cancelled")), "model_id", "fuel_est", min_n) \
         .withColumnsRenamed({"groups": "groups_physical", "cv": "cv_physical"})
     return a.crossJoin(b)
 
@@ -137,10 +137,10 @@ def m9_spearman(m: FlightMart, by=()) -> DataFrame:
     return Q.corr_audit(f, "distance", "fuel_burn", by, "spearman")
 
 
-def m10_signal_gate(m: FlightMart) -> DataFrame:
+def m10_signal_gate(m: FlightMart, min_n: int = 50) -> DataFrame:
     f = m.flights("model").filter(~F.col("cancelled") & (F.col("fuel_burn") > 0))
     c = Q.corr_audit(f, "distance", "fuel_burn")
-    v = Q.cv_of_group_means(f, "model_id", "fuel_burn", 25)
+    v = Q.cv_of_group_means(f, "model_id", "fuel_burn", min_n)
     return c.crossJoin(v).withColumn("has_signal", Q.signal_gate(F.col("pearson_corr"), F.col("cv")))
 
 

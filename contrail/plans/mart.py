@@ -8,7 +8,7 @@ SQL oracle (``oracle_queries.py``):
 flight role                 test-table stand-in
 ==========================  ==================================================
 flight (VUELO+RESULTADO)    lineitem JOIN orders ON l_orderkey = o_orderkey
-flight_id (natural id)      airline _ yyyyMMdd(flight_date) _ tail _ order
+flight_id (natural id)      airline _ yyyyMMdd(flight_date) _ tail _ order _ yyyyMMdd(shipdate) _ line
 flight_date / y / q / m / d o_orderdate
 dep_delay (signed)          days between o_orderdate and l_shipdate
 arr_delay (signed)          dep_delay - (int(l_quantity) - 25)
@@ -45,6 +45,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from contrail.functions.clean import natural_id
 from contrail.sources.tables import table
 
 CO2_PER_LB_FUEL = 3.16  # fixed value: lbs of CO2 per lb of jet fuel
@@ -65,10 +66,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_partkey").alias("tail_id"),
         F.col("l_suppkey").alias("airline_id"),
         F.col("o_custkey").alias("cust_id"),
-        F.concat_ws("_", F.col("l_suppkey").cast("string"),
-                    F.date_format(d, "yyyyMMdd"),
-                    F.col("l_partkey").cast("string"),
-                    F.col("l_orderkey").cast("string")).alias("flight_id"),
+        natural_id(["l_suppkey", F.date_format(d, "yyyyMMdd"), "l_partkey", "l_orderkey",
+                    F.date_format("l_shipdate", "yyyyMMdd"), "l_linenumber"]).alias("flight_id"),
         d.alias("flight_date"),
         F.year(d).alias("year"), F.quarter(d).alias("quarter"),
         F.month(d).alias("month"), F.dayofmonth(d).alias("day_of_month"),

@@ -51,8 +51,11 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "k24_route_risk": _mart(K.k24_route_risk),
         "k25_late_flights": _mart(K.k25_late_flights),
     }
-    for name in ("k26_volume_kpi", "k27_delay_kpi", "k28_top_delay_airlines", "k29_emissions_panel",
-                 "k29_fleet_totals", "k30_fuel_before_after", "k31_global_counts", "k32_mean_delays",
+    # the stand-in catalogue has about 30 flights a model: a lower explicit threshold than the default 50
+    q["k30_fuel_before_after"] = _mart(D.k30_fuel_before_after, min_n=25)
+    for name in ("k26_volume_kpi", "k27_delay_kpi", "k28_top_delay_airlines", "k26_volume_kpi_selected",
+                 "k27_delay_kpi_selected", "k28_top_delay_airlines_selected", "k29_emissions_panel",
+                 "k29_fleet_totals", "k31_global_counts", "k32_mean_delays",
                  "k33_catalogue_sizes", "k34_emission_totals", "k35_top_models_co2",
                  "k35_top_airlines_co2", "k36_route_risk_distribution", "k37_simulator_catalogue"):
         q[name] = _mart(getattr(D, name))
@@ -119,12 +122,12 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m4_first_destination": _mart(X.m4_first_destination),
         "m7_coherence": _mart(X.m7_coherence),
         "m8_fuel_profile_by_maker": _mart(X.m8_fuel_profile_by_maker),
-        "m8_cv_of_model_means": _mart(X.m8_cv_of_model_means),
+        "m8_cv_of_model_means": _mart(X.m8_cv_of_model_means, min_n=25),
         "m9_pearson": _mart(X.m9_pearson),
         "m9_pearson_by_engine": _mart(X.m9_pearson, by=["engine_type"]),
         "m9_spearman": _mart(X.m9_spearman),
         "m9_spearman_by_engine": _mart(X.m9_spearman, by=["engine_type"]),
-        "m10_signal_gate": _mart(X.m10_signal_gate),
+        "m10_signal_gate": _mart(X.m10_signal_gate, min_n=25),
         "m12_fd_audit": _mart(X.m12_fd_audit),
         "m13_numeric_profile": _mart(X.m13_numeric_profile),
         "m14_profile_columns": _mart(X.m14_profile_columns),

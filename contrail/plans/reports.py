@@ -19,9 +19,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from contrail.functions.numeric import count_if, exact_sum, half_up, pct, ratio
-from contrail.operators.patterns import (banded, change_vs_previous, rank_in,
-                                         running_total, share_of, top_n, vs_average,
-                                         with_totals)
+from contrail.operators.patterns import (banded, change_vs_previous, rank_by_value, rank_in,
+                                         running_total, share_of, share_of_total, top_n,
+                                         with_average, with_totals)
+from contrail.operators.quality import exact_percentiles, global_rank
 from contrail.plans.mart import FlightMart
 
 # Report thresholds and labels (fixed values of the report definitions).
@@ -85,9 +86,8 @@ def _per_airline(m: FlightMart, *extra_aggs, where=None) -> DataFrame:
 
 def k03_airline_size_class(m: FlightMart) -> DataFrame:
     c = _per_airline(m)
-    avg = F.avg("total_flights").over(Window.partitionBy())
     lo, hi = SIZE_BANDS
-    return (c.withColumn("__avg", avg)
+    return (with_average(c, "total_flights")
             .select("airline_name", "total_flights",
                     half_up("__avg", 2).alias("avg_flights"),
                     banded([(F.col("total_flights").between(F.col("__avg") * lo, F.col("__avg") * hi),
@@ -99,19 +99,20 @@ def k03_airline_size_class(m: FlightMart) -> DataFrame:
 def k04_top_airlines(m: FlightMart, n: int = 3) -> DataFrame:
     """Top-N airlines by flights with share of system and distinct aircraft."""
     c = _per_airline(m, F.count_distinct("tail_id").alias("aircraft_used"))
-    c = rank_in(c, "total_flights", name="ranking")
-    c = share_of(c, "total_flights", name="__share", scale=None)
+    c = share_of_total(c, "total_flights", name="__share", scale=None)
+    # nothing outside the first n can rank before one of them
+    c = rank_in(c.orderBy(F.desc("total_flights"), "airline_name").limit(n), "total_flights", name="ranking")
     hi, mid = SHARE_BANDS
     out = c.select("ranking", "airline_name", "total_flights", "aircraft_used",
                    half_up("__share", 2).alias("share_pct"),
                    banded([(F.col("__share") >= hi, "High share"),
                            (F.col("__share") >= mid, "Medium share")], "Low share").alias("share_level"))
-    return out.orderBy(F.desc("total_flights"), "airline_name").limit(n)
+    return out
 
 
 def k05_models_without_aircraft(m: FlightMart) -> DataFrame:
     """Catalogue models never flown, per maker (anti join)."""
-    used = m.flights().select(F.col("tail_id").alias("model_id"))
+    used = m.table("lineitem").select(F.col("l_partkey").alias("model_id")).distinct()
     return (m.models().join(used, "model_id", "left_anti")
             .groupBy("maker").agg(F.count("*").alias("unused_models")))
 
@@ -123,9 +124,11 @@ def k06_codeshare(m: FlightMart) -> DataFrame:
          .agg(F.count("*").alias("total_flights"),
               count_if(F.col("origin_airport_id") != F.col("dest_airport_id")).alias("codeshare_flights")))
     c = c.withColumn("own_flights", F.col("total_flights") - F.col("codeshare_flights"))
-    c = rank_in(c, "codeshare_flights", name="codeshare_rank")
-    c = vs_average(c, "codeshare_flights", avg_name="avg_codeshare", diff_name="diff_vs_avg")
-    c = share_of(c, "codeshare_flights", name="network_share_pct")
+    c = rank_by_value(c, "codeshare_flights", name="codeshare_rank")
+    c = with_average(c, "codeshare_flights")
+    c = (c.withColumn("diff_vs_avg", half_up(F.col("codeshare_flights") - F.col("__avg"), 4))
+         .withColumn("avg_codeshare", half_up("__avg", 4)).drop("__avg"))
+    c = share_of_total(c, "codeshare_flights", name="network_share_pct")
     r = F.col("codeshare_flights").cast("double") * 100.0 / F.col("total_flights")
     hi, mid = CODESHARE_BANDS
     return c.withColumn("codeshare_category", banded(
@@ -134,7 +137,7 @@ def k06_codeshare(m: FlightMart) -> DataFrame:
 
 def k07_state_connectivity(m: FlightMart) -> DataFrame:
     f = m.flights("airline", "dest")
-    # flight_id is the fact key (unique), so COUNT(DISTINCT flight_id) = COUNT(*).
+    # flight_id is the fact key (asserted unique by the tests), so COUNT(DISTINCT flight_id) = COUNT(*).
     # Pre-aggregate to one row per (state, origin, destination) with map-side
     # partial counts; the distinct counts then expand only those few rows
     # instead of every flight.
@@ -161,9 +164,9 @@ def k08_airline_quarter_matrix(m: FlightMart) -> DataFrame:
     """Airline x quarter flight matrix (conditional-sum pivot in one pass)."""
     q = [count_if(F.col("quarter") == i).alias(f"q{i}") for i in (1, 2, 3, 4)]
     c = _per_airline(m, *q)
-    c = rank_in(c, "total_flights", name="ranking")
-    c = c.withColumn("__avg", F.avg("total_flights").over(Window.partitionBy()))
-    c = share_of(c, "total_flights", name="share_pct")
+    c = rank_by_value(c, "total_flights", name="ranking")
+    c = with_average(c, "total_flights")
+    c = share_of_total(c, "total_flights", name="share_pct")
     inactive = (F.col("q1") == 0) | (F.col("q2") == 0) | (F.col("q3") == 0) | (F.col("q4") == 0)
     return c.select("airline_name", "airline_code", "q1", "q2", "q3", "q4", "total_flights",
                     "ranking", half_up("__avg", 4).alias("market_avg"),
@@ -202,7 +205,6 @@ def k10_model_environment(m: FlightMart) -> DataFrame:
     # one row per model, and the model count grows with the catalogue: the
     # system average is a one-row aggregate and the rank comes from value
     # positions, so no step funnels all models through one task
-    from contrail.operators.quality import global_rank
     c = c.withColumn("__co2r", half_up("__co2", 6))
     c = with_totals(c, c.agg(F.avg("__co2r").alias("__sys")))
     c = global_rank(c, "__co2r", "impact_rank")
@@ -230,7 +232,7 @@ def k11_schedule_deviation(m: FlightMart) -> DataFrame:
                      half_up(F.avg(F.abs(dev)), 2).alias("avg_abs_deviation_min"),
                      where=~F.col("cancelled") & F.col("actual_elapsed").isNotNull()
                      & F.col("crs_elapsed").isNotNull())
-    c = rank_in(c, "avg_deviation_min", name="deviation_rank")
+    c = global_rank(c, "avg_deviation_min", "deviation_rank")
     d = F.col("avg_deviation_min")
     lo, on, mid = PUNCTUALITY_BANDS
     return c.select("deviation_rank", "airline_name", "airline_code", "total_flights",
@@ -273,9 +275,10 @@ def k13_punctuality_quartiles(m: FlightMart) -> DataFrame:
                      count_if(F.col("arr_del15") == 1).alias("delayed_15"),
                      where=~F.col("cancelled"))
     c = c.withColumn("delayed_pct", pct("delayed_15", "total_flights"))
-    q = c.agg(*[half_up(F.percentile("avg_arr_delay", p), 2).alias(n)
-                for p, n in ((0.25, "q1_threshold"), (0.5, "median_threshold"), (0.75, "q3_threshold"))])
-    c = rank_in(with_totals(c, q), "avg_arr_delay", ascending=True, name="punctuality_rank")
+    names = ("q1_threshold", "median_threshold", "q3_threshold")
+    q = exact_percentiles(c, "avg_arr_delay", (0.25, 0.5, 0.75), names=names)
+    q = q.select(*[half_up(n, 2).alias(n) for n in names])
+    c = with_totals(global_rank(c, "avg_arr_delay", "punctuality_rank", descending=False), q)
     a = F.col("avg_arr_delay")
     return c.select("punctuality_rank", "airline_name", "airline_code", "total_flights",
                     "avg_arr_delay", "avg_dep_delay", "delayed_15", "delayed_pct",
@@ -314,10 +317,10 @@ def k15_quarter_over_quarter(m: FlightMart) -> DataFrame:
         count_if(F.col("cancelled")).alias("cancelled")],
         where=F.col("fuel_burn").isNotNull() & F.col("co2").isNotNull())
     c = share_of(c, "total_flights", ["year", "airline_name"], "share_of_year_pct")
-    c = share_of(c, "total_flights", ["year", "quarter"], "share_of_quarter_pct")
+    c = share_of_total(c, "total_flights", ["year", "quarter"], "share_of_quarter_pct")
     c = change_vs_previous(c, "total_flights", ["year", "airline_name"], "quarter", "prev_flights")
     c = change_vs_previous(c, "co2_lbs", ["year", "airline_name"], "quarter", "__prev_co2")
-    c = rank_in(c, "total_flights", ["year", "quarter"], name="rank_in_quarter")
+    c = rank_by_value(c, "total_flights", ["year", "quarter"], name="rank_in_quarter")
     n, p, pc = F.col("total_flights"), F.col("prev_flights"), F.col("__prev_co2")
     s = F.col("share_of_quarter_pct")
     hi, mid, lo = MARKET_BANDS
@@ -348,7 +351,7 @@ def k16_top_origin_airports(m: FlightMart, n: int = 3) -> DataFrame:
 def k17_rank_in_network(m: FlightMart) -> DataFrame:
     c = m.per_airline(["year", "quarter"], [F.count("*").alias("total_flights")]).select(
         "network_name", "airline_name", "airline_code", "year", "quarter", "total_flights")
-    return rank_in(c, "total_flights", ["network_name", "year", "quarter"], name="position_in_network")
+    return rank_by_value(c, "total_flights", ["network_name", "year", "quarter"], name="position_in_network")
 
 
 def k18_change_vs_previous_quarter(m: FlightMart) -> DataFrame:
@@ -371,12 +374,10 @@ def k19_daily_running_total(m: FlightMart, start="1998-09-01", end="1998-09-30")
 def k20_share_system_alliance(m: FlightMart) -> DataFrame:
     c = m.per_airline([], [F.count("*").alias("total_flights")]).select(
         "alliance_name", "airline_name", "airline_code", "total_flights")
-    c = (c.withColumn("system_total", F.sum("total_flights").over(Window.partitionBy()))
-         .withColumn("alliance_total", F.sum("total_flights").over(Window.partitionBy("alliance_name"))))
-    c = share_of(c, "total_flights", name="global_share_pct")
-    c = share_of(c, "total_flights", "alliance_name", name="alliance_share_pct")
-    c = rank_in(c, "total_flights", name="global_rank")
-    return rank_in(c, "total_flights", "alliance_name", name="alliance_rank")
+    c = share_of_total(c, "total_flights", name="global_share_pct", total="system_total")
+    c = share_of_total(c, "total_flights", "alliance_name", name="alliance_share_pct", total="alliance_total")
+    c = rank_by_value(c, "total_flights", name="global_rank")
+    return rank_by_value(c, "total_flights", "alliance_name", name="alliance_rank")
 
 
 # ---------------------------------------------------------------- mission 5

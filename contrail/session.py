@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,14 +42,26 @@ def get_spark(app: str = "contrail", cpus: int | str | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
     """Return (or create) a session.
 
-    When a session already exists (spark-submit on a cluster, or the test
-    driver) it is reused untouched except for ``extra``.
+    When a session already exists it is reused untouched except for ``extra``.
+    In a driver that was submitted (``spark-submit``, or a master named in
+    ``PYSPARK_SUBMIT_ARGS``) the submitted settings stand: no master, heap or
+    partition count of ours is set, and of our other defaults only the SQL
+    settings that were left unset.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
         for k, v in (extra or {}).items():
             active.conf.set(k, v)
         return active
+    if submitted():
+        spark = SparkSession.builder.getOrCreate()
+        given = spark.sparkContext.getConf()
+        unset = {k: v for k, v in _BASE_CONF.items() if k.startswith("spark.sql.") and not given.contains(k)}
+        for k, v in {**unset, **(extra or {})}.items():
+            if spark.conf.isModifiable(k):
+                spark.conf.set(k, v)
+        checkpoint_dir(spark)
+        return spark
     cpus = cpus or os.environ.get("BENCH_CPUS") or "*"
     builder = SparkSession.builder.appName(app).master(f"local[{cpus}]")
     conf = dict(_BASE_CONF)
@@ -63,17 +76,25 @@ def get_spark(app: str = "contrail", cpus: int | str | None = None,
     return spark
 
 
+def submitted() -> bool:
+    """Whether this driver was started with settings of its own."""
+    return "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage (``DataFrame.checkpoint`` and
     versioned tables).
 
-    The cluster names it in ``spark.checkpoint.dir``; we only choose our own
-    when it is unset, which happens in local tests.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a local session may
+    leave it unset and gets a temporary folder; executors elsewhere couldn't
+    see one, so any other master without the setting is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="contrail-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

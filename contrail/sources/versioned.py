@@ -88,12 +88,15 @@ def staged_upsert(base: DataFrame, stage: DataFrame, key: str, cols: Sequence[st
     """Set-based UPDATE ... FROM stage.  Stage rows with no
     new value at all are dropped; each column takes COALESCE(new, old), so a
     null new value never erases an old one.  Keys missing in ``base`` are
-    ignored (an UPDATE does not insert)."""
+    ignored (an UPDATE does not insert).  A key that the stage repeats counts
+    once, with the greatest of its new values taken together, so the result
+    has the rows of ``base`` whatever the stage holds."""
     new = [f"{c}{new_suffix}" for c in cols]
     any_new = None
     for n in new:
         any_new = F.col(n).isNotNull() if any_new is None else any_new | F.col(n).isNotNull()
-    s = stage.filter(any_new).select(key, *new)
+    s = (stage.filter(any_new).groupBy(key).agg(F.max(F.struct(*new)).alias("__new"))
+         .select(key, *[F.col(f"__new.{n}").alias(n) for n in new]))
     j = base.join(s, key, "left")
     return j.select(*[F.coalesce(F.col(f"{c}{new_suffix}"), F.col(c)).alias(c) if c in cols
                       else F.col(c) for c in base.columns])

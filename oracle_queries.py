@@ -14,7 +14,7 @@ def R(e: str, n: int = 2) -> str:
     return f"CAST(ROUND(CAST(({e}) AS DECIMAL(38,10)), {n}) AS DOUBLE)"
 
 
-def ESUM(e: str, scale: int = 2) -> str:
+def ESUM(e: str, scale: int = 10) -> str:
     return f"CAST(SUM(CAST(({e}) AS DECIMAL(28,{scale}))) AS DOUBLE)"
 
 
@@ -26,7 +26,8 @@ _FLIGHTS = """
 SELECT l.l_orderkey AS order_id, l.l_partkey AS tail_id, l.l_suppkey AS airline_id,
        o.o_custkey AS cust_id,
        CAST(l.l_suppkey AS VARCHAR) || '_' || strftime(CAST(o.o_orderdate AS DATE), '%Y%m%d') || '_'
-         || CAST(l.l_partkey AS VARCHAR) || '_' || CAST(l.l_orderkey AS VARCHAR) AS flight_id,
+         || CAST(l.l_partkey AS VARCHAR) || '_' || CAST(l.l_orderkey AS VARCHAR) || '_'
+         || strftime(CAST(l.l_shipdate AS DATE), '%Y%m%d') || '_' || CAST(l.l_linenumber AS VARCHAR) AS flight_id,
        CAST(o.o_orderdate AS DATE) AS flight_date,
        CAST(year(o.o_orderdate) AS BIGINT) AS year, CAST(quarter(o.o_orderdate) AS BIGINT) AS quarter,
        CAST(month(o.o_orderdate) AS BIGINT) AS month, CAST(day(o.o_orderdate) AS BIGINT) AS day_of_month,
@@ -382,14 +383,15 @@ FACTOR_SQL = ("CASE upper(trim(engine_type)) WHEN 'JET' THEN 1.0 WHEN 'TURBOFAN'
 
 def dashboard() -> dict[str, str]:
     q: dict[str, str] = {}
-    dash = f"month BETWEEN 3 AND 8 AND airline_name IN ({AIRLINES_SEL})"
-    q["k26_volume_kpi"] = f"""{mart('airline')}
-SELECT COUNT(*) AS total_flights, {CNT('cancelled')} AS cancelled FROM f WHERE {dash}"""
-    q["k27_delay_kpi"] = f"""{mart('airline')}
-SELECT {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay_min FROM f WHERE {dash} AND NOT cancelled"""
-    q["k28_top_delay_airlines"] = f"""{mart('airline')}
+    picked = f"month BETWEEN 3 AND 8 AND airline_name IN ({AIRLINES_SEL})"
+    for tail, cond in (("", "TRUE"), ("_selected", picked)):
+        q["k26_volume_kpi" + tail] = f"""{mart('airline')}
+SELECT COUNT(*) AS total_flights, {CNT('cancelled')} AS cancelled FROM f WHERE {cond}"""
+        q["k27_delay_kpi" + tail] = f"""{mart('airline')}
+SELECT {R('AVG(dep_delay_minutes)', 4)} AS avg_dep_delay_min FROM f WHERE {cond} AND NOT cancelled"""
+        q["k28_top_delay_airlines" + tail] = f"""{mart('airline')}
 SELECT airline_name, {R('AVG(dep_delay_minutes)', 4)} AS avg_delay_min FROM f
-WHERE month BETWEEN 3 AND 8 AND NOT cancelled GROUP BY airline_name
+WHERE {cond} AND NOT cancelled GROUP BY airline_name
 ORDER BY avg_delay_min DESC, airline_name LIMIT 10"""
     valid = "NOT cancelled AND fuel_burn > 0"
     co2x = ESUM('fuel_burn * 3.16::DOUBLE')
@@ -734,7 +736,7 @@ cap AS (SELECT family, template_id, instruction, input, output FROM (
 sp AS (SELECT family, instruction, output,
        CASE WHEN ROW_NUMBER() OVER (PARTITION BY family ORDER BY md5('43|' || instruction), instruction)
                  <= greatest(1, floor(COUNT(*) OVER (PARTITION BY family) * 0.1)) THEN 'val' ELSE 'train' END AS split
-       FROM cap)"""
+       FROM dd)"""
     q["o1_expand_templates"] = f"WITH {expand} SELECT * FROM e"
     q["o2_dedupe_corpus"] = f"WITH {expand} SELECT family, template_id, instruction, input, output FROM dd"
     q["o3_cap_per_family"] = f"WITH {expand} SELECT * FROM cap"
@@ -749,7 +751,7 @@ sp AS (SELECT family, instruction, output,
             cond += f" AND NOT contains(n, {_sq(clear)})"
         rules.append(f"{CNT(cond)} AS {name}")
         names.append(name)
-    q["o6_integrity_gate"] = f"""WITH {expand}, nn AS (SELECT regexp_replace(output, '\\s+', ' ', 'g') AS n FROM cap),
+    q["o6_integrity_gate"] = f"""WITH {expand}, nn AS (SELECT regexp_replace(output, '\\s+', ' ', 'g') AS n FROM dd),
 g AS (SELECT COUNT(*) AS "rows", {', '.join(rules)} FROM nn)
 SELECT *, {' + '.join(names)} AS violations FROM g"""
     from contrail.operators.corpus import SCHEMA
@@ -757,7 +759,7 @@ SELECT *, {' + '.join(names)} AS violations FROM g"""
     q["o8_reference_summary"] = rf"""WITH {expand},
 sch(table_name, column_name) AS (VALUES {sch}),
 tabs AS (SELECT DISTINCT table_name FROM sch),
-st AS (SELECT template_id || '|' || instruction AS id, output FROM cap),
+st AS (SELECT template_id || '|' || instruction AS id, output FROM dd),
 src AS (SELECT id,
           list_transform(regexp_extract_all(output, '(?:WITH|,)\s+([A-Za-z_]\w*)\s+AS\s*\(', 1), lambda x: lower(x))
           || list_transform(regexp_extract_all(output, '\)\s+AS\s+([A-Za-z_]\w*)', 1), lambda x: lower(x)) AS logical,
@@ -782,7 +784,7 @@ pr AS (SELECT id FROM decl WHERE NOT known AND NOT is_logical
        WHERE a.alias_l IS NULL
           OR (a.tbl IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sch WHERE sch.table_name = a.tbl
                                                  AND sch.column_name = lower(r.col))))
-SELECT (SELECT COUNT(*) FROM cap) AS statements, (SELECT COUNT(*) FROM pr) AS problems"""
+SELECT (SELECT COUNT(*) FROM dd) AS statements, (SELECT COUNT(*) FROM pr) AS problems"""
     q["o2_dedupe_documents"] = """
 SELECT doc_id, source FROM (SELECT doc_id, source, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn
 FROM documents) WHERE rn = 1"""

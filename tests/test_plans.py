@@ -2,7 +2,11 @@
 
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
+from contrail.plans.mart import FlightMart
 
 from conftest import SF_SMALL
 
@@ -42,3 +46,22 @@ def test_no_python_udfs_in_plans(spark):
     for name in ("k10_model_environment", "o9_extract_code", "m14_profile_columns", "b15_canonical_keys"):
         p = _plan(spark, name)
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+
+
+@pytest.mark.parametrize("name", ["k03_airline_size_class", "k04_top_airlines", "k06_codeshare",
+                                  "k08_airline_quarter_matrix", "k11_schedule_deviation", "k13_punctuality_quartiles",
+                                  "k20_share_system_alliance"])
+def test_no_single_task_window_over_airlines(spark, name):
+    """A window in one partition stands on a count by value or on a few limited rows."""
+    lines = _plan(spark, name).split("\n")
+    for i, line in enumerate(lines):
+        if "SinglePartition" in line and any(re.search(r"\bWindow\b", x) for x in lines[max(0, i - 3):i]):
+            below = "\n".join(lines[i + 1:i + 4])
+            assert "HashAggregate" in below or "TakeOrderedAndProject" in "\n".join(lines[max(0, i - 3):i + 4]), below
+
+
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_flight_id_is_unique(spark, sf):
+    f = FlightMart(spark, f"/root/testdata/sf{sf}").flights().select("flight_id")
+    r = f.agg(F.count("*").alias("n"), F.count_distinct("flight_id").alias("d")).first()
+    assert r.n == r.d
