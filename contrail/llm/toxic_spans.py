@@ -346,7 +346,8 @@ def train_model(docs: DataFrame, labels: DataFrame, label: str = "toxic", toxic:
         model = json.dumps(train([(t, y) for _, t, y in got], n_toxic, n_clean))
         yield pa.record_batch([pa.array([model])], ["model"])
 
-    return rows.select("id", "y", "text").coalesce(1).mapInArrow(fit, "model string").first()[0]
+    made = rows.select("id", "y", "text").coalesce(1).mapInArrow(fit, "model string").first()
+    return made[0] if made else json.dumps(train([], n_toxic, n_clean))      # no labelled document at all
 
 
 SCHEMA = "doc_id long, score double, spans array<struct<start:int,stop:int,marginal:double>>"

@@ -222,7 +222,8 @@ def train_scorer(read: DataFrame, posterior: dict[str, float], sample: int = SAM
         w = fit_scorer([(at, value, good) for _, at, value, good in got])
         yield pa.record_batch([pa.array([json.dumps(w)])], ["w"])
 
-    return {"weights": json.loads(rows.coalesce(1).mapInArrow(fit, "w string").first()[0])}
+    made = rows.coalesce(1).mapInArrow(fit, "w string").first()      # none where there is no row at all
+    return {"weights": json.loads(made[0]) if made else [0.0] * (DIMS + 1)}
 
 
 def fit_model(read: DataFrame, sample: int = SAMPLE) -> dict:

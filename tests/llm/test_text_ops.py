@@ -288,13 +288,23 @@ def test_near_duplicates_against_all_pairs(spark):
         assert near_rows(got) == linked(rows, n, percent)
 
 
-def test_near_duplicates_pivots_before_pairs(spark, monkeypatch):
-    """With no room for open pairs every bucket goes on by pivots, to the same result."""
-    monkeypatch.setattr(near_dups, "LINEAR", 0)
+@pytest.mark.parametrize("room, block", [(0, 1024), (10**9, 7)])
+def test_clouds_of_near_copies(spark, monkeypatch, room, block):
+    """Texts around one original, many of them just too far from each other:
+    by further pivots, and by blocks smaller than a bucket."""
+    monkeypatch.setattr(near_dups, "ROOM", room)
+    monkeypatch.setattr(near_dups, "BLOCK", block)
     rng = random.Random(3)
-    shared = [f"s{i}" for i in range(60)]
-    rows = [(d, " ".join(shared + [f"x{d}_{rng.randrange(9)}_{j}" for j in range(8)])) for d in range(30)]
-    assert near_rows(near_dups.near_duplicates(odd(spark, [(d, t, "s") for d, t in rows]), 3, 80)) == linked(rows, 3, 80)
+    base = [f"s{i}" for i in range(120)]
+    rows = []
+    for d in range(60):
+        w = list(base)
+        for _ in range(rng.randint(0, 9)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(50)}"
+        rows.append((d, " ".join(w)))
+    want = linked(rows, 3, 85)
+    assert 2 < len(set(want.values())) < 60
+    assert near_rows(near_dups.near_duplicates(odd(spark, [(d, t, "s") for d, t in rows]), 3, 85)) == want
 
 
 def test_near_duplicates_odd_rows(spark):
@@ -321,12 +331,12 @@ def test_estimate_is_near_the_similarity(spark):
     base = [f"w{i}" for i in range(400)]
     other = [w if rng.random() < 0.95 else "z" + w for w in base]
     docs = odd(spark, [(1, " ".join(base), ""), (2, " ".join(other), "")])
-    a, b = near_dups.sketches(docs, 3).orderBy("doc_id").collect()
+    a, b = near_dups.signatures(near_dups._texts(docs), 3).orderBy("doc_id").collect()
     true = len(shingles(" ".join(base), 3) & shingles(" ".join(other), 3)) / len(
         shingles(" ".join(base), 3) | shingles(" ".join(other), 3))
     got = spark.createDataFrame([(a.bits, b.bits)], "x array<long>, y array<long>").select(
         near_dups.estimate("x", "y")).first()[0]
-    assert abs(got - true) < 0.15
+    assert abs(got - true) < 0.08
 
 
 def test_connected_components(spark):
