@@ -116,28 +116,123 @@ def o6_integrity_gate(m: FlightMart) -> DataFrame:
     return O.rule_violations(o2_dedupe_corpus(m), "output")
 
 
-def o8_schema_problems(m: FlightMart) -> DataFrame:
-    c = o2_dedupe_corpus(m).withColumn("id", F.concat_ws("|", "template_id", "instruction"))
+# Slips planted by the first digit of the instruction's md5 (what to find, what to put).
+SLIPS = {
+    "0": ("RESULTADO", "DETALLE_VUELO"),
+    "1": ("R.Cancelled", "R.Distance"),
+    "2": ("V.ID_Vuelo", "Z.ID_Vuelo"),
+    "3": ("JOIN PROGRAMACION P", "JOIN TAXI P"),
+    "4": ("JOIN WAC W", "JOIN PAIS W"),
+    "5": ("VUELO V", "VUELOS V"),
+}
+
+
+def drafts(m: FlightMart) -> DataFrame:
+    """The corpus as a careless model would write it: some statements with a slip."""
+    d = o2_dedupe_corpus(m).withColumn("__d", F.substring(F.md5("instruction"), 1, 1))
+    out = F.col("output")
+    for digit, (find, put) in SLIPS.items():
+        out = F.when(F.col("__d") == digit, F.replace("output", F.lit(find), F.lit(put))).otherwise(out)
+    return d.withColumn("output", out).drop("__d")
+
+
+def o6_gate_on_drafts(m: FlightMart) -> DataFrame:
+    return O.rule_violations(drafts(m), "output")
+
+
+# must-have and must-not patterns of each family
+CASES = [("geography", ["JOIN\\s+WAC", "CONTINENTE"], ["PAIS"]), ("emissions", ["R\\.Cancelled\\s*=\\s*0"], ["DETALLE_VUELO"]),
+         ("delays", ["DETALLE_RETRASOS"], ["DETALLE_VUELO"])]
+
+
+def o7_scored_drafts(m: FlightMart) -> DataFrame:
+    """Pass rate of each family's drafts against its cases."""
+    cases = m.spark.createDataFrame(CASES, "family string, must_have array<string>, must_not array<string>")
+    d = drafts(m).join(F.broadcast(cases), "family")
+    s = O.score_cases(d.select(F.concat_ws("|", "family", "template_id", "instruction").alias("case_id"),
+                               F.col("output").alias("sql")),
+                      d.select(F.concat_ws("|", "family", "template_id", "instruction").alias("case_id"),
+                               "must_have", "must_not"))
+    return s.groupBy(F.substring_index("case_id", "|", 1).alias("family")).agg(
+        F.count("*").alias("cases"), F.count_if("passed").alias("passed"))
+
+
+def _problems(m: FlightMart, statements: DataFrame) -> DataFrame:
+    c = statements.withColumn("id", F.concat_ws("|", "template_id", "instruction"))
     return O.schema_violations(c, O.schema_table(m.spark), "id", "output")
 
 
+def o8_schema_problems(m: FlightMart) -> DataFrame:
+    return _problems(m, drafts(m))
+
+
+def o8_problem_frequency(m: FlightMart) -> DataFrame:
+    return O.problem_frequency(o8_schema_problems(m))
+
+
 def o8_reference_summary(m: FlightMart) -> DataFrame:
     c = o2_dedupe_corpus(m)
-    p = o8_schema_problems(m)
-    return c.agg(F.count("*").alias("statements")).crossJoin(p.agg(F.count("*").alias("problems")))
+    return c.agg(F.count("*").alias("statements")).crossJoin(
+        F.broadcast(_problems(m, c).agg(F.count("*").alias("problems"))))
+
+
+def replies(m: FlightMart) -> DataFrame:
+    """Chat replies around the corpus statements, in four forms by the
+    instruction's md5: fenced, bare with a prose tail, prose alone, a procedure."""
+    d = o2_dedupe_corpus(m)
+    kind = F.substring(F.md5("instruction"), 1, 1)
+    bare = F.regexp_replace("output", ";$", "")
+    text = (F.when(kind < "4", F.concat(F.lit("Here it is:\n```sql\n"), F.col("output"), F.lit("\n```\nIt counts flights.")))
+            .when(kind < "8", F.concat(F.lit("Sure.\n"), bare, F.lit("\nThis is what you asked for.")))
+            .when(kind < "a", F.lit("I can't answer that."))
+            .otherwise(F.concat(F.lit("CREATE PROCEDURE p AS\nBEGIN\n  "), F.col("output"), F.lit("\nEND\nGO\nThat is all."))))
+    return d.select("template_id", "instruction", text.alias("text"))
 
 
 def o9_extract_code(m: FlightMart) -> DataFrame:
-    c = m.table("conversations").filter(F.col("role") == "assistant")
-    return c.select("conv_id", "turn", O.extract_code("text").alias("code"))
+    return replies(m).select("template_id", "instruction", O.extract_code("text").alias("code"))
 
 
 def o10_statement_kinds(m: FlightMart) -> DataFrame:
-    code = o9_extract_code(m)
-    return (code.withColumn("kind", O.statement_kind("code"))
+    return (o9_extract_code(m).withColumn("kind", O.statement_kind("code"))
             .groupBy("kind").agg(F.count("*").alias("replies")))
 
 
+def o11_rewritten_drafts(m: FlightMart) -> DataFrame:
+    d = drafts(m)
+    return d.select("template_id", "instruction", O.rewrite_names("output").alias("output"),
+                    O.invented_table("output").alias("invented"))
+
+
+def o12_flag_counts(m: FlightMart) -> DataFrame:
+    f = drafts(m).select(O.structural_flags("output").alias("f")).select("f.*")
+    return f.agg(*[F.count_if(c).alias(c) for c in f.columns])
+
+
+def o12_repaired_chains(m: FlightMart) -> DataFrame:
+    """Drafts of the join chain that lack the timing table, before and after the repair."""
+    d = o2_dedupe_corpus(m).withColumn("output", F.regexp_replace("output", r"JOIN CRONOMETRIA_REAL CR ON [^J]*", ""))
+    d = d.withColumn("fixed", O.repair_chain("output"))
+    flag = lambda c: O.structural_flags(c)["delays_without_timing"]
+    return d.agg(F.count_if(flag("output")).alias("broken"), F.count_if(flag("fixed")).alias("still_broken"),
+                 F.count_if(F.col("output") != F.col("fixed")).alias("changed"))
+
+
+def commented(m: FlightMart) -> DataFrame:
+    d = o2_dedupe_corpus(m)
+    text = F.concat(F.lit("/* "), F.col("instruction"), F.lit("\n */\n\n    "), F.col("output"),
+                    F.lit(" -- "), F.col("family"), F.lit("  \n      -- end\n"))
+    return d.select("template_id", "instruction", "output", text.alias("text"))
+
+
 def o13_strip_comments(m: FlightMart) -> DataFrame:
-    c = m.table("conversations")
-    return c.select("conv_id", "turn", O.strip_comments("text").alias("clean_text"))
+    return commented(m).select("template_id", "instruction", O.strip_comments("text").alias("clean_text"))
+
+
+def o15_bodies(m: FlightMart) -> DataFrame:
+    """The queries inside views and procedures made of the corpus statements."""
+    d = o2_dedupe_corpus(m)
+    text = (F.when(F.col("family") < "e", F.concat(F.lit("CREATE OR ALTER VIEW v AS "), F.col("output")))
+            .otherwise(F.concat(F.lit("CREATE OR ALTER PROCEDURE p @x INT AS BEGIN "),
+                                F.regexp_replace("output", ";$", " AND 1 = @x;"), F.lit(" END"))))
+    return d.select("template_id", "instruction", O.validable_body(text).alias("body"))

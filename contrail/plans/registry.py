@@ -140,8 +140,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     })
     for name in ("o1_expand_templates", "o2_dedupe_corpus", "o2_dedupe_documents", "o3_cap_per_family",
                  "o4_stratified_split", "o5_family_distribution", "o6_integrity_gate",
-                 "o8_schema_problems", "o8_reference_summary", "o9_extract_code",
-                 "o10_statement_kinds", "o13_strip_comments"):
+                 "o6_gate_on_drafts", "o7_scored_drafts", "o8_schema_problems", "o8_problem_frequency",
+                 "o8_reference_summary", "o9_extract_code", "o10_statement_kinds", "o11_rewritten_drafts",
+                 "o12_flag_counts", "o12_repaired_chains", "o13_strip_comments", "o15_bodies"):
         q[name] = _mart(getattr(O, name))
     for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison",
                  "n10_feature_importance", "n12_score_catalogue"):

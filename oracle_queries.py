@@ -714,9 +714,31 @@ def _sq(x: str) -> str:
     return "'" + x.replace("'", "''") + "'"
 
 
+# The schema that generated SQL must respect, a table a line.
+SCHEMA_TEXT = """
+CONTINENTE Nombre_Continente
+MODELO_DE_AVION acft_icao Fabricante Modelo Tipo_Motor Num_Motores Peso_Maximo_Despegue_lbs
+RUTA RutaID Distance DistanceGroup
+ALIANZA ID_ALIANZA Operated_or_Branded_Code_Share_Partners
+RED_DE_AEROLINEAS ID_Red DOT_ID_Marketing_Airline Marketing_Airline_Network IATA_Code_Marketing_Airline
+BLOQUE_HORARIO ID_Bloque DepTimeBlk ArrTimeBlk
+TAXI ID_TAXI TaxiOut TaxiIn
+DETALLE_RETRASOS ID_Detalle_R DepDelay DepDelayMinutes DepDel15 DepartureDelayGroups ArrDelay ArrDelayMinutes ArrDel15 ArrivalDelayGroups
+WAC WAC_ID Nombre_Continente
+AEROLINEA DOT_ID_Operating_Airline IATA_Code_Operating_Airline Operating_Airline ID_ALIANZA ID_Red
+PROGRAMACION ID_Programacion CRSDepTime CRSArrTime CRSElapsedTime FlightDate Year Quarter Month DayofMonth DayOfWeek RutaID ID_Bloque
+CRONOMETRIA_REAL ID_CR DepTime ArrTime AirTime WheelsOff WheelsOn ActualElapsedTime ID_Detalle_R ID_TAXI
+ESTADO ID_Estado StateFips StateName StateCode WAC_ID
+AERONAVE Tail_Number acft_icao DOT_ID_Operating_Airline
+CIUDAD CityMarketID CityName ID_Estado
+AEROPUERTO AirportID IATA_Code SeqID CityMarketID Nombre_Aeropuerto Latitud Longitud Elevacion_ft
+VUELO ID_Vuelo FlightDate Flight_Number_Marketing_Airline Flight_Number_Operating_Airline Tail_Number OriginAirportID DestAirportID
+RESULTADO ID_Resultado ID_Vuelo ID_CR ID_Programacion Cancelled Diverted fuel_burn co2 DivAirportLandings
+"""
+
+
 def corpus() -> dict[str, str]:
-    from contrail.operators.corpus import integrity_rules
-    from contrail.plans.corpus_jobs import TEMPLATES
+    from contrail.plans.corpus_jobs import TEMPLATES      # the input of the jobs, not their result
     q: dict[str, str] = {}
     vals = ",\n  ".join("(" + ", ".join(_sq(v) for v in t) + ")" for t in TEMPLATES)
     expand = f"""t(template_id, family, param_kind, question, sqltext) AS (VALUES
@@ -743,59 +765,112 @@ sp AS (SELECT family, instruction, output,
     q["o4_stratified_split"] = f"WITH {expand} SELECT * FROM sp"
     q["o5_family_distribution"] = f"""WITH {expand} SELECT family, COUNT(*) AS "rows",
   {CNT("split = 'train'")} AS train, {CNT("split = 'val'")} AS val FROM sp GROUP BY family"""
-    rules = []
-    names = []
-    for name, pat, clear in integrity_rules():
-        cond = f"regexp_matches(n, {_sq(pat)})"
-        if clear:
-            cond += f" AND NOT contains(n, {_sq(clear)})"
-        rules.append(f"{CNT(cond)} AS {name}")
-        names.append(name)
-    q["o6_integrity_gate"] = f"""WITH {expand}, nn AS (SELECT regexp_replace(output, '\\s+', ' ', 'g') AS n FROM dd),
-g AS (SELECT COUNT(*) AS "rows", {', '.join(rules)} FROM nn)
-SELECT *, {' + '.join(names)} AS violations FROM g"""
-    from contrail.operators.corpus import SCHEMA
-    sch = ", ".join(f"({_sq(t)}, {_sq(c.lower())})" for t, cols in SCHEMA.items() for c in cols)
-    q["o8_reference_summary"] = rf"""WITH {expand},
+    drafts = expand + """,
+dr AS (SELECT family, template_id, instruction, CASE substr(md5(instruction), 1, 1)
+         WHEN '0' THEN replace(output, 'RESULTADO', 'DETALLE_VUELO')
+         WHEN '1' THEN replace(output, 'R.Cancelled', 'R.Distance')
+         WHEN '2' THEN replace(output, 'V.ID_Vuelo', 'Z.ID_Vuelo')
+         WHEN '3' THEN replace(output, 'JOIN PROGRAMACION P', 'JOIN TAXI P')
+         WHEN '4' THEN replace(output, 'JOIN WAC W', 'JOIN PAIS W')
+         WHEN '5' THEN replace(output, 'VUELO V', 'VUELOS V')
+         ELSE output END AS output FROM dd)"""
+
+    def has(x: str) -> str:
+        return f"contains(output, '{x}')"
+
+    timing = f"NOT {has('CRONOMETRIA_REAL')}"
+    gate = {
+        "wrong_table_detalle_vuelo": has("DETALLE_VUELO"), "wrong_table_detalles_vuelo": has("DETALLES_VUELO"),
+        "wrong_table_taxi_tx": has("TAXI_TX"), "wrong_table_tbl_taxi": has("TBL_TAXI"),
+        "route_distance_on_result": f"({has(' R.Distance ')} OR {has('(R.Distance)')})",
+        "missing_column_carrierdelay": has("CarrierDelay"), "missing_column_weatherdelay": has("WeatherDelay"),
+        "missing_column_nasdelay": has("NASDelay"), "missing_column_securitydelay": has("SecurityDelay"),
+        "missing_column_lateaircraftdelay": has("LateAircraftDelay"),
+        "avg_of_signed_arrival_delay": f"({has('AVG(ArrDelay)')} OR {has('AVG(DR.ArrDelay)')})",
+        "elevation_without_unit": f"({has('Elevacion ')} OR {has('Elevacion)')})",
+        "english_continent": "(" + " OR ".join(f"contains(output, '''{c}''')" for c in ("Europe", "South America", "North America")) + ")",
+        "delays_without_timing": f"{has('DETALLE_RETRASOS')} AND {timing}",
+        "taxi_without_timing": f"{has('JOIN TAXI ')} AND {timing}",
+        "continent_without_aeropuerto": f"{has('CONTINENTE')} AND NOT {has('AEROPUERTO')}",
+        "continent_without_ciudad": f"{has('CONTINENTE')} AND NOT {has('CIUDAD')}",
+        "continent_without_estado": f"{has('CONTINENTE')} AND NOT {has('ESTADO')}",
+        "continent_without_wac": f"{has('CONTINENTE')} AND NOT {has('WAC')}",
+    }
+    counted = ", ".join(f"{CNT(c)} AS {n}" for n, c in gate.items())
+    for name, statements in (("o6_integrity_gate", "dd"), ("o6_gate_on_drafts", "dr")):
+        q[name] = f"""WITH {drafts}, g AS (SELECT COUNT(*) AS "rows", {counted} FROM {statements})
+SELECT *, {' + '.join(gate)} AS violations FROM g"""
+    passed = CNT("CASE family WHEN 'geography' THEN contains(output, 'JOIN WAC') AND contains(output, 'CONTINENTE') "
+                 "AND NOT contains(output, 'PAIS') WHEN 'emissions' THEN contains(output, 'R.Cancelled = 0') "
+                 "AND NOT contains(output, 'DETALLE_VUELO') "
+                 "ELSE contains(output, 'DETALLE_RETRASOS') AND NOT contains(output, 'DETALLE_VUELO') END")
+    q["o7_scored_drafts"] = f"""WITH {drafts}
+SELECT family, COUNT(*) AS cases, {passed} AS passed
+FROM dr WHERE family IN ('geography', 'emissions', 'delays') GROUP BY family"""
+
+    sch = ", ".join(f"({_sq(line.split()[0])}, {_sq(c.lower())})" for line in SCHEMA_TEXT.strip().split(chr(10))
+                    for c in line.split()[1:])
+
+    def problems(statements: str) -> str:
+        return rf"""{drafts},
 sch(table_name, column_name) AS (VALUES {sch}),
-tabs AS (SELECT DISTINCT table_name FROM sch),
-st AS (SELECT template_id || '|' || instruction AS id, output FROM dd),
-src AS (SELECT id,
-          list_transform(regexp_extract_all(output, '(?:WITH|,)\s+([A-Za-z_]\w*)\s+AS\s*\(', 1), lambda x: lower(x))
-          || list_transform(regexp_extract_all(output, '\)\s+AS\s+([A-Za-z_]\w*)', 1), lambda x: lower(x)) AS logical,
-          regexp_extract_all(output, '\b(FROM|JOIN)\s+([A-Za-z_]\w*)\s+([A-Za-z]\w*)\b', 2) AS srcs,
-          regexp_extract_all(output, '\b(FROM|JOIN)\s+([A-Za-z_]\w*)\s+([A-Za-z]\w*)\b', 3) AS aliases,
-          regexp_extract_all(output, '\b([A-Za-z]{{1,5}})\.([A-Za-z_]\w*)', 1) AS ref_alias,
-          regexp_extract_all(output, '\b([A-Za-z]{{1,5}})\.([A-Za-z_]\w*)', 2) AS ref_col
-        FROM st),
-decl AS (SELECT id, pos, srcs[pos] AS src, aliases[pos] AS alias, list_contains(logical, lower(srcs[pos])) AS is_logical,
-                srcs[pos] IN (SELECT table_name FROM tabs) AS known
-         FROM (SELECT *, unnest(generate_series(1, len(srcs))) AS pos FROM src)
-         WHERE upper(aliases[pos]) NOT IN ('AS', 'ON')),
-amap AS (SELECT id, alias_l, tbl FROM (
-           SELECT id, lower(alias) AS alias_l, CASE WHEN known THEN src END AS tbl,
-                  ROW_NUMBER() OVER (PARTITION BY id, lower(alias) ORDER BY pos DESC) AS rn
-           FROM decl WHERE known OR is_logical) WHERE rn = 1),
-refs AS (SELECT id, ref_alias[k] AS alias, ref_col[k] AS col
-         FROM (SELECT *, unnest(generate_series(1, len(ref_alias))) AS k FROM src)),
-pr AS (SELECT id FROM decl WHERE NOT known AND NOT is_logical
+tk AS (SELECT id, unnest(t) AS tok, generate_subscripts(t, 1) AS pos FROM (
+         SELECT template_id || '|' || instruction AS id,
+                regexp_extract_all(output, '''[^'']*''|[A-Za-z0-9_]+|[^\sA-Za-z0-9_]') AS t FROM {statements})),
+w AS (SELECT id, pos, tok, lead(tok, 1) OVER o AS one, lead(tok, 2) OVER o AS two FROM tk
+      WINDOW o AS (PARTITION BY id ORDER BY pos)),
+src AS (SELECT id, pos, one AS src, two AS alias FROM w WHERE tok IN ('FROM', 'JOIN')),
+good AS (SELECT id, alias, arg_max(src, pos) AS tbl FROM src
+         WHERE src IN (SELECT table_name FROM sch) GROUP BY id, alias),
+used AS (SELECT id, tok AS alias, two AS col FROM w WHERE one = '.' AND length(tok) <= 5),
+pr AS (SELECT id, 'unknown table: ' || src AS problem FROM src WHERE src NOT IN (SELECT table_name FROM sch)
        UNION ALL
-       SELECT r.id FROM refs r LEFT JOIN amap a ON r.id = a.id AND lower(r.alias) = a.alias_l
-       WHERE a.alias_l IS NULL
-          OR (a.tbl IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sch WHERE sch.table_name = a.tbl
-                                                 AND sch.column_name = lower(r.col))))
+       SELECT u.id, CASE WHEN g.tbl IS NULL THEN 'undeclared alias: ' || u.alias || '.' || u.col
+                         ELSE 'unknown column: ' || u.alias || '.' || u.col || ' -> ' || g.tbl END
+       FROM used u LEFT JOIN good g ON g.id = u.id AND g.alias = u.alias
+       LEFT JOIN sch s ON s.table_name = g.tbl AND s.column_name = lower(u.col)
+       WHERE s.table_name IS NULL)"""
+
+    q["o8_schema_problems"] = f"WITH {problems('dr')} SELECT id, problem FROM pr"
+    q["o8_problem_frequency"] = f"WITH {problems('dr')} SELECT problem, COUNT(*) AS occurrences FROM pr GROUP BY problem"
+    q["o8_reference_summary"] = f"""WITH {problems('dd')}
 SELECT (SELECT COUNT(*) FROM dd) AS statements, (SELECT COUNT(*) FROM pr) AS problems"""
+
+    # a reply's statement is known from how the reply was made
+    digit = "substr(md5(instruction), 1, 1)"
+    code = (f"CASE WHEN {digit} < '8' THEN rtrim(output, ';') WHEN {digit} < 'a' THEN NULL "
+            "ELSE 'CREATE PROCEDURE p AS' || chr(10) || 'BEGIN' || chr(10) || '  ' || output || chr(10) || 'END' END")
+    q["o9_extract_code"] = f"WITH {expand} SELECT template_id, instruction, {code} AS code FROM dd"
+    q["o10_statement_kinds"] = f"""WITH {expand}
+SELECT CASE WHEN {digit} < '8' THEN 'QUERY' WHEN {digit} >= 'a' THEN 'DDL' END AS kind,
+       COUNT(*) AS replies FROM dd GROUP BY 1"""
+    q["o11_rewritten_drafts"] = f"""WITH {drafts}
+SELECT template_id, instruction,
+       replace(replace(replace(replace(replace(output, 'DETALLE_VUELO', 'DETALLE_RETRASOS'), 'VUELOS V', 'VUELO V'),
+         '''EUROPE''', '''Europa'''), '''ASIA''', '''Asia'''), '''AFRICA''', '''Africa''') AS output,
+       CASE WHEN contains(output, 'JOIN PAIS W') THEN 'PAIS' END AS invented FROM dr"""
+    flags = {
+        "delays_without_timing": f"{has('DETALLE_RETRASOS')} AND {timing}",
+        "taxi_without_timing": f"{has('JOIN TAXI ')} AND {timing}",
+        "broken_geo_chain": f"{has('CONTINENTE')} AND NOT ({has('AEROPUERTO')} AND {has('CIUDAD')} AND {has('ESTADO')} AND {has('WAC')})",
+        "distance_on_result": has(" R.DISTANCE "),
+        "aircraft_without_flight": f"{has('AERONAVE')} AND NOT {has('VUELO')}",
+        "route_without_schedule": f"{has('RUTA')} AND NOT {has('PROGRAMACION')}",
+        "avg_signed_delay": f"({has('AVG(ARRDELAY)')} OR {has('AVG(DR.ARRDELAY)')})",
+    }
+    q["o12_flag_counts"] = (f"WITH {drafts} SELECT {', '.join(f'{CNT(c)} AS {n}' for n, c in flags.items())} "
+                            "FROM (SELECT upper(output) AS output FROM dr)")
+    broken = f"{has('DETALLE_RETRASOS')} AND {timing}"
+    fixed = f"({has('JOIN DETALLE_RETRASOS ')} OR {has('JOIN TAXI ')}) AND {timing} AND {has('RESULTADO')}"
+    q["o12_repaired_chains"] = f"""WITH {expand},
+x AS (SELECT replace(output, 'JOIN CRONOMETRIA_REAL CR ON R.ID_CR = CR.ID_CR ', '') AS output FROM dd)
+SELECT {CNT(broken)} AS broken, {CNT(f'{broken} AND NOT ({fixed})')} AS still_broken, {CNT(fixed)} AS changed FROM x"""
+    q["o13_strip_comments"] = f"WITH {expand} SELECT template_id, instruction, output AS clean_text FROM dd"
+    q["o15_bodies"] = f"""WITH {expand}
+SELECT template_id, instruction, rtrim(output, ';') || CASE WHEN family < 'e' THEN '' ELSE ' AND 1 = NULL' END AS body FROM dd"""
     q["o2_dedupe_documents"] = """
 SELECT doc_id, source FROM (SELECT doc_id, source, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn
 FROM documents) WHERE rn = 1"""
-    q["o13_strip_comments"] = r"""
-WITH s AS (SELECT conv_id, turn, regexp_replace(regexp_replace(text, '/\*.*?\*/', '', 'gs'), '--[^\n]*', '', 'g') AS s
-           FROM conversations),
-l AS (SELECT conv_id, turn, list_transform(list_filter(string_split(s, chr(10)),
-        lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g') <> ''), lambda x: regexp_replace(x, '\s+$', '', 'g')) AS lines FROM s),
-i AS (SELECT *, list_min(list_transform(lines, lambda x: length(x) - length(regexp_replace(x, '^\s+', '', 'g')))) AS ind FROM l)
-SELECT conv_id, turn, regexp_replace(array_to_string(list_transform(lines, lambda x: substr(x, COALESCE(ind, 0) + 1)), chr(10)),
-  '^\s+|\s+$', '', 'g') AS clean_text FROM i"""
     return q
 
 
