@@ -277,3 +277,81 @@ def l15_share_by_scalar(m: FlightMart) -> DataFrame:
     tot = f.agg(F.count("*").alias("__t"))
     return with_totals(per, tot).select("dest_continent", "flights",
                                         pct("flights", "__t").alias("share_pct"))
+
+
+# -- further variants -------------------------------------------------------------------------------
+def l04_fleet_by_month(m: FlightMart) -> DataFrame:
+    """Distinct aircraft and airlines flying in each month of each year.
+
+    One row for each (month, key) first, so that no distinct count expands the flights."""
+    by = ["year", "month"]
+    f = m.flights()
+    tails = f.select(*by, "tail_id").distinct().groupBy(*by).agg(F.count("*").alias("aircraft"))
+    lines = f.select(*by, "airline_id").distinct().groupBy(*by).agg(F.count("*").alias("airlines"))
+    return tails.join(lines, by)
+
+
+def l04_airline_makers(m: FlightMart) -> DataFrame:
+    """Every maker that an airline flies, with its flights and aircraft."""
+    per = m.flights().groupBy("airline_id", "tail_id").agg(F.count("*").alias("__n"))
+    makers = m.models().select(F.col("model_id").alias("tail_id"), "maker")
+    c = (per.join(makers, "tail_id").groupBy("airline_id", "maker")
+         .agg(F.sum("__n").cast("long").alias("flights"), F.count("*").alias("aircraft")))
+    return c.join(m.airlines().select("airline_id", "airline_name"), "airline_id").select(
+        "airline_name", "maker", "flights", "aircraft")
+
+
+def l05_flights_by_city_pair_state(m: FlightMart) -> DataFrame:
+    """Flights and share of cancellations between origin and destination states."""
+    return measure_by(m, {"flights": F.count("*"), "cancel_pct": pct(count_if(F.col("cancelled")), F.count("*"))},
+                      ["origin_state", "dest_state"])
+
+
+def l09_pivot_delay_by_weekday(m: FlightMart) -> DataFrame:
+    """Mean departure delay of each airline on each weekday, a column a day."""
+    days = [half_up(F.avg(F.when(F.col("day_of_week") == d, F.col("dep_delay_minutes").cast("double"))), 4)
+            .alias(f"day{d}") for d in range(1, 8)]
+    return m.per_airline([], days, _operated()).select("airline_name", *[f"day{d}" for d in range(1, 8)])
+
+
+def l13_maker_ranking(m: FlightMart, by: str = "co2") -> DataFrame:
+    """Makers by total CO2, total fuel or aircraft flown."""
+    c = m.per_model([], [F.count("*").alias("__n"), exact_sum("co2").alias("__co2"), exact_sum("fuel_burn").alias("__fuel")])
+    g = c.groupBy("maker").agg(F.sum("__n").cast("long").alias("flights"), F.count("*").alias("aircraft"),
+                               half_up(F.sum(F.col("__co2").cast("decimal(28,6)")), 2).alias("co2"),
+                               half_up(F.sum(F.col("__fuel").cast("decimal(28,6)")), 2).alias("fuel"))
+    return rank_in(g, by, name="position")       # makers are a fixed catalogue of a few dozen
+
+
+def l14_destination_ranking(m: FlightMart, by: str = "avg_arr_delay", n: int = 2) -> DataFrame:
+    """The first destinations of each continent by CO2 or mean arrival delay."""
+    c = measure_by(m, {"flights": F.count("*"), "avg_arr_delay": _avg("arr_delay_minutes"),
+                       "co2": half_up(exact_sum("co2"), 2)}, ["dest_continent", "dest_airport"])
+    return top_n(c, n, by, "dest_continent", tie="dest_airport", name="position")
+
+
+def e09_mean_row_ratio(m: FlightMart) -> DataFrame:
+    """The mean of each flight's own ratio (CO2 per distance), beside the ratio of the sums."""
+    return m.per_airline([], [half_up(F.avg(ratio("co2", "distance")), 10).alias("mean_ratio"),
+                              half_up(ratio(exact_sum("co2"), exact_sum("distance")), 10).alias("ratio_of_sums")],
+                         F.col("co2").isNotNull()).select("airline_name", "mean_ratio", "ratio_of_sums")
+
+
+def e11_null_as_zero(m: FlightMart) -> DataFrame:
+    """Averages over all flights with a missing value as 0, and over known values."""
+    return m.per_airline([], [half_up(F.avg(F.coalesce("fuel_burn", F.lit(0.0))), 6).alias("avg_null_as_zero"),
+                              half_up(F.avg("fuel_burn"), 6).alias("avg_known"),
+                              exact_sum(F.coalesce("fuel_burn", F.lit(0.0))).alias("sum_fuel")]).select(
+        "airline_name", "avg_null_as_zero", "avg_known", "sum_fuel")
+
+
+def d03_left_outer_ignoring_nulls(m: FlightMart) -> DataFrame:
+    """D3: every airline, with aggregates of its diverted flights that skip the
+    rows which the outer join filled with nulls."""
+    f = m.flights().where("diverted").groupBy("airline_id").agg(
+        F.count("*").alias("__n"), F.sum("arr_delay_minutes").alias("__delay"), F.max("distance").alias("__far"))
+    c = m.airlines().join(f, "airline_id", "left")
+    return c.groupBy("network_name").agg(
+        F.count("*").alias("airlines"), F.count("__n").alias("airlines_with_diversions"),
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("diverted"),
+        half_up(ratio(F.sum("__delay"), F.sum("__n")), 4).alias("avg_delay"), half_up(F.max("__far"), 2).alias("longest"))

@@ -92,6 +92,18 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "l12_worst_month_per_airline": _mart(L.l12_worst_month_per_airline),
         "l12_airline_vs_network": _mart(L.l12_airline_vs_network),
         "l13_by_maker_top5": _mart(L.l13_by_maker),
+        "l04_fleet_by_month": _mart(L.l04_fleet_by_month),
+        "l04_airline_makers": _mart(L.l04_airline_makers),
+        "l05_flights_by_city_pair_state": _mart(L.l05_flights_by_city_pair_state),
+        "l09_pivot_delay_by_weekday": _mart(L.l09_pivot_delay_by_weekday),
+        "l13_makers_by_co2": _mart(L.l13_maker_ranking, by="co2"),
+        "l13_makers_by_fuel": _mart(L.l13_maker_ranking, by="fuel"),
+        "l13_makers_by_aircraft": _mart(L.l13_maker_ranking, by="aircraft"),
+        "l14_destinations_by_avg_arr_delay": _mart(L.l14_destination_ranking, by="avg_arr_delay"),
+        "l14_destinations_by_co2": _mart(L.l14_destination_ranking, by="co2"),
+        "e09_mean_row_ratio": _mart(L.e09_mean_row_ratio),
+        "e11_null_as_zero": _mart(L.e11_null_as_zero),
+        "d03_left_outer_ignoring_nulls": _mart(L.d03_left_outer_ignoring_nulls),
         "l14_top_destinations": _mart(L.l14_top_destinations),
         "l15_delay_buckets": _mart(L.l15_delay_buckets),
         "l15_months_above_yearly_mean": _mart(L.l15_months_above_yearly_mean),

@@ -533,6 +533,33 @@ FROM a JOIN n ON a.network_name = n.network_name"""
     q["l14_top_destinations"] = f"""{mart('dest')} SELECT dest_state, dest_airport, COUNT(*) AS flights,
   {_avg('arr_delay_minutes')} AS avg_arr_delay FROM f GROUP BY dest_state, dest_airport
 ORDER BY flights DESC, dest_state, dest_airport LIMIT 10"""
+    q["l04_fleet_by_month"] = f"""{mart()} SELECT year, month, COUNT(DISTINCT tail_id) AS aircraft,
+  COUNT(DISTINCT airline_id) AS airlines FROM f GROUP BY year, month"""
+    q["l04_airline_makers"] = f"""{mart('airline', 'model')} SELECT airline_name, maker, COUNT(*) AS flights,
+  COUNT(DISTINCT tail_id) AS aircraft FROM f GROUP BY airline_id, airline_name, maker"""
+    q["l05_flights_by_city_pair_state"] = f"""{mart('airline', 'dest')} SELECT origin_state, dest_state, COUNT(*) AS flights,
+  {R(f"{CNT('cancelled')} * 100.0 / COUNT(*)", 2)} AS cancel_pct FROM f GROUP BY origin_state, dest_state"""
+    days = ", ".join(f"{R(f'AVG(CASE WHEN day_of_week = {d} THEN CAST(dep_delay_minutes AS DOUBLE) END)', 4)} AS day{d}" for d in range(1, 8))
+    q["l09_pivot_delay_by_weekday"] = f"{mart('airline')} SELECT airline_name, {days} FROM f WHERE NOT cancelled GROUP BY airline_name"
+    for by in ("co2", "fuel", "aircraft"):
+        q[f"l13_makers_by_{by}"] = f"""{mart('model')}, g AS (SELECT maker, COUNT(*) AS flights, COUNT(DISTINCT tail_id) AS aircraft,
+  {R(ESUM('co2'), 2)} AS co2, {R(ESUM('fuel_burn'), 2)} AS fuel FROM f GROUP BY maker)
+SELECT *, RANK() OVER (ORDER BY {by} DESC) AS position FROM g"""
+    for by in ("avg_arr_delay", "co2"):
+        q[f"l14_destinations_by_{by}"] = f"""{mart('dest')}, g AS (SELECT dest_continent, dest_airport, COUNT(*) AS flights,
+  {_avg('arr_delay_minutes')} AS avg_arr_delay, {R(ESUM('co2'), 2)} AS co2 FROM f GROUP BY dest_continent, dest_airport)
+SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY dest_continent ORDER BY {by} DESC NULLS LAST, dest_airport) AS position FROM g)
+WHERE position <= 2"""
+    q["e09_mean_row_ratio"] = f"""{mart('airline')} SELECT airline_name, {R('AVG(co2 / NULLIF(distance, 0))', 10)} AS mean_ratio,
+  {R(f"{ESUM('co2')} / NULLIF({ESUM('distance')}, 0)", 10)} AS ratio_of_sums FROM f WHERE co2 IS NOT NULL GROUP BY airline_name"""
+    q["e11_null_as_zero"] = f"""{mart('airline')} SELECT airline_name, {R('AVG(COALESCE(fuel_burn, 0))', 6)} AS avg_null_as_zero,
+  {R('AVG(fuel_burn)', 6)} AS avg_known, {ESUM('COALESCE(fuel_burn, 0)')} AS sum_fuel FROM f GROUP BY airline_name"""
+    q["d03_left_outer_ignoring_nulls"] = f"""{mart()}, d AS (SELECT airline_id, COUNT(*) AS n, SUM(arr_delay_minutes) AS delay,
+  MAX(distance) AS far FROM f WHERE diverted GROUP BY airline_id)
+SELECT n_name AS network_name, COUNT(*) AS airlines, COUNT(d.n) AS airlines_with_diversions,
+  CAST(COALESCE(SUM(d.n), 0) AS BIGINT) AS diverted, {R('CAST(SUM(d.delay) AS DOUBLE) / NULLIF(SUM(d.n), 0)', 4)} AS avg_delay,
+  {R('MAX(d.far)', 2)} AS longest
+FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN d ON d.airline_id = s_suppkey GROUP BY n_name"""
     q["l15_delay_buckets"] = f"""{mart()} SELECT CASE WHEN dep_delay_minutes <= 0 THEN 'on time' WHEN dep_delay_minutes < 15 THEN 'minor'
   WHEN dep_delay_minutes < 60 THEN 'moderate' WHEN dep_delay_minutes < 240 THEN 'major' ELSE 'severe' END AS bucket,
   COUNT(*) AS flights FROM f WHERE NOT cancelled GROUP BY 1"""
