@@ -26,8 +26,8 @@ def parse_date(c, fmt: str = "dd/MM/yyyy") -> Column:
 
 def float_id_text(c) -> Column:
     """B4: '19690.0' -> '19690'; null / '-1' / non-numeric -> null."""
-    v = F.trim(_c(c).cast("string")).try_cast("double")
-    s = F.when(v.isNotNull(), F.floor(v).cast("bigint").cast("string"))
+    v = F.trim(_c(c).cast("string")).try_cast("decimal(38,10)")
+    s = F.when(v.isNotNull(), F.floor(v).cast("string"))
     return F.nullif(s, F.lit("-1"))
 
 
@@ -101,7 +101,7 @@ def canon(c, kind: str) -> Column:
     'yyyy-MM-dd', text -> trimmed upper; null -> '<NA>'."""
     x = _c(c)
     if kind == "int":
-        v = F.round(x.cast("string").try_cast("double"), 0).cast("bigint").cast("string")
+        v = F.round(x.cast("string").try_cast("decimal(38,10)"), 0).cast("decimal(28,0)").cast("string")
     elif kind == "float":
         v = F.round(x.cast("string").try_cast("double").cast("decimal(38,10)"), 2) \
              .cast("decimal(38,2)").cast("string")

@@ -242,9 +242,6 @@ def l14_top_destinations(m: FlightMart, top: int = 10) -> DataFrame:
 
 
 # -- L15 extra patterns ---------------------------------------------------------------------------
-DELAY_BUCKETS = ((0, "on time"), (15, "minor"), (60, "moderate"), (240, "major"))
-
-
 def l15_delay_buckets(m: FlightMart) -> DataFrame:
     d = F.col("dep_delay_minutes")
     b = (F.when(d <= 0, "on time").when(d < 15, "minor").when(d < 60, "moderate")

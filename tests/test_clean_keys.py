@@ -119,3 +119,12 @@ def test_stack_roles_priority_and_backfill(df):
     assert {(r.id, r.state) for r in s.collect()} == {(1, "NY"), (2, "California")}
     f = df([("a", None, 1), ("a", "n1", 2), ("a", "n2", 3), ("b", "n9", 5)], "k string, v string, o int")
     assert {(r.k, r.v) for r in backfill_first_valid(f, "k", "v", "o").collect()} == {("a", "n1"), ("b", "n9")}
+
+
+def test_ids_above_2_53_stay_apart(df):
+    from contrail.functions import clean as C
+    from contrail.operators.keys import numeric_key
+    d = df([("9007199254740993.0",), ("9007199254740992",), ("x",), (None,)], "s string")
+    got = [(r[0], r[1], r[2]) for r in d.select(numeric_key("s"), C.float_id_text("s"), C.canon("s", "int")).collect()]
+    assert got == [(9007199254740993, "9007199254740993", "9007199254740993"),
+                   (9007199254740992, "9007199254740992", "9007199254740992"), (None, None, "<NA>"), (None, None, "<NA>")]
