@@ -33,6 +33,12 @@ def settled(df: DataFrame, folder: str, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(df: DataFrame, rows: int, a_task: int) -> DataFrame:
+    """At most one task for each ``a_task`` of the counted ``rows``: small tables
+    don't pay for the partitions of large ones."""
+    return df.coalesce(max(1, -(-rows // a_task)))
+
+
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
     """File system and path of a folder in the shared store (any URI pyarrow knows)."""
     return pafs.FileSystem.from_uri(uri)

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from contrail.llm.common import settled
+from contrail.llm.common import settled, sized
+
+EDGES_A_TASK = 100_000
 
 
 def connected_components(links: DataFrame, folder: str, name: str) -> DataFrame:
@@ -17,17 +19,18 @@ def connected_components(links: DataFrame, folder: str, name: str) -> DataFrame:
     are plain ones that Spark can split, so a node may have any number of
     links.  Every round is written to the shared folder.
     """
-    edges = settled(_ordered(links), folder, f"{name}-0")
+    edges = settled(sized(_ordered(links), links.count(), EDGES_A_TASK), folder, f"{name}-0")
     mark, turn = _mark(edges), 0
     while mark[0]:
         turn += 1
-        edges = settled(_small_star(_large_star(edges)), folder, f"{name}-{turn}")
+        edges = settled(_small_star(_large_star(edges, mark[0]), mark[0]), folder, f"{name}-{turn}")
         now = _mark(edges)
         if now == mark:
             break
         mark = now
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    both = nodes.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return sized(both, 2 * mark[0], EDGES_A_TASK)
 
 
 def _ordered(links: DataFrame) -> DataFrame:
@@ -40,17 +43,19 @@ def _mark(edges: DataFrame) -> tuple:
     return r[0], r[1]
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, rows: int) -> DataFrame:
     """Larger neighbours of each node to the smallest of its neighbours and itself."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select(
+    least = sized(both.groupBy("a").agg(F.min("b").alias("m")), 2 * rows, EDGES_A_TASK).select(
         F.col("a").alias("node"), F.least("a", "m").alias("m"))
-    return _ordered(both.where("b > a").join(least, F.col("a") == F.col("node"))
-                    .select(F.col("b").alias("a"), F.col("m").alias("b")))
+    moved = both.where("b > a").join(least, F.col("a") == F.col("node")).select(
+        F.col("b").alias("a"), F.col("m").alias("b"))
+    return sized(_ordered(sized(moved, rows, EDGES_A_TASK)), rows, EDGES_A_TASK)
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, rows: int) -> DataFrame:
     """Smaller neighbours of each node, and the node, to the smallest of them."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), "m")
+    least = sized(edges.groupBy("a").agg(F.min("b").alias("m")), rows, EDGES_A_TASK).select(F.col("a").alias("node"), "m")
     moved = edges.join(least, F.col("a") == F.col("node")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return _ordered(moved.unionByName(least.select(F.col("node").alias("a"), F.col("m").alias("b"))))
+    moved = sized(moved.unionByName(least.select(F.col("node").alias("a"), F.col("m").alias("b"))), 2 * rows, EDGES_A_TASK)
+    return sized(_ordered(moved), 2 * rows, EDGES_A_TASK)
