@@ -21,6 +21,7 @@ texts' hashes; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
@@ -28,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -199,20 +201,98 @@ def read_file(src, size: int) -> Iterator[bytes]:
 
 # -- tokens ---------------------------------------------------------------
 
-_TOKENIZERS: dict[str, object] = {}   # one a Python worker and vocabulary
+_TOKENIZERS: dict[str, "WordMemo"] = {}   # one a Python worker and vocabulary
 
 
-def tokenizer(key: str, definition: str):
+def tokenizer(key: str, definition: str) -> "WordMemo":
     if key not in _TOKENIZERS:
         from tokenizers import Tokenizer
         t = Tokenizer.from_str(definition)
         t.encode_special_tokens = True
-        _TOKENIZERS[key] = t
+        _TOKENIZERS[key] = WordMemo(t)
     return _TOKENIZERS[key]
 
 
-def encode_texts(tok, texts: list[str]) -> list[list[int]]:
-    return [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+MEMO = 300_000                                 # words of each of two generations whose ids a worker keeps
+_AMBIGUOUS = re.compile(r"\s (?:\s|\Z)")
+
+
+class WordMemo:
+    """Ids of texts from the library's ids of their blank-led words.
+
+    No pre-token reaches across a blank that follows a character other than
+    white space, nor across one that precedes such a character, so the parts
+    between those blanks have ids of their own and each different part goes to
+    the library once while it is remembered.  A text with another kind of blank
+    (between white space on both sides) goes to the library whole.  Words that
+    were not met since the last generation of ``size`` words are forgotten.
+    """
+
+    def __init__(self, tok, size: int = MEMO):
+        self.tok, self.size = tok, size
+        self.first: dict[str, bytes] = {}          # parts without a blank before them
+        self.rest: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}          # the generation before ``rest``
+        n = tok.get_vocab_size(with_added_tokens=True)
+        self.token_bytes = np.array([len(tok.id_to_token(i) or "") for i in range(n)], np.int64)
+
+    def encode(self, texts: list[str], batch_bytes: int = 8 << 20) -> list[np.ndarray]:
+        out, held, size = [], [], 0
+        for t in texts:
+            held.append(t)
+            size += len(t)
+            if size >= batch_bytes:
+                out += self._encode(held)
+                held, size = [], 0
+        return out + self._encode(held) if held else out
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Words are told apart by Arrow; only different ones are looked at in Python."""
+        whole = [i for i, t in enumerate(texts) if _AMBIGUOUS.search(t)]
+        parts = pc.split_pattern(pa.array(["" if i in set(whole) else t for i, t in enumerate(texts)] if whole else texts,
+                                          pa.large_string()), " ")
+        ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
+        coded = parts.flatten().dictionary_encode()
+        codes, words = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        leads = coded.dictionary.take(pa.array(codes[ends[:-1]])).to_pylist()
+
+        if len(self.first) > self.size:
+            self.first.clear()
+        if len(self.rest) > self.size:
+            self.older, self.rest = self.rest, {}
+        first, rest, older = self.first, self.rest, self.older
+        self._learn(first, [w for w in set(leads) if w not in first], "")
+        new = [w for w in words if w not in rest]
+        rest.update([(w, older[w]) for w in new if w in older])
+        self._learn(rest, [w for w in new if w not in older], " ")
+
+        codes[ends[:-1]] = len(words) + np.arange(len(leads))
+        ids = [*map(rest.__getitem__, words), *map(first.__getitem__, leads)]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        each = sizes[codes]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        at = np.repeat(starts[codes] - upto[:-1], each) + np.arange(upto[-1])
+        out = np.split(pool[at], upto[ends[1:-1]])
+        for i, ids in zip(whole, self._library([texts[i] for i in whole])):
+            out[i] = ids
+        return out
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, memo: dict[str, bytes], new: list[str], lead: str, at_once: int = 512) -> None:
+        plain, alone = [], []
+        for w in new:
+            (alone if not lead or not w or w[0].isspace() or w[-1].isspace() else plain).append(w)
+        memo.update(zip(alone, (ids.tobytes() for ids in self._library([lead + w for w in alone]))))
+        groups = [plain[i:i + at_once] for i in range(0, len(plain), at_once)]
+        for words, ids in zip(groups, self._library(["".join([lead + w for w in g]) for g in groups])):
+            ends = np.cumsum([len(w.encode()) + 1 for w in words])
+            stops = (4 * (np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1)).tolist()
+            data = ids.tobytes()
+            memo.update([(w, data[a:b]) for w, a, b in zip(words, [0, *stops], stops)])
 
 
 # -- Spark ----------------------------------------------------------------
@@ -236,15 +316,15 @@ def write_ids(docs: DataFrame, vocabulary: str, folder: str, percentile: float =
         def segments():
             ids, held, size = [], [], 0
             for batch in batches:
-                for i in range(0, batch.num_rows, 256):
-                    some = batch.slice(i, 256)
+                for i in range(0, batch.num_rows, 2048):
+                    some = batch.slice(i, 2048)
                     texts = some.column(1).to_pylist()
-                    for d, t in zip(some.column(0).to_pylist(), encode_texts(tok, [t or "" for t in texts])):
+                    for d, t in zip(some.column(0).to_pylist(), tok.encode([t or "" for t in texts])):
                         if held and size + len(t) >= segment_tokens:
                             yield segment(ids, held, percentile)
                             ids, held, size = [], [], 0
                         ids.append(d)
-                        held.append(np.array([*t, end_id], np.uint32))
+                        held.append(np.append(t, np.uint32(end_id)))
                         size += len(t) + 1
                         n["documents"] += 1
                         n["tokens"] += len(t) + 1
