@@ -145,15 +145,15 @@ def read_records(src, read_bytes: int = READ_BYTES) -> Iterator[bytes]:
     if magic == SKIPPABLE:
         dictionary, held = zstandard.ZstdCompressionDict(src.read(size)), b""
     d = zstandard.ZstdDecompressor(dict_data=dictionary) if dictionary else zstandard.ZstdDecompressor()
-    frame, parts = d.decompressobj(), []
+    frame, parts, begun = d.decompressobj(), [], False
     while held or (held := src.read(read_bytes)):
         parts.append(frame.decompress(held))
-        held = b""
+        held, begun = b"", True
         if frame.eof:
             yield b"".join(parts)
             held = frame.unused_data
-            frame, parts = d.decompressobj(), []
-    if any(parts):
+            frame, parts, begun = d.decompressobj(), [], False
+    if begun:
         raise ValueError("archive cut short")
 
 
@@ -174,10 +174,13 @@ def prepared(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
 def dictionary_of(pages: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES,
                   size: int = DICTIONARY_BYTES) -> bytes:
     """Trained on at most sample * sample_bytes bytes, which the driver gathers."""
-    html = F.coalesce(pages["html"], F.lit(""))
-    some = (pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"), html.alias("html"))
-            .where(F.octet_length("html") <= sample_bytes)
-            .orderBy(F.xxhash64("page_id", "url"), "page_id", "url", "html").limit(sample).collect())
+    rows = pages.select(pages["page_id"].cast("long").alias("page_id"), pages["url"].alias("url"),
+                        F.coalesce(pages["html"], F.lit("")).alias("html"))
+    rows = rows.where(F.octet_length("html") <= sample_bytes).withColumn("draw", F.xxhash64("page_id", "url"))
+    # drawn by hashes alone, so that a task hands on numbers and only the drawn pages travel
+    drawn = rows.select("draw").distinct().orderBy("draw").limit(sample)
+    some = (rows.join(F.broadcast(drawn), "draw").groupBy("draw")
+            .agg(F.min(F.struct("page_id", "url", "html")).alias("p")).select("p.*").orderBy("page_id", "url").collect())
     return train_dictionary([record(r.page_id, r.url, r.html.encode(), b32_sha1(r.html.encode())) for r in some], size)
 
 
@@ -241,4 +244,4 @@ def read_archives(manifest: DataFrame, folder: str, columns: tuple[str, ...] = t
 def write_and_read(pages: DataFrame, **options) -> DataFrame:
     folder = work_folder(pages.sparkSession, "warc")
     return read_archives(write_archives(pages, folder, **options), folder,
-                         ("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"))
+                         ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"))
