@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, oracles, pfor_ids, toxic_spans, warc_zstd, weak_quality
+from contrail.llm import (bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, oracles, pfor_ids,
+                          toxic_spans, warc_zstd, weak_quality)
 from contrail.llm.common import table, work_folder
 
 
