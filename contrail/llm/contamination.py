@@ -100,20 +100,22 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
                    hashes: int = HASHES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(doc_id, item_id, item_shingles, shared_shingles, containment) of every pair
     whose item is contained at ``threshold`` or more."""
-    docs = docs.select(docs["doc_id"].alias("doc_id"), words_of(docs["text"]).alias("words"))
+    docs = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
     items = items.select(items["item_id"].alias("item_id"), words_of(items["text"]).alias("words"))
     sketch = sketches(items, hashes, threshold, n)
     fits = sketch.count() <= broadcast_rows
     hint = F.broadcast if fits else (lambda x: x)
 
-    probes = docs.select("doc_id", F.explode(F.array_distinct(shingle_hashes(F.col("words"), n))).alias("h"))
+    words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
+    probes = words.select("doc_id", F.explode(F.array_distinct(shingle_hashes(F.col("words"), n))).alias("h"))
     found = (probes.join(hint(sketch), "h")
              .groupBy("doc_id", "item_id", "least").agg(F.sum("draws").alias("hits"))
              .where("hits >= least").select("doc_id", "item_id"))
 
     sets = items.select("item_id", shingle_strings(F.col("words"), n).alias("item")).dropDuplicates()
     pairs = found.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"))
-    texts = docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["d"])).select("doc_id", "i", "words")
+    # texts meet the candidates as they are; their words are many times as large
+    texts = docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["d"])).select("doc_id", "i", words_of(F.col("text")).alias("words"))
     # one row an item, so within the bound that its sketch (a row at least) was counted for
     both = texts.join(hint(sets), texts["i"].eqNullSafe(sets["item_id"]))
     exact = (both.select("doc_id", "item_id", F.size("item").cast("long").alias("item_shingles"),
