@@ -21,9 +21,11 @@ candidate documents are read a second time.
 Words are lower-cased and parted by white space (blank, \\t to \\r); a shingle
 is five words, and a text with fewer words has its whole sequence as the one.
 Defined results: texts without words (null, empty) match nothing; a null
-document or item id is an id like others; documents with one id are compared
-each for itself and reported once, at the best containment; repeated items are
-reported once; empty tables give no rows; other columns are ignored.
+document or item id is an id like others; different texts with one item id are
+sketched and searched each for itself and reported once; documents with one id
+are compared each for itself and reported once, at the best containment;
+repeated items are reported once; empty tables give no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -73,25 +75,28 @@ def least_hits(hashes: int, threshold: float, miss: float = MISS) -> int:
 
 
 def sketches(items: DataFrame, hashes: int = HASHES, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
-    """(item_id, size, size_class, h, draws, least): the minima of each item.
+    """(item_id, item_key, size, size_class, h, draws, least): the minima of each item text.
 
-    Items of at most ``hashes`` shingles keep all of them (a draw each, and
-    exactly the threshold's share has to be found); larger ones have one
-    minimum for each hash function.
+    ``item_key`` tells the texts of one id apart: each is drawn from alone and
+    has its hits counted alone.  Items of at most ``hashes`` shingles keep all
+    of them (a draw each, and exactly the threshold's share has to be found);
+    larger ones have one minimum for each hash function.
     """
-    each = (items.select("item_id", F.array_distinct(shingle_hashes(F.col("words"), n)).alias("hs"))
+    each = (items.select("item_id", "item_key", F.array_distinct(shingle_hashes(F.col("words"), n)).alias("hs"))
             .where(F.size("hs") > 0)
-            .select("item_id", "hs", F.size("hs").alias("size"),
+            .select("item_id", "item_key", "hs", F.size("hs").alias("size"),
                     F.floor(F.log2(F.size("hs").cast("double"))).cast("int").alias("size_class"))
             .withColumn("whole", F.col("size") <= hashes))
-    rows = each.select("item_id", "size", "size_class", "whole", F.explode("hs").alias("h"))
-    kept = rows.where("whole").select("item_id", "size", "size_class", "h", F.lit(1).cast("long").alias("draws"),
+    rows = each.select("item_id", "item_key", "size", "size_class", "whole", F.explode("hs").alias("h"))
+    kept = rows.where("whole").select("item_id", "item_key", "size", "size_class", "h",
+                                      F.lit(1).cast("long").alias("draws"),
                                       F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9)).cast("long").alias("least"))
     drawn = (rows.where("not whole")
-             .select("item_id", "size", "size_class", "h", F.explode(F.sequence(F.lit(1), F.lit(hashes))).alias("k"))
-             .groupBy("item_id", "size", "size_class", "k")
+             .select("item_id", "item_key", "size", "size_class", "h",
+                     F.explode(F.sequence(F.lit(1), F.lit(hashes))).alias("k"))
+             .groupBy("item_id", "item_key", "size", "size_class", "k")
              .agg(F.min_by("h", F.struct(F.xxhash64("k", "h"), "h")).alias("h"))
-             .groupBy("item_id", "size", "size_class", "h").agg(F.count(F.lit(1)).alias("draws"))
+             .groupBy("item_id", "item_key", "size", "size_class", "h").agg(F.count(F.lit(1)).alias("draws"))
              .withColumn("least", F.lit(least_hits(hashes, threshold)).cast("long")))
     return kept.unionByName(drawn)
 
@@ -101,7 +106,8 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     """(doc_id, item_id, item_shingles, shared_shingles, containment) of every pair
     whose item is contained at ``threshold`` or more."""
     docs = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"))
-    items = items.select(items["item_id"].alias("item_id"), words_of(items["text"]).alias("words"))
+    items = items.select(items["item_id"].alias("item_id"), words_of(items["text"]).alias("words")) \
+        .withColumn("item_key", F.xxhash64("words"))
     sketch = sketches(items, hashes, threshold, n)
     fits = sketch.count() <= broadcast_rows
     hint = F.broadcast if fits else (lambda x: x)
@@ -109,15 +115,16 @@ def find_contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHO
     words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     probes = words.select("doc_id", F.explode(F.array_distinct(shingle_hashes(F.col("words"), n))).alias("h"))
     found = (probes.join(hint(sketch), "h")
-             .groupBy("doc_id", "item_id", "least").agg(F.sum("draws").alias("hits"))
-             .where("hits >= least").select("doc_id", "item_id"))
+             .groupBy("doc_id", "item_id", "item_key", "least").agg(F.sum("draws").alias("hits"))
+             .where("hits >= least"))
 
-    sets = items.select("item_id", shingle_strings(F.col("words"), n).alias("item")).dropDuplicates()
-    pairs = found.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"))
+    sets = items.select("item_id", "item_key", shingle_strings(F.col("words"), n).alias("item")).dropDuplicates()
+    pairs = found.select(F.col("doc_id").alias("d"), F.col("item_id").alias("i"), F.col("item_key").alias("k"))
     # texts meet the candidates as they are; their words are many times as large
-    texts = docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["d"])).select("doc_id", "i", words_of(F.col("text")).alias("words"))
-    # one row an item, so within the bound that its sketch (a row at least) was counted for
-    both = texts.join(hint(sets), texts["i"].eqNullSafe(sets["item_id"]))
+    texts = docs.join(pairs, docs["doc_id"].eqNullSafe(pairs["d"])).select(
+        "doc_id", "i", "k", words_of(F.col("text")).alias("words"))
+    # one row an item text, so within the bound that its sketch (a row at least) was counted for
+    both = texts.join(hint(sets), (texts["k"] == sets["item_key"]) & texts["i"].eqNullSafe(sets["item_id"]))
     exact = (both.select("doc_id", "item_id", F.size("item").cast("long").alias("item_shingles"),
                          F.size(F.array_intersect("item", shingle_strings(F.col("words"), n))).cast("long")
                          .alias("shared_shingles"))

@@ -225,6 +225,20 @@ def test_containment_against_brute_force(spark, limit):
     assert found(got) == contained(docs, items)
 
 
+def test_long_items_with_one_id_are_found_each(spark):
+    rng = random.Random(5)
+    items = [(i, " ".join(f"i{k}x{j}" for j in range(60))) for i in (None, 4) for k in range(10 * (i or 1), 10 * (i or 1) + 10)]
+    docs = [(d, " ".join([f"a{rng.random()}" for _ in range(80)] + [t] + [f"b{rng.random()}" for _ in range(80)]))
+            for d, (_, t) in enumerate(items)]
+    docs.append((99, "none of them is in this text"))
+    docs_df, items_df = odd(spark, [(d, t, "s") for d, t in docs]), spark.createDataFrame(items, "item_id long, text string")
+    want = contained(docs, items)
+    assert len(want) == 20
+    for limit in (0, 200_000):
+        assert found(contamination.find_contained(docs_df, items_df, broadcast_rows=limit)) == want
+    assert [r.doc_id for r in contamination.decontaminated(docs_df, items_df).collect()] == [99]
+
+
 def test_containment_of_empty_tables(spark):
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert contamination.find_contained(odd(spark, []), items).count() == 0
