@@ -41,6 +41,7 @@ SAMPLE = 2000
 STEPS = 200
 EVEN = 30                # words that a text's features are diluted by: a short text says little
 MEMO = 400_000
+SHORT = 40               # characters of a word whose shape is remembered
 KEEP_AT = 0.5
 
 GOOD, BAD, NONE = "g", "b", "-"
@@ -70,16 +71,17 @@ class Reader:
         self.shapes: dict[str, str] = {}
 
     def shape(self, word: str) -> str:
-        """Classes of the characters, runs once, marks as they are, a bar, the last run of marks."""
+        """Classes of all characters, runs once, marks as they are, a bar, the last run of marks."""
         s = self.shapes.get(word)
         if s is None:
             classes = re.sub(r"(.)\1+", r"\1+", "".join(
-                "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:40]))
+                "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
             end = _RUN.search(word)
             s = f"{classes}|{end[0][:4] if end else ''}"
-            if len(self.shapes) > MEMO:
-                self.shapes.clear()
-            self.shapes[word] = s
+            if len(word) <= SHORT:
+                if len(self.shapes) > MEMO:
+                    self.shapes.clear()
+                self.shapes[word] = s
         return s
 
     def read(self, text: str) -> tuple[str, dict[int, float]]:

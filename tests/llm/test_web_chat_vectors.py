@@ -344,6 +344,17 @@ def test_quality_keeps_clean_texts(spark):
     assert weak_quality.good_documents(docs.limit(0)).count() == 0
 
 
+def test_words_are_read_to_their_end():
+    read = weak_quality.Reader().read
+    a, b = read("字" * 50 + "、" + "字"), read("字" * 50 + "7" * 9 + "字")
+    assert a[1] != b[1]
+    names = [m for m, *_ in weak_quality.LABELLERS]
+    worded = " ".join(f"{i:045d}letters" for i in range(30))
+    assert read(worded)[0][names.index("wordless")] == weak_quality.GOOD
+    ended = " ".join("w" * 40 + f"{i}z." for i in range(70))
+    assert read(ended)[0][names.index("unended")] == weak_quality.GOOD
+
+
 def test_expectation_maximisation_finds_accuracies():
     rng = random.Random(6)
     right = [0.95, 0.9, 0.8, 0.7]
