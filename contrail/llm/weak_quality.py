@@ -11,7 +11,8 @@ labeller looks at.  No hand-made label is used.
 One pass over the whole texts yields votes and features, which are written
 once; counting, training and scoring read those rows.  The scorer is fitted in
 one task on at most ``SAMPLE`` documents of each side of the posterior, those
-with the smallest id hashes; the model has ``DIMS`` weights.
+with the smallest id hashes, an id with several rows by one of them; the model
+has ``DIMS`` weights.
 
 Defined results: a null or empty text gets no vote and no feature, so its score
 is the scorer's constant, held at the share of good documents at least; rows
@@ -213,11 +214,16 @@ def train_scorer(read: DataFrame, posterior: dict[str, float], sample: int = SAM
     spark = read.sparkSession
     share = spark.createDataFrame(sorted(posterior.items()) or [(NONE, 1.0)], "votes string, good double")
     known = (read.select("doc_id", "votes").where("doc_id is not null")
-             .join(F.broadcast(share), "votes"))               # a row a vote pattern
+             .join(F.broadcast(share), "votes")                # a row a vote pattern
+             .groupBy("doc_id").agg(F.min(F.struct("good", "votes")).alias("least")).select("doc_id", "least.*"))
     few = [known.where(side).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
            for side in ("good >= 0.5", "good < 0.5")]
-    ids = F.broadcast(few[0].unionByName(few[1]).groupBy("doc_id").agg(F.min("good").alias("good")))
-    rows = read.join(ids, "doc_id").select("doc_id", "at", "value", "good")
+    ids = F.broadcast(few[0].unionByName(few[1]))
+    one = F.struct("at", "value")
+    rows = (read.join(ids, ["doc_id", "votes"])                # one reading an id, however often it is there
+            .groupBy("doc_id").agg(F.min_by(one, F.struct(F.xxhash64("at", "value"), one)).alias("one"),
+                                   F.min("good").alias("good"))
+            .select("doc_id", "one.at", "one.value", "good"))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = sorted(r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))

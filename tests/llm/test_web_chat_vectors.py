@@ -355,6 +355,19 @@ def test_words_are_read_to_their_end():
     assert read(ended)[0][names.index("unended")] == weak_quality.GOOD
 
 
+def test_scorer_sample_counts_ids(spark, monkeypatch):
+    rows = [(i, "g" if i % 2 else "b", [i], [1.0]) for i in range(12)]
+    rows += [(i, v, at, value) for i, v, at, value in rows for _ in range(30)]
+    read = spark.createDataFrame(rows + [(3, "g", [900], [1.0]), (4, "g", [901], [1.0])], weak_quality.READ)
+
+    def fit(got):
+        return [float(len(got)), *sorted(float(at[0]) for at, _, _ in got)]
+
+    monkeypatch.setattr(weak_quality, "fit_scorer", fit)
+    got = weak_quality.train_scorer(read, {"g": 0.9, "b": 0.1}, sample=5)["weights"]
+    assert got[0] == 10 and len(set(got[1:])) == 10
+
+
 def test_expectation_maximisation_finds_accuracies():
     rng = random.Random(6)
     right = [0.95, 0.9, 0.8, 0.7]
