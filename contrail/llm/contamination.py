@@ -1,14 +1,15 @@
-"""Operator 10: benchmark decontamination by size-partitioned MinHash containment search.
+"""Operator 10: benchmark decontamination by MinHash containment search.
 
 The question is how much of a short item is inside a long document, so the
 similarity is the containment of the item's shingles in the document's, which a
 document's own minima can't show: a long document's minima come from the rest
 of its text.  The item's minima can: under a random hash function the shingle
 of the item with the smallest value is a uniform draw of the item, so it is in
-the document with a probability equal to the containment.  Items are
-partitioned by size (powers of two of their shingle count); a class has as many
-hash functions as its bound needs, and small classes, where draws would repeat,
-keep every shingle instead.  A document that holds at least ``least`` of an
+the document with a probability equal to the containment.  How many
+draws a threshold needs doesn't depend on the size, so there are two cases, not
+a class for each power of two: items of more than ``HASHES`` shingles have a
+minimum for each of ``HASHES`` hash functions; smaller ones, where draws would
+repeat, keep every shingle instead.  A document that holds at least ``least`` of an
 item's draws is a candidate; ``least`` is the largest count for which an item at
 the threshold is missed with a probability below ``MISS``.  Candidates are
 confirmed by the exact containment of the shingles' strings.
