@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contrail.llm import (bpe_tree, chat_render, contamination, hnsw, jump_shards, near_dups, oracles, pfor_ids,
-                          toxic_spans, warc_zstd, weak_quality)
+from contrail.llm import (bpe_tree, bpe_trie, chat_render, contamination, hnsw, jump_shards, near_dups, oracles,
+                          pfor_ids, toxic_spans, turn_repair, warc_zstd, weak_quality, whitening)
 from contrail.llm.common import table, work_folder
 
 
@@ -67,10 +67,23 @@ def op10_benchmark_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.find_contained(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
+def op13_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_trie.trie_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_near_duplicates, op2_jump_shards, op3_warc_dictionary, op4_toxic_spans,
                                   op5_weak_quality, op6_hnsw,
-                                  op7_pfor_token_ids, op8_chat_render, op9_bpe_tree, op10_benchmark_containment)}
+                                  op7_pfor_token_ids, op8_chat_render, op9_bpe_tree, op10_benchmark_containment,
+                                  op11_whitening, op12_turn_repair, op13_bpe_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
