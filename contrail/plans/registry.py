@@ -156,7 +156,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                  "o8_reference_summary", "o9_extract_code", "o10_statement_kinds", "o11_rewritten_drafts",
                  "o12_flag_counts", "o12_repaired_chains", "o13_strip_comments", "o15_bodies"):
         q[name] = _mart(getattr(O, name))
-    for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison",
+    for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison", "n7_log_target", "n11_model_report",
                  "n10_feature_importance", "n12_score_catalogue"):
         q[name] = _mart(getattr(N, name))
     q["p1_stream_dedupe"] = P.p1_dedupe_within_watermark
