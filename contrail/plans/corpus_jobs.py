@@ -11,6 +11,8 @@ dedupe on ``documents``.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -189,8 +191,14 @@ def replies(m: FlightMart) -> DataFrame:
     return d.select("template_id", "instruction", text.alias("text"))
 
 
+def spoken_words() -> list[str]:
+    """The words in capitals of the corpus templates that are no names of the schema."""
+    words = {w for *_, sql in TEMPLATES for w in re.findall(r"\b[A-Z]{2,}\b", re.sub(r"'[^']*'|\w+\.\w+", "", sql))}
+    return sorted(w for w in words if w not in O.SCHEMA and len(w) > 2 or w in ("AS", "BY", "ON"))
+
+
 def o9_extract_code(m: FlightMart) -> DataFrame:
-    return replies(m).select("template_id", "instruction", O.extract_code("text").alias("code"))
+    return replies(m).select("template_id", "instruction", O.extract_code("text", spoken_words()).alias("code"))
 
 
 def o10_statement_kinds(m: FlightMart) -> DataFrame:
