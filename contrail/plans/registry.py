@@ -10,6 +10,7 @@ from contrail.plans import corpus_jobs as O
 from contrail.plans import dashboard as D
 from contrail.plans import etl as X
 from contrail.plans import families as L
+from contrail.plans import load
 from contrail.plans import ml_jobs as N
 from contrail.plans import views as U
 from contrail.plans import reports as K
@@ -159,6 +160,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison", "n7_log_target", "n11_model_report",
                  "n10_feature_importance", "n12_score_catalogue"):
         q[name] = _mart(getattr(N, name))
+    for name in ("a8_key_report", "d13_six_lookups", "d14_tail_model", "m1_natural_dimensions", "m2_second_load",
+                 "m2_surrogate_dimensions", "m3_facts", "m5_city_state"):
+        q[name] = _mart(getattr(load, name))
     q["p1_stream_dedupe"] = P.p1_dedupe_within_watermark
     q["p2_stream_daily_totals"] = P.p2_daily_totals
     q["p3_stream_latest_upsert"] = P.p3_latest_event_upsert

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).limit(0).collect()
         return True
@@ -30,7 +30,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 def load_if_empty(df: DataFrame, path: str) -> bool:
     """Idempotent load.  ``mode('ignore')`` writes only when nothing is
     there yet; returns True when this call wrote the data."""
-    existed = _exists(df.sparkSession, path)
+    existed = exists(df.sparkSession, path)
     df.write.mode("ignore").parquet(path)
     return not existed
 
@@ -49,7 +49,7 @@ def snapshot(df: DataFrame, base: str, ts: str | None = None) -> tuple[str, int]
     ts = ts or _dt.datetime.now(_dt.UTC).strftime("%Y%m%d_%H%M")
     path = f"{base.rstrip('/')}/_backup/ts={ts}"
     spark = df.sparkSession
-    if not _exists(spark, path):
+    if not exists(spark, path):
         df.write.mode("errorifexists").parquet(path)
     return path, spark.read.parquet(path).count()
 

@@ -901,6 +901,68 @@ FROM documents) WHERE rn = 1"""
     return q
 
 
+def load() -> dict[str, str]:
+    """The load's counts, from the flights themselves: what a table must hold is said by its natural key."""
+    q: dict[str, str] = {}
+    base = f"""{mart('airline', 'dest')},
+x AS (SELECT * FROM f WHERE NOT cancelled),
+cat AS (SELECT p_partkey, p_retailprice FROM part WHERE p_size >= 3),
+air AS (SELECT DISTINCT tail_id, airline_id FROM x),
+ok AS (SELECT tail_id, airline_id FROM air JOIN cat ON tail_id = p_partkey),
+geo AS (SELECT DISTINCT origin_airport_id AS id, origin_airport AS city, origin_state AS state, 0 AS role FROM x
+        UNION SELECT DISTINCT dest_airport_id, dest_airport, dest_state, 1 FROM x),
+good AS (SELECT f.* FROM f JOIN ok USING (tail_id, airline_id))"""
+    # natural keys by the columns that determine them
+    keys = {"RUTA": "floor(distance / 100), distance_group", "BLOQUE_HORARIO": "day_of_week, quarter",
+            "TAXI": "taxi_out, taxi_in", "DETALLE_RETRASOS": "dep_delay, arr_delay",
+            "PROGRAMACION": "floor(crs_elapsed), flight_date, floor(distance / 100), distance_group",
+            "CRONOMETRIA_REAL": "floor(actual_elapsed), dep_delay, arr_delay, taxi_out, taxi_in"}
+    n = {t: f"(SELECT COUNT(*) FROM (SELECT DISTINCT {k} FROM x))" for t, k in keys.items()}
+    n |= {"ALIANZA": "(SELECT COUNT(DISTINCT alliance_name) FROM x)", "RED_DE_AEROLINEAS": "(SELECT COUNT(DISTINCT network_id) FROM x)",
+          "ESTADO": "(SELECT COUNT(DISTINCT state) FROM geo)", "CONTINENTE": "(SELECT COUNT(DISTINCT state) FROM geo)",
+          "WAC": "(SELECT COUNT(DISTINCT state) FROM geo)", "MODELO_DE_AVION": "(SELECT COUNT(*) FROM cat)",
+          "AEROLINEA": "(SELECT COUNT(DISTINCT airline_id) FROM x)", "CIUDAD": "(SELECT COUNT(DISTINCT id) FROM geo)",
+          "AEROPUERTO": "(SELECT COUNT(DISTINCT id) FROM geo)", "AERONAVE": "(SELECT COUNT(*) FROM ok)"}
+    lost = "(SELECT COUNT(*) FROM f) - (SELECT COUNT(*) FROM good)"
+    grounded = "(SELECT COUNT(*) FROM air) - (SELECT COUNT(*) FROM ok)"
+
+    def counted(rows: list[tuple[str, str, str]]) -> str:
+        return base + " SELECT * FROM (" + " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{why}' AS reason, {c} AS rows" for t, why, c in rows) + ") WHERE rows > 0"
+
+    natural = ["CONTINENTE", "MODELO_DE_AVION", "WAC", "AEROLINEA", "AERONAVE", "CIUDAD", "AEROPUERTO"]
+    q["m1_natural_dimensions"] = counted([(t, "loaded", n[t]) for t in natural]
+                                         + [("AERONAVE", "no MODELO_DE_AVION acft_icao", grounded)])
+    q["m3_facts"] = counted([(t, "loaded", "(SELECT COUNT(*) FROM good)") for t in ("VUELO", "RESULTADO")]
+                            + [("VUELO", "no AERONAVE Tail_Number", lost), ("RESULTADO", "no VUELO ID_Vuelo", lost)])
+    surrogate = [*keys, "ALIANZA", "RED_DE_AEROLINEAS", "ESTADO"]
+    q["m2_surrogate_dimensions"] = base + " " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, {n[t]} AS rows, {n[t]} AS distinct_keys, 1 AS min_key, {n[t]} AS max_key" for t in surrogate)
+    every = f"(SELECT COUNT(*) FROM (SELECT DISTINCT {keys['DETALLE_RETRASOS']} FROM f))"
+    known = n["DETALLE_RETRASOS"]
+    q["m2_second_load"] = (f"{base} SELECT {every} AS rows, {every} AS max_key, {every} AS distinct_keys, "
+                           f"{known} AS known, {known} AS kept")
+    rejects = {"AERONAVE": grounded, "VUELO": lost, "RESULTADO": lost}
+    q["a8_key_report"] = base + " " + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, 0 AS repeated_keys, 0 AS orphans, {rejects.get(t, '0')} AS rejected"
+        for t in [*natural, *surrogate, "VUELO", "RESULTADO"])
+    found = {t: f"(SELECT COUNT(*) FROM f WHERE ({k}) IN (SELECT ({k}) FROM x))" for t, k in keys.items()}
+    q["d13_six_lookups"] = (base + ", l AS (" + " UNION ALL ".join(
+        f"SELECT '{t}' AS lookup, (SELECT COUNT(*) FROM f) AS rows, {c} AS matched" for t, c in found.items())
+        + f") SELECT *, {R('matched * 100.0 / rows', 4)} AS coverage_pct FROM l")
+    q["d14_tail_model"] = f"""{base}
+SELECT COUNT(*) AS flights, COUNT(air.tail_id) AS with_aircraft, COUNT(CASE WHEN air.tail_id IS NOT NULL THEN p_partkey END) AS with_model,
+       {R('AVG(CASE WHEN air.tail_id IS NOT NULL THEN p_retailprice END)', 2)} AS mean_mtow
+FROM f LEFT JOIN air USING (tail_id, airline_id) LEFT JOIN cat ON f.tail_id = p_partkey"""
+    q["m5_city_state"] = f"""{base},
+o AS (SELECT * FROM geo WHERE role = 0), d AS (SELECT * FROM geo WHERE role = 1),
+c AS (SELECT coalesce(o.city, d.city) AS city, d.state AS dest_state,
+      CASE WHEN o.id IS NULL THEN d.state WHEN length(o.city) % 2 = 0 THEN o.state END AS state_before
+      FROM o FULL JOIN d ON o.id = d.id)
+SELECT city, state_before, coalesce(state_before, dest_state) AS state_after FROM c"""
+    return q
+
+
 def ml() -> dict[str, str]:
     q: dict[str, str] = {}
     target = f"({FACTOR_SQL}) * mtow * (minutes / 60.0 * 0.030 + 0.012)"
@@ -954,6 +1016,7 @@ def all_queries() -> dict[str, str]:
     q.update(families())
     q.update(views())
     q.update(etl())
+    q.update(load())
     q.update(corpus())
     q.update(ml())
     q.update(streaming())
