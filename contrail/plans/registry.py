@@ -160,7 +160,7 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in ("n1_training_summary", "n9_baseline_metrics", "n13_calibration", "n5_model_comparison", "n7_log_target", "n11_model_report",
                  "n10_feature_importance", "n12_score_catalogue"):
         q[name] = _mart(getattr(N, name))
-    for name in ("a8_key_report", "d13_six_lookups", "d14_tail_model", "m1_natural_dimensions", "m2_second_load",
+    for name in ("a8_key_report", "a10_restored", "a11_stored_correction", "a13_correction_report", "d13_six_lookups", "d14_tail_model", "m1_natural_dimensions", "m2_second_load",
                  "m2_surrogate_dimensions", "m3_facts", "m5_city_state"):
         q[name] = _mart(getattr(load, name))
     q["p1_stream_dedupe"] = P.p1_dedupe_within_watermark

@@ -12,9 +12,10 @@ Locations live under the shared folder named by ``spark.checkpoint.dir``
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -108,6 +109,74 @@ def write_version(df: DataFrame, base: str, version: int) -> str:
     return path
 
 
+BUCKETS = 256          # two hex digits of the key's md5
+
+
+def key_bucket(key: str) -> Column:
+    """The bucket of a row: it depends on the key alone."""
+    return F.concat(F.lit("b"), F.substring(F.md5(F.col(key).cast("string")), 1, 2))    # never read as a number
+
+
+def write_keyed(df: DataFrame, path: str, key: str) -> None:
+    """A table in one folder a key bucket, so that a change can rewrite the buckets it touches."""
+    (df.withColumn("bucket", key_bucket(key)).repartition("bucket").write.mode("errorifexists")
+     .partitionBy("bucket").parquet(path))
+
+
+def _replace_buckets(rows: DataFrame, path: str) -> None:
+    """Rewrite the buckets that ``rows`` has (and no others), which are not read from ``path`` itself."""
+    (rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("bucket").parquet(path))
+
+
+def _buckets(rows: DataFrame) -> list[str]:
+    return sorted(r[0] for r in rows.select("bucket").distinct().collect())            # 256 at most
+
+
+def snapshot_buckets(table: DataFrame, path: str, buckets: Sequence[str], ts: str) -> str:
+    """The named buckets as they are, under ``<path>-backup/ts=<ts>``; an existing snapshot is kept."""
+    to = f"{path}-backup/ts={ts}"
+    if not exists(table.sparkSession, to):
+        table.filter(F.col("bucket").isin(*buckets)).write.mode("errorifexists").partitionBy("bucket").parquet(to)
+    return to
+
+
+def correct_keyed(spark: SparkSession, path: str, stage: DataFrame, key: str, cols: Sequence[str], ts: str) -> list[str]:
+    """A9, A11, D16 end to end: snapshot the buckets that the stage touches, then rewrite just those.
+
+    The new rows are made from the snapshot, never from the folders that are being replaced, so a
+    task that runs again after a lost executor reads what the first one read; and a job that runs
+    again as a whole starts from the same snapshot.  Returns the buckets touched."""
+    staged = stage.withColumn("bucket", key_bucket(key))
+    touched = _buckets(staged)
+    if not touched:
+        return []
+    table = spark.read.parquet(path)
+    kept = spark.read.schema(table.schema).parquet(snapshot_buckets(table, path, touched, ts))
+    _replace_buckets(staged_upsert(kept, staged.drop("bucket"), key, cols), path)
+    return touched
+
+
+def restore_keyed(spark: SparkSession, path: str, key: str, cols: Sequence[str], ts: str | None = None) -> list[str]:
+    """A10: the newest (or the named) snapshot's values of ``cols`` come back for the rows it has; rows
+    that came later stay.  The snapshot is kept; without one nothing is done.  Returns its buckets."""
+    try:
+        taken = spark.read.option("recursiveFileLookup", "false").parquet(f"{path}-backup")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    ts = ts if ts is not None else taken.agg(F.max(F.col("ts").cast("string"))).first()[0]
+    backup = taken.filter(F.col("ts").cast("string") == ts).drop("ts")
+    touched = _buckets(backup)
+    if not touched:
+        return []
+    work = f"{path}-work/{uuid.uuid4().hex}"                  # the current rows, apart from the folders to be replaced
+    spark.read.parquet(path).filter(F.col("bucket").isin(*touched)).write.parquet(work)
+    _replace_buckets(restore(spark.read.parquet(work), backup.drop("bucket"), key, cols), path)
+    return touched
+
+
 def write_json_report(df: DataFrame, path: str) -> None:
     """Report rows as JSON lines, in as many files as the frame has tasks."""
     df.write.mode("overwrite").json(path)

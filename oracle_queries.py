@@ -954,6 +954,25 @@ good AS (SELECT f.* FROM f JOIN ok USING (tail_id, airline_id))"""
 SELECT COUNT(*) AS flights, COUNT(air.tail_id) AS with_aircraft, COUNT(CASE WHEN air.tail_id IS NOT NULL THEN p_partkey END) AS with_model,
        {R('AVG(CASE WHEN air.tail_id IS NOT NULL THEN p_retailprice END)', 2)} AS mean_mtow
 FROM f LEFT JOIN air USING (tail_id, airline_id) LEFT JOIN cat ON f.tail_id = p_partkey"""
+    est = (f"CASE WHEN cancelled THEN 0.0::DOUBLE WHEN mtow > 0 AND crs_elapsed > 0 THEN "
+           f"({FACTOR_SQL}) * mtow * (crs_elapsed / 60.0 * 0.030 + 0.012) END")
+    fixed = f"""{mart('airline', 'dest', 'model')},
+x AS (SELECT * FROM f WHERE NOT cancelled),
+ok AS (SELECT DISTINCT tail_id, airline_id FROM x WHERE engines >= 3),
+good AS (SELECT f.* FROM f JOIN ok USING (tail_id, airline_id)),
+s AS (SELECT flight_id, {est} AS fn FROM f WHERE year(flight_date) = 1995 AND day(flight_date) = 1),
+n AS (SELECT good.*, COALESCE(s.fn, fuel_burn) AS fuel_1, COALESCE(s.fn * 3.16::DOUBLE, co2) AS co2_1
+      FROM good LEFT JOIN s ON s.flight_id = good.flight_id)"""
+    buckets = "(SELECT COUNT(DISTINCT left(md5(flight_id), 2)) FROM s)"
+    changed = "(fuel_1 IS DISTINCT FROM fuel_burn OR co2_1 IS DISTINCT FROM co2)"
+    q["a11_stored_correction"] = f"""{fixed}
+SELECT COUNT(*) AS rows, {R('SUM(fuel_1)', 2)} AS fuel, {R('SUM(co2_1)', 2)} AS co2, {buckets} AS buckets FROM n"""
+    q["a10_restored"] = f"""{fixed}
+SELECT COUNT(*) AS rows, 0 AS differing, {CNT(changed)} AS corrected, {buckets} AS buckets FROM n"""
+    q["a13_correction_report"] = f"""{fixed}
+SELECT flight_date AS "FlightDate", COUNT(*) AS changed, {R('AVG(fuel_burn)', 4)} AS fuel_before, {R('AVG(fuel_1)', 4)} AS fuel_after,
+       {R('AVG(co2)', 4)} AS co2_before, {R('AVG(co2_1)', 4)} AS co2_after
+FROM n WHERE {changed} GROUP BY flight_date"""
     q["m5_city_state"] = f"""{base},
 o AS (SELECT * FROM geo WHERE role = 0), d AS (SELECT * FROM geo WHERE role = 1),
 c AS (SELECT coalesce(o.city, d.city) AS city, d.state AS dest_state,

@@ -100,3 +100,36 @@ def test_cities_keep_known_states(spark, loaded):
     assert all(r.state_before in (None, r.state_after) for r in rows)
     assert any(r.state_before is None and r.state_after for r in rows)
     assert loaded.read("CIUDAD").filter(F.col("ID_Estado").isNull()).count() > 0       # the version is a table of its own
+
+
+def test_a_correction_rewrites_only_touched_buckets_and_comes_back(spark, tmp_path):
+    from contrail.sources import versioned as V
+    rows = [(i, float(i), None if i % 7 == 0 else 1.0) for i in range(600)]
+    path = str(tmp_path / "table")
+    V.write_keyed(spark.createDataFrame(rows, "id long, x double, y double"), path, "id")
+    stage = spark.createDataFrame([(5, 50.0, None), (5, 40.0, None), (7, 70.0, 7.0), (9, None, None), (9999, 1.0, 1.0)],
+                                  "id long, x_new double, y_new double")
+    files = {f: f.stat().st_mtime_ns for f in (tmp_path / "table").rglob("*.parquet")}
+    touched = V.correct_keyed(spark, path, stage, "id", ["x", "y"], "t1")
+    now = spark.read.parquet(path)
+    got = {r.id: (r.x, r.y) for r in now.collect()}
+    want = {i: (x, y) for i, x, y in rows} | {5: (50.0, 1.0), 7: (70.0, 7.0)}
+    assert got == want and now.count() == 600
+    left = {f.parent.name for f in (tmp_path / "table").rglob("*.parquet") if f in files and f.stat().st_mtime_ns == files[f]}
+    assert left == {f.parent.name for f in files} - {f"bucket={b}" for b in touched}
+    # run again as a whole: the same snapshot, the same result
+    V.correct_keyed(spark, path, stage, "id", ["x", "y"], "t1")
+    assert {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()} == want
+    V.correct_keyed(spark, path, spark.createDataFrame([(11, 0.5, 0.5)], stage.schema), "id", ["x", "y"], "t2")
+    assert V.restore_keyed(spark, path, "id", ["x", "y"], "t1") == touched
+    back = {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()}
+    assert back == {i: (x, y) for i, x, y in rows} | {11: (0.5, 0.5)}
+    V.restore_keyed(spark, path, "id", ["x", "y"])                       # the newest: t2
+    assert {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()} == {i: (x, y) for i, x, y in rows}
+    assert V.restore_keyed(spark, str(tmp_path / "other"), "id", ["x"]) == []
+    assert V.correct_keyed(spark, path, stage.limit(0), "id", ["x", "y"], "t3") == []
+
+
+def test_the_registered_correction_reports_what_it_changed(spark, loaded):
+    r = L.a10_restored(loaded.m).first()
+    assert r.rows == loaded.read("RESULTADO").count() and r.differing == 0 and r.corrected > 0 and 0 < r.buckets < 256
