@@ -55,7 +55,7 @@ EPOCHS = 3
 RATE, PENALTY = 0.5, 1e-3
 FEATURES = 20_000
 SPAN = 0.5
-MEMO = 400_000
+MEMO = 120_000              # words whose emission a worker remembers, about 200 bytes each
 FLOOR = 1e-4                # a marginal below it counts as it
 
 WORD = re.compile(r"\w+")
@@ -63,7 +63,7 @@ BREAK = re.compile(r"[.!?\n]")
 PREFIXES = (4, 5, 6)
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def features(word: str) -> tuple[str, ...]:
     """Of a lower-cased word."""
     return ("w " + word, *(f"{n} {word[:n]}" for n in PREFIXES if len(word) > n))
@@ -292,12 +292,12 @@ class Scorer:
     def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
         if self.constant is not None:
             return self.constant, []
-        words = WORD.findall(text.lower())
+        words = {w.lower() for w in set(WORD.findall(text))}      # found first, lowered after, as in ``sentences``
         known, bias = self.known, self.field.bias
         if len(known) > MEMO:
             known.clear()
         top = bias
-        for w in set(words):
+        for w in words:
             e = known.get(w)
             if e is None:
                 e = known[w] = self.field.emission(w)

@@ -28,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from operator import eq
+from sys import intern
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ DIMS = 1024
 SAMPLE = 2000
 STEPS = 200
 EVEN = 30                # words that a text's features are diluted by: a short text says little
-MEMO = 400_000
+MEMO = 120_000           # words whose shape a worker remembers, about 200 bytes each
 SHORT = 40               # characters of a word whose shape is remembered
 KEEP_AT = 0.5
 
@@ -72,7 +73,8 @@ class Reader:
         self.shapes: dict[str, str] = {}
 
     def shape(self, word: str) -> str:
-        """Classes of all characters, runs once, marks as they are, a bar, the last run of marks."""
+        """Classes of all characters, runs once, marks as they are, a bar, the last run of marks
+        (four of them, if it is longer: all long runs are one kind)."""
         s = self.shapes.get(word)
         if s is None:
             classes = re.sub(r"(.)\1+", r"\1+", "".join(
@@ -82,7 +84,7 @@ class Reader:
             if len(word) <= SHORT:
                 if len(self.shapes) > MEMO:
                     self.shapes.clear()
-                self.shapes[word] = s
+                self.shapes[word] = s = intern(s)             # shapes are few
         return s
 
     def read(self, text: str) -> tuple[str, dict[int, float]]:

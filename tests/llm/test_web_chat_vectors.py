@@ -224,14 +224,40 @@ def test_every_node_can_be_reached():
     rng = np.random.default_rng(1)
     x = np.concatenate([c + 1e-4 * rng.normal(size=(60, 8)) for c in rng.normal(size=(8, 8))])
     g = hnsw.Graph.build(x, links=4, lowest=6, candidates=8)
-    rows, offsets, flat = g.layers[0]
-    assert len(hnsw._reach([flat[offsets[i]:offsets[i + 1]] for i in range(len(rows))], len(rows))) == len(x)
+    n, offsets, flat = g.layers[0]
+    assert n == len(x) == len(hnsw._reach([flat[offsets[i]:offsets[i + 1]] for i in range(n)], n))
     back, ids, _ = hnsw.Graph.load(g.dump(np.arange(len(x)), np.arange(len(x) + 1)))
     assert back.search(x[3], 5, 20) == g.search(x[3], 5, 20) and len(ids) == len(x)
 
 
+def test_recall_over_many_blocks():
+    """Several times as many nodes as are inserted at once, in directions that have no order."""
+    x = np.random.default_rng(2).normal(size=(6000, 32))
+    g = hnsw.Graph.build(x)
+    assert [n for n, _, _ in g.layers] == sorted((n for n, _, _ in g.layers), reverse=True)
+    q = x[::20]
+    want = np.argsort(-(q @ x.T), axis=1)[:, :20]
+    got = g.search_many(q, 20, hnsw.BEAM)
+    assert np.mean([len(set(a) & set(b)) / 20 for a, b in zip(got.tolist(), want.tolist())]) >= 0.95
+    few = hnsw.Graph.build(x[:3])
+    assert few.search_many(q[:2], 20, 64)[:, 3:].max() == -1 and hnsw.Graph.build(x[:1]).search(x[0], 5, 9) == [0]
+
+
 # -- toxicity -------------------------------------------------------------
 
+def test_words_are_found_before_they_are_lowered():
+    """Lowering some letters moves the borders of words: the screen must see the words that the field sees."""
+    model = {"bias": -3.0, "stay": 0.0, "enter": 0.0, "leave": 0.0, "weights": {"w i\u0307nsan": 14.0, "w ος": 14.0},
+             "logistic": [-1.0, 1.0, 1.0]}
+    for text in ("bir \u0130nsan var", "\u0130NSAN"[:1] + "nsan", "a ΟΣ b"):
+        scorer = toxic_spans.Scorer(model)
+        chains = toxic_spans.sentences(text)
+        x, spans = toxic_spans.document_features(scorer.field, chains, {})
+        hit = any(w in ("i\u0307nsan", "ος") for c in chains for w, _, _ in c)
+        score, found = scorer.score(text)
+        assert hit and spans == found and score == scorer._score(x) > scorer.plain
+
+
 def brute_marginals(field, emissions):
     from itertools import product
     from math import exp
