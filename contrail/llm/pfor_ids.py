@@ -208,12 +208,12 @@ def tokenizer(key: str, definition: str) -> "WordMemo":
     if key not in _TOKENIZERS:
         from tokenizers import Tokenizer
         t = Tokenizer.from_str(definition)
-        t.encode_special_tokens = True
+        t.model._resize_cache(0)               # the library's own memory of words costs more than it finds
         _TOKENIZERS[key] = WordMemo(t)
     return _TOKENIZERS[key]
 
 
-MEMO = 300_000                                 # words of each of two generations whose ids a worker keeps
+MEMO = 480_000                                 # words of each of two generations whose ids a worker keeps
 _AMBIGUOUS = re.compile(r"\s (?:\s|\Z)")
 
 
@@ -224,7 +224,8 @@ class WordMemo:
     white space, nor across one that precedes such a character, so the parts
     between those blanks have ids of their own and each different part goes to
     the library once while it is remembered.  A text with another kind of blank
-    (between white space on both sides) goes to the library whole.  Words that
+    (between white space on both sides), or with the string of a special token
+    (which is that token), goes to the library whole.  Words that
     were not met since the last generation of ``size`` words are forgotten.
     """
 
@@ -233,10 +234,11 @@ class WordMemo:
         self.first: dict[str, bytes] = {}          # parts without a blank before them
         self.rest: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}          # the generation before ``rest``
+        self.special = [t.content for t in tok.get_added_tokens_decoder().values()]
         n = tok.get_vocab_size(with_added_tokens=True)
         self.token_bytes = np.array([len(tok.id_to_token(i) or "") for i in range(n)], np.int64)
 
-    def encode(self, texts: list[str], batch_bytes: int = 8 << 20) -> list[np.ndarray]:
+    def encode(self, texts: list[str], batch_bytes: int = 4 << 20) -> list[np.ndarray]:
         out, held, size = [], [], 0
         for t in texts:
             held.append(t)
@@ -248,7 +250,7 @@ class WordMemo:
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         """Words are told apart by Arrow; only different ones are looked at in Python."""
-        whole = [i for i, t in enumerate(texts) if _AMBIGUOUS.search(t)]
+        whole = [i for i, t in enumerate(texts) if _AMBIGUOUS.search(t) or any(s in t for s in self.special)]
         parts = pc.split_pattern(pa.array(["" if i in set(whole) else t for i, t in enumerate(texts)] if whole else texts,
                                           pa.large_string()), " ")
         ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
@@ -285,7 +287,7 @@ class WordMemo:
     def _learn(self, memo: dict[str, bytes], new: list[str], lead: str, at_once: int = 512) -> None:
         plain, alone = [], []
         for w in new:
-            (alone if not lead or not w or w[0].isspace() or w[-1].isspace() else plain).append(w)
+            (plain if lead and w and w == w.strip() else alone).append(w)
         memo.update(zip(alone, (ids.tobytes() for ids in self._library([lead + w for w in alone]))))
         groups = [plain[i:i + at_once] for i in range(0, len(plain), at_once)]
         for words, ids in zip(groups, self._library(["".join([lead + w for w in g]) for g in groups])):

@@ -142,10 +142,10 @@ def test_outliers_become_exceptions():
 def test_word_memo_is_the_library_encoding():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     memo, rng, texts = pfor_ids.WordMemo(t, size=50), random.Random(2), []
     for alphabet in ("ab ", "a ' \n", "thein s", "é 中文，。a", "0 1a.\t\n ", "🙂a 　\x1c\x85", "<|endoftext|> "):
         texts += ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 30))) for _ in range(200)]
+    texts += ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b <|endoftext", " <|endoftext|><|endoftext|> c"]
     for some in (texts[:700], texts[700:], texts):
         want = [e.ids for e in t.encode_batch_fast(some, add_special_tokens=False)]
         assert [x.tolist() for x in memo.encode(some)] == want
@@ -155,7 +155,6 @@ def test_word_memo_is_the_library_encoding():
 def test_token_files(spark, segment):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(JSON)
-    t.encode_special_tokens = True
     for docs in (documents(spark), odd(spark)):
         rows = docs.select("doc_id", "text").collect()
         want = collections.Counter()
