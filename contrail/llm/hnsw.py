@@ -3,22 +3,25 @@
 Equal vectors are one node that carries its ``top + 1`` smallest ids, which is
 all that a result can need, so a vector with very many copies neither bends the
 graph nor fills a shard.  Nodes are dealt to shards by a hash of the vector; a
-shard has about ``shard_rows`` nodes and is built by one task.
-
-A node's layer is drawn geometrically.  Nodes come in a random order; each is
-linked to diverse near nodes among the earlier ones (a candidate is passed over
-when it is nearer to a chosen one than to the node), links go both ways, and a
-node with too many keeps a diverse choice.  Inside a shard the earlier nodes'
-similarities are computed in blocks, so the candidates are exact.  A node that
-lost all ways in gets one back from its nearest earlier node: every node can be
-reached.  Links are stored as one flat neighbour array and offsets per layer.
+shard has at most about ``SHARD_BYTES`` of vectors and is built by one task.
+
+A node's layer is drawn geometrically.  Nodes come in the order of their layers,
+at random within one, so that a layer is a beginning of the order; they are
+inserted in blocks.  A block's nodes look for near ones together: by a beam
+search of the graph built so far, entered through the layer above, and among the
+earlier nodes of their block.  Each is linked to diverse near nodes (a candidate
+is passed over when it is nearer to a chosen one than to the node), links go both
+ways, and a node with too many keeps a diverse choice.  A node that lost all ways
+in gets one back from its nearest earlier node: every node can be reached.  Links
+are stored as one flat neighbour array and offsets per layer.
 
 Vectors are lifted by one coordinate to a common norm, so that the largest
 inner product is the smallest distance whatever their norms.  Every query
-searches every shard: greedily through the upper layers, then with a beam of
-``beam`` nodes in the lowest.  Queries go in blocks of about ``block_rows``; a
-task holds one shard and one block.  The ``top`` of each shard are scored in
-double precision on the original vectors and merged.
+searches every shard: with a narrow beam through the upper layers, then with one
+of ``beam`` nodes in the lowest.  Queries go in blocks of about ``block_rows``; a
+task holds one shard and one block, whose queries are searched together.  The
+``top`` of each shard are scored in double precision on the original vectors and
+merged.
 
 Defined results: vectors that are null, empty, zero or hold nulls or non-finite
 components take no part, nor do rows with a null id; vectors of different
@@ -29,7 +32,6 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import heapq
 import io
 import math
 from collections.abc import Iterator
@@ -43,34 +45,63 @@ from pyspark.sql import functions as F
 from contrail.llm.common import settled, work_folder
 
 TOP = 20
-LINKS = 16             # links a node makes, and keeps in the upper layers
-LINKS_LOWEST = 32      # links a node keeps in the lowest layer
-CANDIDATES = 32
-BEAM = 64
-SHARD_ROWS = 8192
+LINKS = 24             # links a node makes, and keeps in the upper layers
+LINKS_LOWEST = 48      # links a node keeps in the lowest layer
+CANDIDATES = 64
+BEAM = 256
+NARROW = 4             # beam in the upper layers
+SHARD_BYTES = 64 << 20 # of a shard's vectors in double precision: 131,072 of 64 dimensions
+SPARE = 16             # links a node may have beyond those it keeps, until it is pruned
+PRUNED = 96            # nearest links that are looked at when a node is pruned
+BLOCK = 512            # nodes inserted, and queries searched, together
 BLOCK_ROWS = 1024
 SALTS = 61
 
 
 # -- the graph of one shard ----------------------------------------------
 
-def _nearest_earlier(x: np.ndarray, count: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray]:
-    """For each row the nearest earlier rows, nearest first: (places, similarities); -1 for none."""
-    n = len(x)
-    places = np.full((n, count), -1, np.int32)
-    sims = np.full((n, count), -np.inf, np.float32)
-    for a in range(0, n, block):
-        b = min(n, a + block)
-        s = x[a:b] @ x[:b].T
-        s[np.arange(b)[None, :] >= np.arange(a, b)[:, None]] = -np.inf
-        k = min(count, b)
-        top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-        val = np.take_along_axis(s, top, 1)
-        by = np.argsort(-val, axis=1, kind="stable")
-        top, val = np.take_along_axis(top, by, 1), np.take_along_axis(val, by, 1)
-        places[a:b, :k] = np.where(np.isfinite(val), top, -1)
-        sims[a:b, :k] = val
-    return places, sims
+def _beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, starts: np.ndarray, beam: int
+          ) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of q the ``beam`` nearest rows of x that a search from its start meets, nearest
+    first: (places, similarities); -1 for none.  ``links`` has a row a node, -1 for no link."""
+    n, every = len(q), np.arange(len(q))
+    places, sims = np.full((n, beam), -1, np.int32), np.full((n, beam), -np.inf, np.float32)
+    done, seen = np.ones((n, beam), bool), np.zeros((n, len(x)), bool)
+    places[:, 0], sims[:, 0], done[:, 0] = starts, np.einsum("nd,nd->n", q, x[starts]), False
+    seen[every, starts] = True
+    live = every
+    while True:
+        waiting = np.where(done[live], -np.inf, sims[live])
+        j = waiting.argmax(axis=1)
+        going = np.isfinite(waiting[np.arange(len(live)), j])
+        live, j = live[going], j[going]
+        if not len(live):
+            break
+        done[live, j] = True
+        near = links[places[live, j]]
+        ok = near >= 0
+        near = np.where(ok, near, 0)
+        ok &= ~seen[live[:, None], near]
+        r, c = np.nonzero(ok)
+        seen[live[r], near[r, c]] = True
+        s = np.full(near.shape, -np.inf, np.float32)
+        s[r, c] = np.einsum("nd,nd->n", x[near[r, c]], q[live[r]])
+        s = np.concatenate([sims[live], s], axis=1)
+        by = np.argpartition(-s, beam - 1, axis=1)[:, :beam]
+        take = lambda old, new: np.take_along_axis(np.concatenate([old, new], axis=1), by, 1)
+        places[live], done[live] = take(places[live], near), take(done[live], ~ok)
+        sims[live] = np.take_along_axis(s, by, 1)
+    by = np.argsort(-sims, axis=1, kind="stable")
+    sims = np.take_along_axis(sims, by, 1)
+    return np.where(np.isfinite(sims), np.take_along_axis(places, by, 1), -1), sims
+
+
+def _entries(x: np.ndarray, above: list[tuple[int, np.ndarray]], q: np.ndarray) -> np.ndarray:
+    """Where to enter a layer: the nearest node found in the layers above it, the topmost first."""
+    at = np.zeros(len(q), np.int64)
+    for n, links in above:
+        at = _beam(x[:n], links, q, at, NARROW)[0][:, 0].astype(np.int64)
+    return at
 
 
 def _diverse(x: np.ndarray, places: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
@@ -88,35 +119,85 @@ def _diverse(x: np.ndarray, places: np.ndarray, sims: np.ndarray, keep: int) ->
     return chosen | (spare & (np.cumsum(spare, axis=1) <= room[:, None]))
 
 
-def _layer(x: np.ndarray, make: int, keep: int, candidates: int) -> tuple[np.ndarray, np.ndarray]:
-    """(offsets, neighbours) over the rows of x, which are in order of insertion."""
-    n = len(x)
-    places, sims = _nearest_earlier(x, min(candidates, max(1, n - 1)))
-    src, dst = [], []
-    for a in range(0, n, 512):
-        mask = _diverse(x, places[a:a + 512], sims[a:a + 512], make)
-        r, j = np.nonzero(mask)
-        src.append(r + a)
-        dst.append(places[a:a + 512][r, j])
-    s, d = np.concatenate(src), np.concatenate(dst).astype(np.int64)
-    both = np.unique(np.concatenate([s * n + d, d * n + s]))
-    s, d = both // n, both % n
-    degree = np.bincount(s, minlength=n)
-    start = np.concatenate([[0], np.cumsum(degree)])
-    lists = [d[start[i]:start[i + 1]] for i in range(n)]
-    for i in np.flatnonzero(degree > keep):
-        near = x[lists[i]] @ x[i]
-        by = np.argsort(-near, kind="stable")
-        o = lists[i][by]
-        lists[i] = o[_diverse(x, o[None, :].astype(np.int32), near[by][None, :], keep)[0]]
-    into = np.zeros(n, bool)
-    reached = _reach(lists, n)
-    into[reached] = True
-    for i in np.flatnonzero(~into):                  # in order: an earlier node is reached by now
-        p = int(places[i, 0])
-        lists[p] = np.append(lists[p], i)
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in lists])]).astype(np.int64)
-    return offsets, (np.concatenate(lists) if n else np.zeros(0)).astype(np.int32)
+def _prune(x: np.ndarray, nodes: np.ndarray, near: np.ndarray, keep: int) -> np.ndarray:
+    """A diverse choice of ``keep`` of each node's links (a row a node, -1 for none), at the row's beginning."""
+    out = np.full((len(nodes), keep), -1, np.int32)
+    for a in range(0, len(nodes), 256):
+        some = near[a:a + 256]
+        sims = np.einsum("nwd,nd->nw", x[np.maximum(some, 0)], x[nodes[a:a + 256]])
+        sims = np.where(some >= 0, sims, -np.inf).astype(np.float32)
+        by = np.argsort(-sims, axis=1, kind="stable")[:, :PRUNED]
+        some, sims = np.take_along_axis(some, by, 1), np.take_along_axis(sims, by, 1)
+        mask = _diverse(x, some, sims, keep)
+        r, c = np.nonzero(mask)
+        out[a + r, (np.cumsum(mask, axis=1) - 1)[r, c]] = some[r, c]
+    return out
+
+
+def _link_back(x: np.ndarray, links: np.ndarray, degree: np.ndarray, src: np.ndarray, dst: np.ndarray, keep: int) -> None:
+    """Links from each dst to its src; a node without room for them is pruned."""
+    by = np.argsort(dst, kind="stable")
+    src, dst = src[by], dst[by]
+    nodes, first, count = np.unique(dst, return_index=True, return_counts=True)
+    nth = np.arange(len(dst)) - np.repeat(first, count)
+    full = degree[nodes] + count > links.shape[1]
+    many = np.repeat(full, count)
+    links[dst[~many], degree[dst[~many]] + nth[~many]] = src[~many]
+    degree[nodes[~full]] += count[~full]
+    if full.any():
+        hot, at = nodes[full], np.repeat(np.arange(int(full.sum())), count[full])
+        new = np.full((len(hot), int(count[full].max())), -1, np.int32)
+        new[at, nth[many]] = src[many]
+        kept = _prune(x, hot, np.concatenate([links[hot], new], axis=1), keep)
+        links[hot] = -1
+        links[hot, :keep] = kept
+        degree[hot] = (links[hot] >= 0).sum(axis=1)
+
+
+def _layer(x: np.ndarray, above: list[tuple[int, np.ndarray]], make: int, keep: int, candidates: int) -> np.ndarray:
+    """The links of each row of x, which are in order of insertion; ``above`` are the layers over this one."""
+    n, known = len(x), above[-1][0] if above else 0
+    links, degree = np.full((n, keep + SPARE), -1, np.int32), np.zeros(n, np.int64)
+    nearest = np.zeros(n, np.int64)
+    for a in range(0, n, BLOCK):
+        q = x[a:a + BLOCK]
+        s = q @ q.T
+        s[np.triu_indices(len(q))] = -np.inf                       # the earlier ones of the block
+        wide = min(candidates, len(q))
+        places = np.argpartition(-s, wide - 1, axis=1)[:, :wide]
+        sims = np.take_along_axis(s, places, 1)
+        places = np.where(np.isfinite(sims), places + a, -1)
+        if a:
+            # only nodes of the upper layers that are in the graph by now can be entered
+            starts = _entries(x, above, q) if a >= known else np.zeros(len(q), np.int64)
+            found, near = _beam(x[:a], links, q, starts, candidates)
+            places, sims = np.concatenate([found, places], axis=1), np.concatenate([near, sims], axis=1)
+        by = np.argsort(-sims, axis=1, kind="stable")[:, :candidates]
+        places, sims = np.take_along_axis(places, by, 1).astype(np.int32), np.take_along_axis(sims, by, 1)
+        nearest[a:a + len(q)] = np.maximum(places[:, 0], 0)
+        mask = _diverse(x, places, sims, make)
+        r, c = np.nonzero(mask)
+        to = places[r, c]
+        links[a + r, (np.cumsum(mask, axis=1) - 1)[r, c]] = to
+        degree[a:a + len(q)] = mask.sum(axis=1)
+        _link_back(x, links, degree, (a + r).astype(np.int32), to, keep)
+    over = np.flatnonzero(degree > keep)
+    links[over, :keep] = _prune(x, over, links[over], keep)
+    links[over, keep:] = -1
+    lists = [row[row >= 0] for row in links]
+    lost = np.ones(n, bool)
+    lost[_reach(lists, n)] = False
+    for i in np.flatnonzero(lost):                   # in order: an earlier node is reached by now
+        p = int(nearest[i])
+        lists[p] = np.append(lists[p], np.int32(i))
+    return _rows(lists)
+
+
+def _rows(lists: list[np.ndarray]) -> np.ndarray:
+    out = np.full((len(lists), max(1, max(map(len, lists), default=1))), -1, np.int32)
+    for i, v in enumerate(lists):
+        out[i, :len(v)] = v
+    return out
 
 
 def _reach(lists: list[np.ndarray], n: int) -> np.ndarray:
@@ -134,10 +215,19 @@ def _reach(lists: list[np.ndarray], n: int) -> np.ndarray:
 class Graph:
     """A hierarchical small-world graph in flat arrays."""
 
-    def __init__(self, vectors: np.ndarray, layers: list[tuple[np.ndarray, np.ndarray, np.ndarray]], norm: float):
-        self.vectors, self.layers, self.norm = vectors, layers, norm      # layer: rows, offsets, neighbours
+    def __init__(self, vectors: np.ndarray, order: np.ndarray, layers: list[tuple[int, np.ndarray, np.ndarray]], norm: float):
+        # layer, the lowest first: the first so many of the order; offsets; neighbours as places in the order
+        self.vectors, self.order, self.layers, self.norm = vectors, order, layers, norm
         lift = np.sqrt(np.maximum(0.0, norm ** 2 - (vectors ** 2).sum(axis=1)))
-        self.x = (np.column_stack([vectors, lift]) / norm).astype(np.float32)
+        self.x = (np.column_stack([vectors, lift]) / norm).astype(np.float32)[order]
+        self._links = [(n, self._padded(offsets, flat)) for n, offsets, flat in layers]
+
+    @staticmethod
+    def _padded(offsets: np.ndarray, flat: np.ndarray) -> np.ndarray:
+        degree = np.diff(offsets)
+        out = np.full((len(degree), max(1, int(degree.max(initial=1)))), -1, np.int32)
+        out[np.repeat(np.arange(len(degree)), degree), np.arange(len(flat)) - np.repeat(offsets[:-1], degree)] = flat
+        return out
 
     @classmethod
     def build(cls, vectors: np.ndarray, links: int = LINKS, lowest: int = LINKS_LOWEST,
@@ -145,89 +235,45 @@ class Graph:
         rng = np.random.default_rng(seed)
         n = len(vectors)
         norm = float(np.sqrt((vectors ** 2).sum(axis=1).max()))
-        g = cls(vectors, [], norm)
-        order = rng.permutation(n)
         height = np.floor(-np.log(1.0 - rng.random(n)) / math.log(links)).astype(int)
-        for layer in range(height.max() + 1):
-            rows = order[height[order] >= layer]
-            offsets, neighbours = _layer(g.x[rows], links, lowest if layer == 0 else links, candidates)
-            g.layers.append((rows.astype(np.int32), offsets, neighbours))
-        return g
+        order = np.lexsort((rng.random(n), -height)).astype(np.int32)
+        x, above, layers = cls(vectors, order, [], norm).x, [], []
+        for layer in range(int(height.max()), -1, -1):
+            size = int((height >= layer).sum())
+            made = _layer(x[:size], above, links, lowest if layer == 0 else links, candidates)
+            above.append((size, made))
+            layers.append((size, np.concatenate([[0], np.cumsum((made >= 0).sum(axis=1))]).astype(np.int64), made[made >= 0]))
+        return cls(vectors, order, layers[::-1], norm)
+
+    def search_many(self, queries: np.ndarray, top: int, beam: int) -> np.ndarray:
+        """Rows of about the largest inner products with each query, nearest first; -1 for none."""
+        length = np.linalg.norm(queries, axis=1, keepdims=True)
+        q = np.column_stack([queries / np.where(length > 0, length, 1.0), np.zeros(len(queries))]).astype(np.float32)
+        out = np.full((len(q), top), -1, np.int64)
+        for a in range(0, len(q), BLOCK):
+            some = q[a:a + BLOCK]
+            starts = _entries(self.x, self._links[:0:-1], some)
+            got = _beam(self.x, self._links[0][1], some, starts, max(beam, top))[0][:, :top]
+            out[a:a + BLOCK] = np.where(got >= 0, self.order[np.maximum(got, 0)], -1)
+        return out
 
     def search(self, query: np.ndarray, top: int, beam: int) -> list[int]:
-        """Rows of about the largest inner products, nearest first."""
-        q = np.append(query / (np.linalg.norm(query) or 1.0), 0.0).astype(np.float32)
-        at = int(self.layers[-1][0][0])
-        for rows, offsets, neighbours in reversed(self.layers[1:]):
-            here = int(self._place(rows, at))
-            best = float(self.x[at] @ q)
-            while True:
-                near = neighbours[offsets[here]:offsets[here + 1]]
-                s = self.x[rows[near]] @ q
-                if not len(s) or s.max() <= best:
-                    break
-                here, best = int(near[s.argmax()]), float(s.max())
-            at = int(rows[here])
-        rows, offsets, neighbours = self.layers[0]
-        start = int(self._place(rows, at))
-        x = self._lowest()
-        seen = np.zeros(len(rows), bool)
-        seen[start] = True
-        s0 = float(x[start] @ q)
-        todo, found = [(-s0, start)], [(s0, start)]
-        while todo:
-            s, u = heapq.heappop(todo)
-            if -s < found[0][0] and len(found) >= beam:
-                break
-            near = neighbours[offsets[u]:offsets[u + 1]]
-            near = near[~seen[near]]
-            if not len(near):
-                continue
-            seen[near] = True
-            sims = x[near] @ q
-            if len(found) >= beam:
-                ok = sims > found[0][0]
-                near, sims = near[ok], sims[ok]
-            for v, sv in zip(near.tolist(), sims.tolist()):
-                if len(found) < beam:
-                    heapq.heappush(found, (sv, v))
-                elif sv > found[0][0]:
-                    heapq.heapreplace(found, (sv, v))
-                else:
-                    continue
-                heapq.heappush(todo, (-sv, v))
-        return [int(rows[v]) for _, v in sorted(found, reverse=True)[:top]]
-
-    def _lowest(self) -> np.ndarray:
-        if not hasattr(self, "_in_order"):
-            self._in_order = self.x[self.layers[0][0]]
-        return self._in_order
-
-    def _place(self, rows: np.ndarray, node: int) -> int:
-        """Where a node stands among a layer's rows."""
-        if not hasattr(self, "_places"):
-            self._places = {}
-        if id(rows) not in self._places:
-            back = np.full(len(self.vectors), -1, np.int32)
-            back[rows] = np.arange(len(rows))
-            self._places[id(rows)] = back
-        return self._places[id(rows)][node]
+        return [int(r) for r in self.search_many(np.asarray(query)[None, :], top, beam)[0] if r >= 0]
 
     # -- as bytes ----------------------------------------------------------
 
     def dump(self, ids: np.ndarray, id_offsets: np.ndarray) -> bytes:
         out = io.BytesIO()
-        np.savez(out, vectors=self.vectors, norm=self.norm, ids=ids, id_offsets=id_offsets,
-                 **{f"{k}{i}": a for i, layer in enumerate(self.layers) for k, a in zip("rof", layer)})
+        np.savez(out, vectors=self.vectors, order=self.order, norm=self.norm, ids=ids, id_offsets=id_offsets,
+                 sizes=np.array([n for n, _, _ in self.layers], np.int64),
+                 **{f"{k}{i}": a for i, (_, o, f) in enumerate(self.layers) for k, a in (("o", o), ("f", f))})
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> tuple["Graph", np.ndarray, np.ndarray]:
         z = np.load(io.BytesIO(data))
-        layers = []
-        while f"r{len(layers)}" in z:
-            layers.append(tuple(z[f"{k}{len(layers)}"] for k in "rof"))
-        return cls(z["vectors"], layers, float(z["norm"])), z["ids"], z["id_offsets"]
+        layers = [(int(n), z[f"o{i}"], z[f"f{i}"]) for i, n in enumerate(z["sizes"])]
+        return cls(z["vectors"], z["order"], layers, float(z["norm"])), z["ids"], z["id_offsets"]
 
 
 # -- Spark ----------------------------------------------------------------
@@ -250,10 +296,11 @@ def nodes_of(rows: DataFrame, top: int) -> DataFrame:
             .groupBy("v", "dims").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")))
 
 
-def build_index(rows: DataFrame, folder: str, top: int = TOP, shard_rows: int = SHARD_ROWS) -> tuple[DataFrame, int]:
-    """(dims, shard, graph binary) and the number of shards."""
+def build_index(rows: DataFrame, folder: str, top: int = TOP, shard_rows: int | None = None) -> tuple[DataFrame, int]:
+    """(dims, shard, graph binary) and the number of shards: of ``shard_rows`` nodes or, without it, of SHARD_BYTES."""
     nodes = settled(nodes_of(rows, top), folder, "nodes")
-    shards = max(1, -(-nodes.count() // shard_rows))
+    size = nodes.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("dims") * F.lit(8)), F.lit(0)).alias("bytes")).first()
+    shards = max(1, -(-size.n // shard_rows) if shard_rows else -(-size.bytes // SHARD_BYTES))
 
     def graph(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("h", kind="stable")
@@ -283,10 +330,13 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, top: int = T
             for i in range(batch.num_rows):
                 g, ids, offsets = Graph.load(batch.column(0)[i].as_py())
                 out = [], [], []
-                for q in batch.column(1)[i].as_py():
-                    v = np.asarray(q["v"], np.float64)
+                asked = batch.column(1)[i].as_py()
+                vectors = np.array([q["v"] for q in asked], np.float64)
+                for q, v, found in zip(asked, vectors, g.search_many(vectors, top + 1, beam).tolist()):
                     best = []
-                    for row in g.search(v, top + 1, beam):
+                    for row in found:
+                        if row < 0:
+                            break
                         score = float(np.dot(v, g.vectors[row]))
                         best += [(-score, int(c)) for c in ids[offsets[row]:offsets[row + 1]] if c != q["vec_id"]]
                     for score, c in sorted(best)[:top]:
@@ -298,7 +348,7 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, top: int = T
     return work.mapInArrow(rows, "query_id long, vec_id long, score double")
 
 
-def nearest(embeddings: DataFrame, every: int = 20, top: int = TOP, beam: int = BEAM, shard_rows: int = SHARD_ROWS,
+def nearest(embeddings: DataFrame, every: int = 20, top: int = TOP, beam: int = BEAM, shard_rows: int | None = None,
             folder: str | None = None) -> DataFrame:
     """(query_id, rank, vec_id, score) for the rows whose id is divisible by ``every``."""
     folder = folder or work_folder(embeddings.sparkSession, "hnsw")
