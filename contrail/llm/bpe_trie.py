@@ -26,20 +26,26 @@ ignored.  Tokenizers that this way can't follow are refused when loaded.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 
-MEMO_BYTES = 96 << 20          # of remembered pieces in a worker, both generations together
+MEMO_BYTES = 160 << 20         # of remembered pieces in a worker, both generations together
 PAIRS = 200_000                # remembered border tests
+STEPS = 200_000                # remembered steps from one prefix's end to the next
 SLICE_CHARS = 4 << 20          # texts encoded at once
 _NEVER = 1 << 60
 
+Ends = tuple[tuple[int, int], ...]     # tokens at a prefix's end and their letters, the longest first
+
 
 class Merges:
     """Vocabulary and merges, ranks in the order of the list."""
@@ -59,18 +65,41 @@ class Merges:
             if made in self.parts or max(self.born.get(left, -1), self.born.get(right, -1)) >= r:
                 raise ValueError("a token made twice, or before its parts")
             self.rank[left, right], self.born[made], self.parts[made] = r, r, (left, right)
-        self._inner = self._tails("")
-        self._final = self._tails(self.end) if self.end else self._inner
         self._left: dict[int, list[tuple[int, int]]] = {}
         self._right: dict[int, list[tuple[int, int]]] = {}
         self._sound: dict[int, bool] = {}
-        self._stand: dict[int, bool] = {}
+        self._stand: list[dict[int, bool]] = [{} for _ in range(1 + max(self.ids.values(), default=0))]
+        self._pairs = 0                                      # of them in all
+        self.lengths = {i: len(t) - (len(self.end) if self._ends(t) else 0) for t, i in self.ids.items()}
+        whole = [t for t, i in self.ids.items() if self.sound(i)]
+        self._inner = {t: self.ids[t] for t in whole if not self._ends(t)}
+        self._final = {t[:len(t) - len(self.end)]: self.ids[t] for t in whole if self._ends(t)} if self.end else self._inner
+        self._starts = {t[:k] for t in (*self._inner, *self._final) for k in range(len(t) + 1)}
+        self._steps: dict[str, tuple[str, Ends]] = {}
+        self._stops: dict[str, Ends] = {}
+        self.nodes = 0                                       # of all tries walked so far
+
+    def _ends(self, text: str) -> bool:
+        return bool(self.end) and text.endswith(self.end)
+
+    def _step(self, met: str) -> tuple[str, Ends]:
+        """After a prefix whose longest end that starts some token was met[:-1], and the letter met[-1]:
+        the new longest end that starts one, and the tokens that stand at the end."""
+        kept = met
+        while kept not in self._starts:
+            kept = kept[1:]
+        found = kept, _at_end(kept, self._inner)
+        if len(self._steps) >= STEPS:
+            self._steps.clear()
+        self._steps[met] = found
+        return found
 
-    def _tails(self, end: str) -> dict[str, int]:
-        """The tokens with that word end (which is left out), and -1 for each shorter end of one."""
-        texts = {t[:len(t) - len(end)]: i for t, i in self.ids.items()
-                 if (t.endswith(end) if end else not self.end or not t.endswith(self.end))}
-        return {t[k:]: -1 for t in texts for k in range(1, len(t))} | texts
+    def _stop(self, met: str) -> Ends:
+        """The tokens at the end where met[-1] is a word's last letter."""
+        if len(self._stops) >= STEPS:
+            self._stops.clear()
+        found = self._stops[met] = _at_end(met, self._final)
+        return found
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The parts at a token's edge, smallest first, each with the rank that uses it up."""
@@ -119,53 +148,65 @@ class Merges:
 
     def stand(self, left: int, right: int) -> bool:
         """Merging the characters of both tokens gives just these two."""
-        key = left << 32 | right
-        found = self._stand.get(key)
+        found = self._stand[left].get(right)
         if found is None:
-            if len(self._stand) >= PAIRS:
-                self._stand.clear()
-            found = self._stand[key] = self._apart(left, right)
+            if self._pairs >= PAIRS:
+                for row in self._stand:
+                    row.clear()
+                self._pairs = 0
+            found = self._stand[left][right] = self._apart(left, right)
+            self._pairs += 1
         return found
 
-    def _last(self, word: str, stop: int, states: list[int], tails: dict[str, int]) -> int:
-        """The last token of word[:stop], given those of all shorter prefixes."""
-        found, start, get = [], stop - 1, tails.get
-        while start >= 0 and (token := get(word[start:stop])) is not None:
-            if token >= 0:
-                found.append((start, token))
-            start -= 1
-        for start, token in reversed(found):
-            if self.sound(token) and (not start or self.stand(states[start], token)):
+    def _last(self, stop: int, states: list[int], tokens: Ends) -> int:
+        """The last token of a prefix of ``stop`` letters: of those at its end, the one that stands
+        beside the last token of what comes before it."""
+        known = self._stand
+        for token, size in tokens:
+            if size == stop:
                 return token
-        raise ValueError(f"no token for {word[max(0, stop - 20):stop]!r}")
+            left = states[stop - size]
+            found = known[left].get(token)
+            if found or found is None and self.stand(left, token):
+                return token
+        raise ValueError("letters without a token")
 
-    def encode(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
+    def encode(self, words: Iterable[str]) -> Iterator[tuple[str, array]]:
         """(word, ids) of distinct words, in the order of the trie's traversal."""
-        states, path = [0], ""                      # states[i]: last token of the open path's first i characters
+        # of the open path's prefix of i letters: its last token, and its longest end that starts a token
+        states, ends, path = [0], [""], ""
+        step, stop_at, last, lengths = self._steps.get, self._stops.get, self._last, self.lengths
         for word in sorted(set(words)):
             if not word:
-                yield word, []
+                yield word, array("I")
                 continue
             inner = len(word) - 1 if self.end else len(word)
             shared = _common(path, word[:inner])
-            del states[shared + 1:]
-            for stop in range(shared + 1, inner + 1):
-                states.append(self._last(word, stop, states, self._inner))
-            path = word[:inner]
-            out = []
-            token, at = (self._last(word, len(word), states, self._final), len(word)) if self.end else (states[inner], inner)
-            while at:
-                out.append(token)
-                at -= self.lengths[token]
+            del states[shared + 1:], ends[shared + 1:]
+            end, stop = ends[shared], shared
+            for letter in word[shared:inner]:
+                stop += 1
+                met = end + letter
+                end, tokens = step(met) or self._step(met)
+                states.append(last(stop, states, tokens))
+                ends.append(end)
+            path, at = word[:inner], len(word)
+            if self.end:
+                met = end + word[-1]
+                token = last(at, states, stop_at(met) or self._stop(met))
+            else:
+                token = states[inner]
+            self.nodes += at - shared
+            out = array("I", (token,))
+            while at := at - lengths[token]:
                 token = states[at]
-            yield word, out[::-1]
+                out.append(token)
+            out.reverse()
+            yield word, out
+
 
-    @property
-    def lengths(self) -> dict[int, int]:
-        """Characters of each token, its word end left out."""
-        if not hasattr(self, "_lengths"):
-            self._lengths = {i: len(t.removesuffix(self.end) if self.end else t) for t, i in self.ids.items()}
-        return self._lengths
+def _at_end(text: str, tokens: dict[str, int]) -> Ends:
+    return tuple((tokens[text[k:]], len(text) - k) for k in range(len(text)) if text[k:] in tokens)
 
 
 def _common(a: str, b: str) -> int:
@@ -179,6 +220,21 @@ def _common(a: str, b: str) -> int:
     return low
 
 
+def _plain_words(definition: dict) -> regex.Pattern | None:
+    """The pre-tokeniser's own pattern where it says all about printable ASCII and line breaks: lower case,
+    matches kept, each letter its own byte letter.  None for other tokenizers."""
+    normal = definition.get("normalizer") or {}
+    steps = [n["type"] for n in normal.get("normalizers", [])]
+    cut = (definition.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    if steps != ["NFC", "Replace", "Lowercase"] or [c["type"] for c in cut] != ["Split", "ByteLevel"]:
+        return None
+    blank, (split, byte) = normal["normalizers"][1], cut
+    if (blank["pattern"], blank["content"]) != ({"Regex": r"\s+"}, " ") or byte["use_regex"] or byte["add_prefix_space"] or (
+            split["behavior"], split["invert"]) != ("Removed", True) or "Regex" not in split["pattern"]:
+        return None
+    return regex.compile(split["pattern"]["Regex"])
+
+
 class Codec:
     """Ids of texts and texts of ids, as the library's ``encode`` and ``decode``."""
 
@@ -196,6 +252,7 @@ class Codec:
         self.special = {a["content"]: a["id"] for a in added}
         self.find = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
         self.tokens = {i: t.encode() for t, i in {**self.merges.ids, **self.special}.items()}
+        self.plain = _plain_words(parsed)
         self.limit = memo_bytes // 2
         self.newer: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -203,8 +260,10 @@ class Codec:
 
     def _words(self, text: str) -> list[str]:
         """The words of a text without special tokens, in byte letters."""
-        if text.isascii() and text.isalpha():
+        if self.plain is not None and text.isascii() and text.isalpha():
             return [text.lower()]
+        if self.plain is not None and text.isascii() and (text.isprintable() or text.replace("\n", " ").isprintable()):
+            return self.plain.findall(text.lower())
         made = self.library.normalizer.normalize_str(text)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(made)]
 
@@ -216,27 +275,30 @@ class Codec:
             at = m.end()
         return out + (self._words(piece[at:]) if at < len(piece) else [])
 
-    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+    def _learn(self, pieces: set[str], split: Callable[[str], list[str | int]]) -> dict[str, bytes]:
         """Ids of all the pieces: a trie of the words of those not remembered."""
-        known = {p: self.newer[p] for p in pieces if p in self.newer}
-        for p in pieces - known.keys() & self.older.keys() if self.older else ():
-            if p in self.older:
-                known[p] = self._keep(p, self.older[p])
-        parts = {p: self._parts(p) for p in pieces if p not in known}
-        words = dict(self.merges.encode(w for some in parts.values() for w in some if isinstance(w, str)))
+        known = {p: self.newer[p] for p in pieces.intersection(self.newer)}
+        pieces = pieces.difference(known)
+        older = self.older                                   # keeping may put another in its place
+        for p in pieces.intersection(older):
+            known[p] = older[p]
+            self._keep(p, older[p])
+        parts = {p: split(p) for p in pieces if p not in known}
+        words = set().union(*parts.values())
+        ids = {i: array("I", (i,)).tobytes() for i in words.intersection(self.special.values())}
+        ids.update((w, some.tobytes()) for w, some in self.merges.encode(words.difference(ids)))
         for p, some in parts.items():
-            ids = [i for w in some for i in ((w,) if isinstance(w, int) else words[w])]
-            known[p] = self._keep(p, np.array(ids, "<u4").tobytes())
+            known[p] = found = ids[some[0]] if len(some) == 1 else b"".join(map(ids.__getitem__, some))
+            self._keep(p, found)
         return known
 
-    def _keep(self, piece: str, ids: bytes) -> bytes:
-        cost = 200 + 4 * len(piece) + len(ids)               # the objects themselves, letters of up to 4 bytes
+    def _keep(self, piece: str, ids: bytes) -> None:
+        cost = piece.__sizeof__() + ids.__sizeof__() + 100           # and its place in the table
         if cost <= 2048:
             if self.size + cost > self.limit:
                 self.older, self.newer, self.size = self.newer, {}, 0
             self.newer[piece] = ids
             self.size += cost
-        return ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -251,7 +313,8 @@ class Codec:
 
     def _encode(self, texts: list[str]) -> Iterator[bytes]:
         split = [t.split(" ") for t in texts]
-        ids = self._learn(set().union(*split)) if split else {}
+        plain = not any(s in t for s in self.special for t in texts)
+        ids = self._learn(set().union(*split), self._words if plain else self._parts)
         for some in split:
             yield b"".join(map(ids.__getitem__, some))
 
@@ -277,11 +340,15 @@ def _mapped(docs: DataFrame, vocabulary: str, id_col: str, text_col: str, column
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = codec(vocabulary, shipped.value)
-        for batch in batches:
-            for i in range(0, batch.num_rows, 512):
-                some = batch.slice(i, 512)
-                made = columns(tok, tok.encode([t or "" for t in some.column(1).to_pylist()]))
-                yield pa.RecordBatch.from_arrays([some.column(0), *made], names)
+        gc.disable()                                  # no cycles are made here, and the memos are large to look through
+        try:
+            for batch in batches:
+                for i in range(0, batch.num_rows, 512):
+                    some = batch.slice(i, 512)
+                    made = columns(tok, tok.encode([t or "" for t in some.column(1).to_pylist()]))
+                    yield pa.RecordBatch.from_arrays([some.column(0), *made], names)
+        finally:
+            gc.enable()
 
     return docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text")).mapInArrow(rows, schema)
 
