@@ -53,8 +53,13 @@ def duck():
 
 
 def test_optional_queries_come_and_go(monkeypatch):
-    """Without the optional parts the rest is as it is; with them they are added."""
-    monkeypatch.setattr(E, "_present", lambda name: False)
+    """Without the optional parts, or a library that they need, the rest is as it is; with them they are added."""
+    def missing(name, load=E.importlib.import_module):
+        if name.startswith("contrail.llm"):
+            raise ImportError("no library of that name")
+        return load(name)
+
+    monkeypatch.setattr(E.importlib, "import_module", missing)
     bare, twins = set(E.queries()), set(E.oracle_sql())
     assert not any(re.match(r"op\d+_|pipeline", k) for k in bare | twins)
     monkeypatch.undo()
