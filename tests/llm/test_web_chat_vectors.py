@@ -124,6 +124,21 @@ def test_rewriting_templates_are_found(n):
     assert at == 2 and text == trimmed(messages)
 
 
+@pytest.mark.parametrize("n", [3, 33, 90])
+def test_how_spans_are_found_depends_on_the_template_alone(n):
+    """A note after some turn that the next one takes back is history rewritten, in long conversations too."""
+    def noted(ms):
+        return chat_render.marked_turns(ms) + ("(note)" if len(ms) == n // 2 else "")
+
+    messages = [(("user", "assistant")[i % 2], f"t{i} ###") for i in range(n)]
+    text, turns, _, at = chat_render.render(messages, noted)
+    assert at == n // 2 and text == chat_render.marked_turns(messages)
+    assert text[turns[at][0]:turns[at][1]] == chat_render.marked_turns(messages[at:at + 1])
+    # an appending template has the spans that all its prefixes give
+    assert chat_render.render(messages, chat_render.marked_turns) == chat_render.render(
+        messages, lambda ms: chat_render.marked_turns(ms))
+
+
 def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
