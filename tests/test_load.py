@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from contrail.operators.keys import dense_keys, lookup
+from contrail.operators.keys import dense_keys, key_ids, lookup, with_ids
 from contrail.plans import load as L
 from contrail.plans.mart import FlightMart
 from contrail.session import checkpoint_dir
@@ -53,6 +53,21 @@ def test_lookup_with_gaps_and_nulls(spark, tmp_path):
     assert got[1] and got[2] and got[1] != got[2] and got[3] is None and got[4] is None
 
 
+def test_ids_by_raw_keys_are_those_of_the_lookup(spark, tmp_path):
+    """Odd writings of a key, nulls, and keys that the dimension lacks; key texts once a distinct key."""
+    dim = numbered(spark, [("x", 1.0), (None, 2.0), ("z", None), ("w", 0.0)], 2, str(tmp_path / "dim"))
+    rows = [(i, a, b) for i, (a, b) in enumerate([(" X", 1.0), ("x", 1.0), (None, 2.0), ("y", 1.0), (None, None), ("Z ", None),
+                                                  ("w", -0.0), ("w", float("nan")), ("nan", 2.0)] * 3)]
+    fact = spark.createDataFrame(rows, "n int, a string, b double")
+    want = {r.n: r.id for r in lookup(fact, dim, SPEC, "id").collect()}
+    key_ids(fact.select("a", "b").distinct(), dim, SPEC, "id").write.parquet(str(tmp_path / "ids"))
+    ids = spark.read.parquet(str(tmp_path / "ids"))
+    got = with_ids(fact, ids, SPEC, "id")
+    assert got.columns == [*fact.columns, "id"] and got.count() == len(rows)
+    assert {r.n: r.id for r in got.collect()} == want and sum(v is not None for v in want.values()) >= 15
+    assert "decimal" not in got._jdf.queryExecution().toString()
+
+
 def test_levels_put_parents_first():
     seen = set()
     for names in L.levels():
@@ -78,6 +93,27 @@ def test_load_keeps_every_row_or_says_why(spark, loaded):
     assert report["AERONAVE"].rejected > 0 and report["RUTA"].rejected == 0
 
 
+def test_rows_of_the_load_are_written_once_and_narrow(spark, loaded):
+    """Columns that others tell aren't stored, the rows with ids hold what is read of them, raw keys come once."""
+    stored = spark.read.parquet(f"{loaded.base}/_wide")
+    assert loaded.landed().columns == L.wide_flights(loaded.m).columns and len(stored.columns) < len(loaded.landed().columns) / 2 + 3
+    assert loaded.landed().exceptAll(L.wide_flights(loaded.m)).count() == 0 == L.wide_flights(loaded.m).exceptAll(loaded.landed()).count()
+    keyed = loaded.keyed()
+    assert keyed.count() == stored.count() and "OriginCityName" not in keyed.columns
+    for name in L.LOOKUPS:
+        cols = [c for c, _ in L.SURROGATES[name][1]]
+        raw, source = loaded.raw_keys(name), keyed if name in L.LOOKUPS[4:] else loaded.landed()
+        assert raw.count() == source.select(*cols).distinct().count()
+        assert raw.filter("flown").count() == source.filter("NOT Cancelled").select(*cols).distinct().count()
+    plain = keyed
+    for name in L.LOOKUPS[4:]:
+        key, spec = L.SURROGATES[name]
+        plain = lookup(plain, loaded.read(name), spec, key)
+    ids = ["ID_Vuelo", "ID_CR", "ID_Programacion"]
+    fast = loaded.with_id(loaded.with_id(keyed, "PROGRAMACION"), "CRONOMETRIA_REAL")
+    assert fast.select(*ids).exceptAll(plain.select(*ids)).count() == 0
+
+
 def test_a_stopped_load_goes_on(spark, loaded, monkeypatch):
     """What is there is not written again; a missing table is."""
     offered = []
