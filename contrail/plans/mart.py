@@ -42,10 +42,13 @@ estimate and to AQE's runtime re-plan instead of a hint.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contrail.functions.clean import natural_id
+from contrail.session import checkpoint_dir
 from contrail.sources.tables import table
 
 CO2_PER_LB_FUEL = 3.16  # fixed value: lbs of CO2 per lb of jet fuel
@@ -199,6 +202,13 @@ class FlightMart:
         from pyspark import StorageLevel
         return self.flights(*chains).persist(StorageLevel.MEMORY_AND_DISK)
 
+    def settled(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written once to a fresh folder below the shared one and read back, for an aggregate that
+        several steps read: each of them would join and shuffle the flights again."""
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def per_airline(self, keys, aggs, where=None, chains=()) -> DataFrame:
         """Eager aggregation: group the fact by ``airline_id`` plus fact-side
         ``keys``, then attach the airline attributes.  Only per-(airline, key)

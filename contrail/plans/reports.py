@@ -205,7 +205,9 @@ def k10_model_environment(m: FlightMart) -> DataFrame:
     # one row per model, and the model count grows with the catalogue: the
     # system average is a one-row aggregate and the rank comes from value
     # positions, so no step funnels all models through one task
-    c = c.withColumn("__co2r", half_up("__co2", 6))
+    # the average, the value positions and the ranked rows all read them: the
+    # flights are joined and aggregated once
+    c = m.settled(c.withColumn("__co2r", half_up("__co2", 6)), "k10")
     c = with_totals(c, c.agg(F.avg("__co2r").alias("__sys")))
     c = global_rank(c, "__co2r", "impact_rank")
     hi, mid, lo = ENV_BANDS

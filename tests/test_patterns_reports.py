@@ -86,3 +86,12 @@ def test_route_threshold_50_vs_51_and_risk_bands(df):
     r = route_metrics(f, 50).withColumn("risk", _risk(F.col("__rate"), F.col("__delay"))).collect()
     assert [(x.dest_airport, x.total_flights, x.cancelled) for x in r] == [("CCC", 51, 1)]  # HAVING > 50
     assert r[0].risk == "Moderate risk"  # 1.96 % cancelled > 1.0, mean delay 20 > 15
+
+
+def test_model_environment_joins_the_flights_once(spark):
+    """The average, the value positions and the ranked rows read one written aggregate."""
+    from conftest import SF_SMALL
+    from contrail.plans import reports as K
+    from contrail.plans.mart import FlightMart
+    out = K.k10_model_environment(FlightMart(spark, SF_SMALL))
+    assert out.count() > 0 and not any("lineitem" in f for f in out.inputFiles())
