@@ -169,3 +169,62 @@ def test_a_correction_rewrites_only_touched_buckets_and_comes_back(spark, tmp_pa
 def test_the_registered_correction_reports_what_it_changed(spark, loaded):
     r = L.a10_restored(loaded.m).first()
     assert r.rows == loaded.read("RESULTADO").count() and r.differing == 0 and r.corrected > 0 and 0 < r.buckets < 256
+
+
+def test_dense_keys_tell_whether_any_row_of_the_key_holds(spark, tmp_path):
+    """``any_of`` follows the key as the kept row writes it, and is no part of the choice of that row."""
+    rows = [("a", 2.0, False), ("a", 1.0, True), ("b", 1.0, False), ("b", 3.0, None), (" c", 5.0, False), ("c", 1.0, True),
+            (None, 1.0, True)]
+    d = spark.createDataFrame(rows, "a string, x double, there boolean").repartition(3)
+    got = {r.a: (r.x, r.there) for r in dense_keys(d, [("a", "text")], "id", str(tmp_path / "k"), any_of=["there"]).collect()}
+    assert got["a"] == (1.0, True) and got["b"][0] == 1.0 and got["b"][1] is not True
+    assert got[" c"] == (5.0, False) and got[None] == (1.0, True)
+    with pytest.raises(ValueError):
+        dense_keys(d.select("x", "a", "there"), [("a", "text")], "id", str(tmp_path / "l"), any_of=["there"])
+
+
+def test_keys_and_lookups_are_found_once_a_group_of_flights(spark, loaded):
+    """Before, each flight was joined with four dimensions and written for it, and again for the other two."""
+    from contrail.sources.versioned import exists
+    assert not exists(spark, f"{loaded.base}/_keyed")
+    w = loaded.with_id(loaded.with_id(loaded.keyed(), "PROGRAMACION"), "CRONOMETRIA_REAL")
+    every = w.count()
+    for name, (told, parents) in L.TOLD_BY.items():
+        groups = loaded.looked_up(name)
+        assert groups.count() == loaded.landed().select(*told).distinct().count() and groups.agg(F.sum("flights")).first()[0] == every
+        for t in (*parents, name):
+            key = L.SURROGATES[t][0]
+            assert groups.filter(F.col(key).isNotNull()).agg(F.sum("flights")).first()[0] == w.filter(F.col(key).isNotNull()).count()
+    ids = ["ID_CR", "ID_Programacion", "Cancelled", "fuel_burn", "co2"]
+    f, w = L.wide(loaded.flights(), ["ID_Vuelo"], *ids), w.select(*ids, "ID_Vuelo")
+    assert f.exceptAll(w).count() == 0 == w.exceptAll(f).count()
+
+
+def test_results_without_a_loaded_flight_are_those_of_a_join(loaded):
+    lost = loaded.checked("RESULTADO").filter("reason = 'no VUELO ID_Vuelo'").select("ID_Vuelo")
+    want = loaded.checked("RESULTADO").select("ID_Vuelo").join(loaded.read("VUELO").select("ID_Vuelo"), "ID_Vuelo", "left_anti")
+    assert lost.count() == want.count() > 0 and lost.exceptAll(want).count() == 0
+
+
+def test_ids_made_of_the_landed_columns_are_the_flights(spark, loaded):
+    from contrail.functions.clean import day_text
+    stored = spark.read.parquet(f"{loaded.base}/_wide")
+    assert "ID_Vuelo" not in stored.columns
+    ids = loaded.m.flights().select(F.col("flight_id").alias("ID_Vuelo"))
+    assert loaded.landed().select("ID_Vuelo").exceptAll(ids).count() == 0 and ids.count() == stored.count()
+    days = spark.sql("SELECT explode(array(date'1995-01-09', date'0033-12-31', date'9999-12-31', date'1582-10-15', null)) AS d")
+    assert days.filter(~day_text("d").eqNullSafe(F.date_format("d", "yyyyMMdd"))).count() == 0
+
+
+def test_customers_joined_to_the_orders_first_give_the_same_flights(loaded):
+    plain = loaded.m.flights("airline", "dest")
+    first = loaded.m.flights("airline", "dest", dest_first=True)
+    cols = sorted(set(first.columns))
+    assert set(plain.columns) >= set(cols) >= {"dest_airport_id", "dest_state", "flight_id"}
+    assert first.select(*cols).exceptAll(plain.select(*cols)).count() == 0 and first.count() == plain.count()
+
+
+def test_the_second_hop_is_made_once_an_aircraft(loaded):
+    plan = L.d14_tail_model(loaded.m)._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
+    assert len(joins) == 2 and "Tail_Number" in joins[0] and "model" in joins[1]        # the flights meet the finished bridge
