@@ -14,8 +14,9 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
@@ -119,25 +120,40 @@ def key_bucket(key: str) -> Column:
 
 def write_keyed(df: DataFrame, path: str, key: str) -> None:
     """A table in one folder a key bucket, so that a change can rewrite the buckets it touches."""
-    (df.withColumn("bucket", key_bucket(key)).repartition("bucket").write.mode("errorifexists")
-     .partitionBy("bucket").parquet(path))
+    # in the order of the keys, which share beginnings, so that a file is smaller
+    (df.withColumn("bucket", key_bucket(key)).repartition("bucket").sortWithinPartitions("bucket", key)
+     .write.mode("errorifexists").option("compression", "zstd").partitionBy("bucket").parquet(path))
 
 
 def _replace_buckets(rows: DataFrame, path: str) -> None:
-    """Rewrite the buckets that ``rows`` has (and no others), which are not read from ``path`` itself."""
-    (rows.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    """Rewrite the buckets that ``rows`` has (and no others), which are not read from ``path`` itself.  A bucket's
+    rows stand in one task already (:func:`_matched`)."""
+    (rows.write.mode("overwrite").options(partitionOverwriteMode="dynamic", compression="zstd")
      .partitionBy("bucket").parquet(path))
 
 
+def _matched(rows: DataFrame, others: DataFrame, key: str, values: Column, name: str) -> DataFrame:
+    """``rows`` with the greatest ``values`` that ``others`` has for their key as the struct ``name``, null without
+    one (a null key has none).  Both have ``bucket`` and are shuffled by it once: matching needs no other
+    shuffle, and neither does writing by bucket."""
+    names = rows.columns
+    both = rows.select(*names, F.lit(True).alias("__row"), F.lit(None).alias(name)).unionByName(
+        others.filter(F.col(key).isNotNull()).select("bucket", key, F.lit(False).alias("__row"), values.alias(name)),
+        allowMissingColumns=True)
+    found = F.max(name).over(Window.partitionBy("bucket", key))
+    return both.repartition("bucket").withColumn(name, found).filter("__row").select(*names, name)
+
+
 def _buckets(rows: DataFrame) -> list[str]:
-    return sorted(r[0] for r in rows.select("bucket").distinct().collect())            # 256 at most
+    return sorted(r[0] for r in rows.select("bucket").filter("bucket is not null").distinct().collect())   # 256 at most
 
 
 def snapshot_buckets(table: DataFrame, path: str, buckets: Sequence[str], ts: str) -> str:
     """The named buckets as they are, under ``<path>-backup/ts=<ts>``; an existing snapshot is kept."""
     to = f"{path}-backup/ts={ts}"
     if not exists(table.sparkSession, to):
-        table.filter(F.col("bucket").isin(*buckets)).write.mode("errorifexists").partitionBy("bucket").parquet(to)
+        (table.filter(F.col("bucket").isin(*buckets)).write.mode("errorifexists").option("compression", "zstd")
+         .partitionBy("bucket").parquet(to))
     return to
 
 
@@ -153,7 +169,12 @@ def correct_keyed(spark: SparkSession, path: str, stage: DataFrame, key: str, co
         return []
     table = spark.read.parquet(path)
     kept = spark.read.schema(table.schema).parquet(snapshot_buckets(table, path, touched, ts))
-    _replace_buckets(staged_upsert(kept, staged.drop("bucket"), key, cols), path)
+    # as :func:`staged_upsert`: stage rows without a new value don't count, a repeated key's greatest values do
+    new = F.struct(*[f"{c}_new" for c in cols])
+    some = staged.filter(reduce(Column.__or__, [F.col(f"{c}_new").isNotNull() for c in cols]))
+    j = _matched(kept, some, key, new, "__new")
+    _replace_buckets(j.select(*[F.coalesce(F.col(f"__new.{c}_new"), F.col(c)).alias(c) if c in cols else F.col(c)
+                                for c in kept.columns]), path)
     return touched
 
 
@@ -172,8 +193,11 @@ def restore_keyed(spark: SparkSession, path: str, key: str, cols: Sequence[str],
     if not touched:
         return []
     work = f"{path}-work/{uuid.uuid4().hex}"                  # the current rows, apart from the folders to be replaced
-    spark.read.parquet(path).filter(F.col("bucket").isin(*touched)).write.parquet(work)
-    _replace_buckets(restore(spark.read.parquet(work), backup.drop("bucket"), key, cols), path)
+    spark.read.parquet(path).filter(F.col("bucket").isin(*touched)).write.option("compression", "zstd").parquet(work)
+    now = spark.read.parquet(work)
+    j = _matched(now, backup, key, F.struct(*cols), "__was")                                 # as :func:`restore`
+    _replace_buckets(j.select(*[F.when(F.col("__was").isNotNull(), F.col(f"__was.{c}")).otherwise(F.col(c)).alias(c)
+                                if c in cols else F.col(c) for c in now.columns]), path)
     return touched
 
 

@@ -228,3 +228,27 @@ def test_the_second_hop_is_made_once_an_aircraft(loaded):
     plan = L.d14_tail_model(loaded.m)._jdf.queryExecution().optimizedPlan().toString()
     joins = [line for line in plan.split("\n") if "Join LeftOuter" in line]
     assert len(joins) == 2 and "Tail_Number" in joins[0] and "model" in joins[1]        # the flights meet the finished bridge
+
+
+def test_a_bucket_is_matched_and_written_with_one_shuffle(spark, tmp_path, monkeypatch):
+    """Before, restored rows were joined by key and then shuffled again by bucket."""
+    from contrail.sources import versioned as V
+    path, plans = str(tmp_path / "t"), []
+    V.write_keyed(spark.createDataFrame([(i, float(i), None) for i in range(300)] + [(None, 1.0, 1.0)], "id long, x double, y double"),
+                  path, "id")
+    plain = V._replace_buckets
+    monkeypatch.setattr(V, "_replace_buckets", lambda rows, to: plans.append(
+        rows._jdf.queryExecution().executedPlan().toString()) or plain(rows, to))
+    stage = spark.createDataFrame([(4, 9.0, None), (None, 7.0, 7.0)], "id long, x_new double, y_new double")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        V.correct_keyed(spark, path, stage, "id", ["x", "y"], "t1")
+        now = {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()}
+        assert len(now) == 301 and now[4] == (9.0, None) and now[None] == (1.0, 1.0)          # a null key matches nothing
+        V.restore_keyed(spark, path, "id", ["x", "y"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()} == {
+        **{i: (float(i), None) for i in range(300)}, None: (1.0, 1.0)}
+    assert len(plans) == 2 and all(len([x for x in p.split("\n") if "Exchange" in x]) == 1 for p in plans)
