@@ -35,6 +35,7 @@ import json
 import math
 import random
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -183,12 +184,26 @@ def without_near_copies(texts: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return out
 
 
-def markers(docs: list[tuple[list[list[tuple]], int]], evidence: float = EVIDENCE) -> set[str]:
+def numbered(texts: list[tuple[str, int]]) -> tuple[list[str], list[tuple[list[array], int]]]:
+    """The different words, and each text's sentences as places in them: four bytes a word, however many there are."""
+    place: dict[str, int] = {}
+    docs = [([array("I", [place.setdefault(w, len(place)) for w, _, _ in chain]) for chain in sentences(t)], y)
+            for t, y in texts]
+    return list(place), docs
+
+
+def markers(words: list[str], docs: list[tuple[list[array], int]], evidence: float = EVIDENCE) -> set[str]:
     """Features that stand in toxic documents far beyond chance."""
+    def own(chains: list[array]) -> set[str]:
+        return {f for i in set().union(*chains) for f in features(words[i])}
+
     inside, outside = Counter(), Counter()
     for chains, label in docs:
-        words = {w for chain in chains for w, _, _ in chain}
-        (inside if label else outside).update({f for w in words for f in features(w)})
+        if label:
+            inside.update(own(chains))
+    for chains, label in docs:
+        if not label:
+            outside.update(own(chains) & inside.keys())
     n_in = sum(label for _, label in docs)
     share = n_in / max(1, len(docs))
     out = set()
@@ -207,26 +222,24 @@ def train(texts: list[tuple[str, int]], n_toxic: int, n_clean: int, seed: int =
     prior = n_toxic / max(1, n_toxic + n_clean)
     if not n_toxic or not n_clean or len({y for _, y in texts}) < 2:
         return {"constant": prior}
-    docs = [(sentences(t), y) for t, y in without_near_copies(texts)]
-    marks = markers(docs)
-    toxic, plain = [], []
+    words, docs = numbered(without_near_copies(texts))
+    marks = markers(words, docs)
+    marked = [int(any(f in marks for f in features(w))) for w in words]
+    toxic, plain = [], []                                     # the arrays themselves; words only of those drawn
     for chains, label in docs:
         for chain in chains:
-            words = [w for w, _, _ in chain]
-            tags = [int(bool(label) and any(f in marks for f in features(w))) for w in words]
-            if any(tags):
-                toxic.append((words, tags))
-            elif not label:
-                plain.append((words, tags))
+            if not label:
+                plain.append(chain)
+            elif any(marked[i] for i in chain):
+                toxic.append(chain)
     rng = random.Random(seed)
-    chains = rng.sample(toxic, min(len(toxic), SENTENCES)) + rng.sample(plain, min(len(plain), SENTENCES))
+    chains = [([words[i] for i in c], [marked[i] for i in c]) for c in rng.sample(toxic, min(len(toxic), SENTENCES))]
+    chains += [([words[i] for i in c], [0] * len(c)) for c in rng.sample(plain, min(len(plain), SENTENCES))]
     field = Field().fit(chains) if toxic else Field()
     if len(field.weights) > FEATURES:
         field.weights = dict(sorted(field.weights.items(), key=lambda x: -abs(x[1]))[:FEATURES])
-    known: dict[str, float] = {}
-    for words in ({w for chain in chains for w, _, _ in chain} for chains, _ in docs):
-        known.update({w: field.emission(w) for w in words if w not in known})
-    rows = [(document_features(field, chains, known)[0], y) for chains, y in docs]
+    known = {w: field.emission(w) for w in words}
+    rows = [(document_features(field, [[(words[i], 0, 0) for i in c] for c in chains], known)[0], y) for chains, y in docs]
     have = Counter(y for _, y in rows)
     weight = {1: prior / have[1], 0: (1 - prior) / have[0]}
     return {"bias": field.bias, "stay": field.stay, "enter": field.enter, "leave": field.leave,

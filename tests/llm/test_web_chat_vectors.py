@@ -341,6 +341,20 @@ def test_toxicity_odd_rows(spark):
     assert got[1] == got[2] == got[3] < 0.3
 
 
+def test_training_holds_few_bytes_a_word():
+    """The training documents stand in one task beside the other workers: words are kept as places in a vocabulary."""
+    import tracemalloc
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(400)]
+    texts = [(". ".join([t] + [" ".join(rng.choices(words, k=9)) for _ in range(100)]), y) for _, t, y in toxic_corpus(160)]
+    n = sum(len(t.split()) for t, _ in texts)
+    tracemalloc.start()
+    model = toxic_spans.train(texts, 40, 120)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n > 140_000 and peak < 100 * n and model["weights"]
+
+
 # -- quality --------------------------------------------------------------
 
 def junk(rng, words, kind):
