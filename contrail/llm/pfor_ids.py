@@ -255,7 +255,7 @@ class WordMemo:
                                           pa.large_string()), " ")
         ends = parts.offsets.to_numpy() - parts.offsets[0].as_py()
         coded = parts.flatten().dictionary_encode()
-        codes, words = coded.indices.to_numpy().copy(), coded.dictionary.to_pylist()
+        codes, words = coded.indices.to_numpy().copy(), _listed(coded.dictionary)
         leads = coded.dictionary.take(pa.array(codes[ends[:-1]])).to_pylist()
 
         if len(self.first) > self.size:
@@ -264,12 +264,15 @@ class WordMemo:
             self.older, self.rest = self.rest, {}
         first, rest, older = self.first, self.rest, self.older
         self._learn(first, [w for w in set(leads) if w not in first], "")
-        new = [w for w in words if w not in rest]
-        rest.update([(w, older[w]) for w in new if w in older])
-        self._learn(rest, [w for w in new if w not in older], " ")
+        ids = [*map(rest.get, words)]
+        new = [w for w, known in zip(words, ids) if known is None]
+        if new:
+            rest.update([(w, older[w]) for w in new if w in older])
+            self._learn(rest, [w for w in new if w not in older], " ")
+            ids = [rest[w] if known is None else known for w, known in zip(words, ids)]
 
         codes[ends[:-1]] = len(words) + np.arange(len(leads))
-        ids = [*map(rest.__getitem__, words), *map(first.__getitem__, leads)]
+        ids += map(first.__getitem__, leads)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         pool = np.frombuffer(b"".join(ids), np.uint32)
         starts = np.cumsum(sizes) - sizes
@@ -285,18 +288,25 @@ class WordMemo:
         return [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, memo: dict[str, bytes], new: list[str], lead: str, at_once: int = 512) -> None:
-        plain, alone = [], []
-        for w in new:
-            (plain if lead and w and w == w.strip() else alone).append(w)
+        plain = [w for w in new if w and w == w.strip()] if lead else []
+        alone = [w for w in new if not w or w != w.strip()] if lead else new
         memo.update(zip(alone, (ids.tobytes() for ids in self._library([lead + w for w in alone]))))
         groups = [plain[i:i + at_once] for i in range(0, len(plain), at_once)]
-        for words, ids in zip(groups, self._library(["".join([lead + w for w in g]) for g in groups])):
-            ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        joined = [lead + lead.join(g) for g in groups]
+        for words, text, ids in zip(groups, joined, self._library(joined)):
+            data = text.encode()
+            ends = np.append(np.flatnonzero(np.frombuffer(data, np.uint8) == 32)[1:], len(data))   # words hold no blank
             stops = (4 * (np.searchsorted(np.cumsum(self.token_bytes[ids]), ends) + 1)).tolist()
             data = ids.tobytes()
             memo.update([(w, data[a:b]) for w, a, b in zip(words, [0, *stops], stops)])
 
 
+def _listed(words: pa.Array) -> list[str]:
+    """Words without blanks, at least one, as Python has them: read as one text, not one by one."""
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(words)], pa.int64()), words)
+    return pc.binary_join(whole, pa.scalar(" ", words.type))[0].as_py().split(" ")
+
+
 # -- Spark ----------------------------------------------------------------
 
 def write_ids(docs: DataFrame, vocabulary: str, folder: str, percentile: float = PERCENTILE,

@@ -151,6 +151,34 @@ def test_word_memo_is_the_library_encoding():
         assert [x.tolist() for x in memo.encode(some)] == want
 
 
+def test_a_known_word_is_looked_up_once():
+    from tokenizers import Tokenizer
+
+    class Counting(dict):
+        looks = 0
+
+        def get(self, key):
+            self.looks += 1
+            return dict.get(self, key)
+
+        def __getitem__(self, key):
+            self.looks += 1
+            return dict.__getitem__(self, key)
+
+        def __contains__(self, key):
+            self.looks += 1
+            return dict.__contains__(self, key)
+
+    memo = pfor_ids.WordMemo(Tokenizer.from_file(JSON))
+    texts = ["the sun and the moon", "é 中文 ends with \n a\tline \x00", "", "moon"]
+    want = [x.tolist() for x in memo.encode(texts)]
+    memo.rest = Counting(memo.rest)
+    assert [x.tolist() for x in memo.encode(texts)] == want
+    assert memo.rest.looks == len({w for t in texts for w in t.split(" ")})
+    for words in ([""], ["a"], ["", "é", "\x85", "中文", "\x00"]):
+        assert pfor_ids._listed(pfor_ids.pa.array(words, pfor_ids.pa.large_string())) == words
+
+
 @pytest.mark.parametrize("segment", [50, 1 << 20])
 def test_token_files(spark, segment):
     from tokenizers import Tokenizer
