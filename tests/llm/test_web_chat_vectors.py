@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import io
+import os
 import random
 import zlib
 
@@ -139,6 +140,29 @@ def test_how_spans_are_found_depends_on_the_template_alone(n):
         messages, lambda ms: chat_render.marked_turns(ms))
 
 
+def test_the_registered_template_is_rendered_on_every_prefix(monkeypatch):
+    said, escape = [], chat_render.escape
+    monkeypatch.setattr(chat_render, "escape", lambda t: said.append(t) or escape(t))
+    text, turns, _, rewrote = chat_render.render([("user", f"t{i}") for i in range(7)], chat_render.marked_turns)
+    assert said == [f"t{i}" for k in range(7) for i in range(k + 1)]
+    assert rewrote is None and [text[a:b] for a, b in turns] == [f"### User: t{i}</turn>\n" for i in range(7)]
+
+
+def test_a_trained_text_without_a_place_is_told():
+    def measured(ms):                          # gives the lengths of texts, not the texts
+        return "".join(f"{r}:{len(t)};" for r, t in ms)
+
+    messages = [("user", "q"), ("assistant", "abc"), ("assistant", "zz")]
+    text, turns, loss, rewrote, untold = chat_render.spans(messages, measured)
+    assert (text, loss, rewrote, untold) == ("user:1;assistant:3;assistant:2;", [], None, [1, 2])
+    assert chat_render.spans(messages, chat_render.marked_turns)[4] == []
+
+
+@given(st.text("ab", max_size=9), st.text("ab", max_size=9))
+def test_the_common_beginning(a, b):
+    assert chat_render._shared(a, b) == len(os.path.commonprefix([a, b]))
+
+
 def sha(s):
     return hashlib.sha256(s.encode()).hexdigest()
 
