@@ -13,7 +13,9 @@ earlier nodes of their block.  Each is linked to diverse near nodes (a candidate
 is passed over when it is nearer to a chosen one than to the node), links go both
 ways, and a node with too many keeps a diverse choice.  A node that lost all ways
 in gets one back from its nearest earlier node: every node can be reached.  Links
-are stored as one flat neighbour array and offsets per layer.
+are stored as one flat neighbour array and offsets per layer, a file a shard in the
+shared folder: a graph is written and read by the tasks that use it, and no row,
+join or shuffle carries one.
 
 Vectors are lifted by one coordinate to a common norm, so that the largest
 inner product is the smallest distance whatever their norms.  Every query
@@ -34,15 +36,16 @@ from __future__ import annotations
 
 import io
 import math
+import uuid
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from contrail.llm.common import settled, work_folder
+from contrail.llm.common import open_store, settled, work_folder
 
 TOP = 20
 LINKS = 24             # links a node makes, and keeps in the upper layers
@@ -55,6 +58,7 @@ SPARE = 16             # links a node may have beyond those it keeps, until it i
 PRUNED = 96            # nearest links that are looked at when a node is pruned
 BLOCK = 512            # nodes inserted, and queries searched, together
 BLOCK_ROWS = 1024
+ROWS_LIFTED = 8192
 SALTS = 61
 
 
@@ -218,8 +222,11 @@ class Graph:
     def __init__(self, vectors: np.ndarray, order: np.ndarray, layers: list[tuple[int, np.ndarray, np.ndarray]], norm: float):
         # layer, the lowest first: the first so many of the order; offsets; neighbours as places in the order
         self.vectors, self.order, self.layers, self.norm = vectors, order, layers, norm
-        lift = np.sqrt(np.maximum(0.0, norm ** 2 - (vectors ** 2).sum(axis=1)))
-        self.x = (np.column_stack([vectors, lift]) / norm).astype(np.float32)[order]
+        self.x = np.empty((len(order), vectors.shape[1] + 1), np.float32)
+        for a in range(0, len(order), ROWS_LIFTED):                # few rows in double precision at a time
+            some = vectors[order[a:a + ROWS_LIFTED]]
+            lift = np.sqrt(np.maximum(0.0, norm ** 2 - (some ** 2).sum(axis=1)))
+            self.x[a:a + ROWS_LIFTED] = np.column_stack([some, lift]) / norm
         self._links = [(n, self._padded(offsets, flat)) for n, offsets, flat in layers]
 
     @staticmethod
@@ -260,20 +267,27 @@ class Graph:
     def search(self, query: np.ndarray, top: int, beam: int) -> list[int]:
         return [int(r) for r in self.search_many(np.asarray(query)[None, :], top, beam)[0] if r >= 0]
 
-    # -- as bytes ----------------------------------------------------------
+    # -- as a file -----------------------------------------------------------
 
-    def dump(self, ids: np.ndarray, id_offsets: np.ndarray) -> bytes:
-        out = io.BytesIO()
-        np.savez(out, vectors=self.vectors, order=self.order, norm=self.norm, ids=ids, id_offsets=id_offsets,
+    def write(self, file: BinaryIO, ids: np.ndarray, id_offsets: np.ndarray) -> None:
+        np.savez(file, vectors=self.vectors, order=self.order, norm=self.norm, ids=ids, id_offsets=id_offsets,
                  sizes=np.array([n for n, _, _ in self.layers], np.int64),
                  **{f"{k}{i}": a for i, (_, o, f) in enumerate(self.layers) for k, a in (("o", o), ("f", f))})
+
+    @classmethod
+    def read(cls, file: BinaryIO) -> tuple["Graph", np.ndarray, np.ndarray]:
+        with np.load(file) as z:
+            layers = [(int(n), z[f"o{i}"], z[f"f{i}"]) for i, n in enumerate(z["sizes"])]
+            return cls(z["vectors"], z["order"], layers, float(z["norm"])), z["ids"], z["id_offsets"]
+
+    def dump(self, ids: np.ndarray, id_offsets: np.ndarray) -> bytes:
+        out = io.BytesIO()
+        self.write(out, ids, id_offsets)
         return out.getvalue()
 
     @classmethod
     def load(cls, data: bytes) -> tuple["Graph", np.ndarray, np.ndarray]:
-        z = np.load(io.BytesIO(data))
-        layers = [(int(n), z[f"o{i}"], z[f"f{i}"]) for i, n in enumerate(z["sizes"])]
-        return cls(z["vectors"], z["order"], layers, float(z["norm"])), z["ids"], z["id_offsets"]
+        return cls.read(io.BytesIO(data))
 
 
 # -- Spark ----------------------------------------------------------------
@@ -297,25 +311,30 @@ def nodes_of(rows: DataFrame, top: int) -> DataFrame:
 
 
 def build_index(rows: DataFrame, folder: str, top: int = TOP, shard_rows: int | None = None) -> tuple[DataFrame, int]:
-    """(dims, shard, graph binary) and the number of shards: of ``shard_rows`` nodes or, without it, of SHARD_BYTES."""
+    """(dims, shard, file of the graph in ``folder``) and the number of shards: of ``shard_rows`` nodes or, without it,
+    of SHARD_BYTES."""
     nodes = settled(nodes_of(rows, top), folder, "nodes")
     size = nodes.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.col("dims") * F.lit(8)), F.lit(0)).alias("bytes")).first()
     shards = max(1, -(-size.n // shard_rows) if shard_rows else -(-size.bytes // SHARD_BYTES))
 
-    def graph(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("h", kind="stable")
-        vectors = np.array(group["v"].tolist(), np.float64)
-        ids = [np.asarray(i, np.int64) for i in group["ids"]]
-        g = Graph.build(vectors)
-        data = g.dump(np.concatenate(ids), np.concatenate([[0], np.cumsum([len(i) for i in ids])]))
-        return pd.DataFrame({"dims": [int(key[0])], "shard": [int(key[1])], "graph": [data]})
+    def graph(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.take(np.argsort(group["h"].to_numpy(), kind="stable")).combine_chunks()
+        vectors, ids = (group[c].chunk(0) for c in ("v", "ids"))
+        g = Graph.build(vectors.flatten().to_numpy().reshape(len(vectors), -1))
+        store, root = open_store(folder)
+        store.create_dir(f"{root}/graphs", recursive=True)
+        name = f"graphs/{uuid.uuid4().hex}.npz"               # a name of its own for each attempt
+        with store.open_output_stream(f"{root}/{name}") as out:
+            g.write(out, ids.flatten().to_numpy(), np.concatenate([[0], np.cumsum(ids.value_lengths().to_numpy())]))
+        return pa.table({"dims": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
+                         "graph": [name]})
 
     dealt = nodes.withColumn("h", F.xxhash64("v")).withColumn("shard", F.pmod("h", F.lit(shards)).cast("int"))
-    built = dealt.groupBy("dims", "shard").applyInPandas(graph, "dims int, shard int, graph binary")
+    built = dealt.groupBy("dims", "shard").applyInArrow(graph, "dims int, shard int, graph string")
     return settled(built, folder, "index"), shards
 
 
-def search_index(index: DataFrame, shards: int, queries: DataFrame, top: int = TOP, beam: int = BEAM,
+def search_index(index: DataFrame, folder: str, shards: int, queries: DataFrame, top: int = TOP, beam: int = BEAM,
                  block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, vec_id, score): the top of each shard for each query (vec_id, v, dims)."""
     queries = queries.distinct()
@@ -326,9 +345,11 @@ def search_index(index: DataFrame, shards: int, queries: DataFrame, top: int = T
     work = grouped.join(index, ["dims", "shard"]).select("graph", "queries").repartition(blocks * shards)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = open_store(folder)
         for batch in batches:
             for i in range(batch.num_rows):
-                g, ids, offsets = Graph.load(batch.column(0)[i].as_py())
+                with store.open_input_file(f"{root}/{batch.column(0)[i].as_py()}") as file:
+                    g, ids, offsets = Graph.read(file)
                 out = [], [], []
                 asked = batch.column(1)[i].as_py()
                 vectors = np.array([q["v"] for q in asked], np.float64)
@@ -354,7 +375,7 @@ def nearest(embeddings: DataFrame, every: int = 20, top: int = TOP, beam: int =
     folder = folder or work_folder(embeddings.sparkSession, "hnsw")
     rows = usable(embeddings)
     index, shards = build_index(rows, folder, top, shard_rows)
-    found = search_index(index, shards, rows.where(F.col("vec_id") % every == 0), top, beam)
+    found = search_index(index, folder, shards, rows.where(F.col("vec_id") % every == 0), top, beam)
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -16,7 +16,7 @@ from hypothesis import strategies as st
 
 import corpus_pipeline
 from contrail.llm import chat_render, hnsw, queries, toxic_spans, warc_zstd, weak_quality
-from contrail.llm.common import work_folder
+from contrail.llm.common import open_store, work_folder
 
 SF = "/root/testdata/sf0.001"
 
@@ -282,6 +282,27 @@ def test_recall_over_many_blocks():
     assert few.search_many(q[:2], 20, 64)[:, 3:].max() == -1 and hnsw.Graph.build(x[:1]).search(x[0], 5, 9) == [0]
 
 
+def test_graphs_are_files_that_no_row_carries(spark):
+    """A shard's graph is read by the tasks that search it; rows of joins and shuffles hold its name."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 8))
+    rows, folder = hnsw.usable(vectors(spark, list(enumerate(x)))), work_folder(spark, "test-hnsw")
+    index, shards = hnsw.build_index(rows, folder, shard_rows=200)
+    assert shards == 2 and dict(index.dtypes) == {"dims": "int", "shard": "int", "graph": "string"}
+    held = 0
+    for r in index.collect():
+        assert len(r.graph) < 100
+        store, root = open_store(folder)
+        with store.open_input_file(f"{root}/{r.graph}") as file:
+            g, ids, offsets = hnsw.Graph.read(file)
+        order = np.lexsort(g.vectors.T)
+        assert np.array_equal(g.vectors[order], x[ids].astype(np.float32)[order]) and offsets[-1] == len(ids) == len(g.vectors)
+        held += len(ids)
+    assert held == 400
+    few = hnsw.search_index(index, folder, shards, rows.where("vec_id < 30"), block_rows=10)
+    assert few.groupBy("query_id").count().where("count <> 40").count() == 0
+
+
 # -- toxicity -------------------------------------------------------------
 
 def test_words_are_found_before_they_are_lowered():
