@@ -1,12 +1,14 @@
 """The load: dense keys, levels, rejects, lookups with gaps, the second load."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from contrail.operators.keys import dense_keys, key_ids, lookup, with_ids
 from contrail.plans import load as L
 from contrail.plans.mart import FlightMart
-from contrail.session import checkpoint_dir
+from contrail.session import checkpoint_dir, freed_shuffles
 from contrail.sources.schemas import TABLES
 from conftest import SF_SMALL
 
@@ -252,3 +254,40 @@ def test_a_bucket_is_matched_and_written_with_one_shuffle(spark, tmp_path, monke
     assert {r.id: (r.x, r.y) for r in spark.read.parquet(path).collect()} == {
         **{i: (float(i), None) for i in range(300)}, None: (1.0, 1.0)}
     assert len(plans) == 2 and all(len([x for x in p.split("\n") if "Exchange" in x]) == 1 for p in plans)
+
+
+# -- disk ---------------------------------------------------------------------
+
+def shuffle_files(spark):
+    files = spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_load_leaves_no_shuffle_files(spark, loaded, tmp_path):
+    """Before, they all stayed until the driver's next collection of garbage."""
+    load = L.Load(loaded.m)
+    load.base = str(tmp_path / "load")
+    before, setting = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    load.run()
+    for _ in range(50):
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    assert not left and spark.conf.get(setting) == was
+    with pytest.raises(ZeroDivisionError), freed_shuffles(spark):
+        assert spark.conf.get(setting) == "true" and 1 / 0
+    assert spark.conf.get(setting) == was
+    names = ["VUELO", "RESULTADO", "AERONAVE"]
+    rows = lambda made: {n: sorted(map(str, made.checked(n).collect())) for n in names}
+    assert rows(load) == rows(loaded)
+
+
+def test_a_flights_aircraft_is_found_by_numbers(loaded):
+    """The flights that lack an aircraft are those of a join by tail number, of which no text is shuffled."""
+    rows, lacking = loaded._with_parents("VUELO", loaded._stored())
+    plan = rows.select("order_id", lacking[0][0].alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat(N" not in plan and lacking[0][1] == "no AERONAVE Tail_Number"
+    known = loaded.read("AERONAVE").select("Tail_Number")
+    want = loaded.landed().select("Tail_Number").join(known, "Tail_Number", "left_anti").count()
+    assert rows.filter(lacking[0][0]).count() == want > 0
