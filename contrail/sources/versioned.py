@@ -163,7 +163,10 @@ def correct_keyed(spark: SparkSession, path: str, stage: DataFrame, key: str, co
     The new rows are made from the snapshot, never from the folders that are being replaced, so a
     task that runs again after a lost executor reads what the first one read; and a job that runs
     again as a whole starts from the same snapshot.  Returns the buckets touched."""
-    staged = stage.withColumn("bucket", key_bucket(key))
+    # made once: it is read for its buckets and again for its rows
+    at = f"{path}-stage/{uuid.uuid4().hex}"
+    stage.withColumn("bucket", key_bucket(key)).write.option("compression", "zstd").parquet(at)
+    staged = spark.read.parquet(at)
     touched = _buckets(staged)
     if not touched:
         return []

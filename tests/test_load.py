@@ -291,3 +291,20 @@ def test_a_flights_aircraft_is_found_by_numbers(loaded):
     known = loaded.read("AERONAVE").select("Tail_Number")
     want = loaded.landed().select("Tail_Number").join(known, "Tail_Number", "left_anti").count()
     assert rows.filter(lacking[0][0]).count() == want > 0
+
+
+def test_the_stage_of_a_correction_is_made_once(spark, tmp_path):
+    from contrail.sources import versioned as V
+    path, made = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    V.write_keyed(spark.createDataFrame([(i, float(i)) for i in range(40)], "id long, x double"), path, "id")
+
+    def counted(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    stage = spark.createDataFrame([(4, 9.0), (5, 7.0)], "id long, x_new double").coalesce(1).mapInPandas(
+        counted, "id long, x_new double")
+    V.correct_keyed(spark, path, stage, "id", ["x"], "t1")
+    assert made.value == 2
+    assert {r.id: r.x for r in spark.read.parquet(path).collect()} == {i: {4: 9.0, 5: 7.0}.get(i, float(i)) for i in range(40)}
